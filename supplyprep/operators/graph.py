@@ -9,7 +9,7 @@ round to the shared work folder.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -48,6 +48,11 @@ class Shape:
 
 BOM = Shape()
 
+ROUNDS_PER_JOB = 2
+"""Levels that a graph loop walks before it writes its state (more repeat work inside one job)."""
+WORTHWHILE_CUT = 0.1
+"""Share of the edges that a labelling pass must cut for another pass to follow."""
+
 # Content of the dummy edges between an item and its site code.
 DUMMY_QUANTITY = 1
 DUMMY_GROUP = "1"
@@ -66,14 +71,25 @@ def edges_with_nulls(edges: DataFrame, values: dict[str, Column]) -> list[Column
 # --- cycles ---------------------------------------------------------------------------------
 
 
-def _trim(edges: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
-    """Drop edges that start at a node without incoming or end at a node without outgoing edge."""
+def _same(keys: Sequence[str], column: str, other: str) -> Column:
+    """Join condition of a plain table with one whose columns carry two underscores."""
+    return all_of([F.col(k) == F.col(f"__{k}") for k in keys] + [F.col(column) == F.col(other)])
+
+
+def _renamed(df: DataFrame, keys: Sequence[str], *columns: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"__{c}") for c in [*keys, *columns]])
+
+
+def _trim(
+    edges: DataFrame, keys: Sequence[str], end: str, other: str
+) -> tuple[DataFrame, int]:
+    """Drop, again and again, the edges whose ``end`` node is not the ``other`` end of an edge."""
+    same = [(k, k) for k in keys]
     rows = -1
     while True:
-        fathers = [(k, k) for k in keys] + [("son", "father")]
-        sons = [(k, k) for k in keys] + [("father", "son")]
-        kept = exists_in(exists_in(edges, edges, fathers), edges, sons)
-        edges, left = materialize(kept, "trim")
+        for _ in range(ROUNDS_PER_JOB):
+            edges = exists_in(edges, edges, [*same, (end, other)])
+        edges, left = materialize(edges, "trim")
         if left in (rows, 0):
             return edges, left
         rows = left
@@ -81,110 +97,114 @@ def _trim(edges: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
 
 def _component_labels(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per node the largest label that reaches it and the largest label it reaches."""
-    nodes = (
-        edges.select(*keys, F.col("father").alias("node"))
-        .union(edges.select(*keys, F.col("son").alias("node")))
-        .distinct()
+    none = F.lit(None).cast("long")
+    links, _ = materialize(
+        edges.select(*keys, F.col("father").alias("at"), F.col("son").alias("node"), F.lit(True).alias("along"))
+        .union(edges.select(*keys, "son", "father", F.lit(False))),
+        "links",
     )
     label = F.xxhash64(*keys, "node")
-    state, _ = materialize(nodes.withColumns({"down": label, "up": label}), "labels")
-    while True:
+    state = links.select(*keys, "node").distinct().withColumns({"down": label, "up": label})
+
+    def step(state: DataFrame) -> DataFrame:
         own = state.select(*keys, "node", "down", "up", F.lit(True).alias("own"))
-        at = state.select(
-            *[F.col(k).alias(f"__{k}") for k in keys],
-            F.col("node").alias("__node"),
-            "down",
-            "up",
-        )
-        same = all_of([F.col(k) == F.col(f"__{k}") for k in keys]) if keys else F.lit(True)
-        passed_down = edges.join(at, same & (F.col("father") == F.col("__node"))).select(
-            *keys, F.col("son").alias("node"), "down", F.lit(None).cast("long").alias("up")
-        )
-        passed_up = edges.join(at, same & (F.col("son") == F.col("__node"))).select(
-            *keys, F.col("father").alias("node"), F.lit(None).cast("long").alias("down"), "up"
+        arrived = links.join(
+            _renamed(state, keys, "node", "down", "up"), _same(keys, "at", "__node")
+        ).select(
+            *keys,
+            "node",
+            F.when(F.col("along"), F.col("__down")).otherwise(none).alias("down"),
+            F.when(F.col("along"), none).otherwise(F.col("__up")).alias("up"),
+            F.lit(False).alias("own"),
         )
-        arrived = passed_down.union(passed_up).withColumn("own", F.lit(False))
-        step = (
+        mine = [F.max(F.when(F.col("own"), F.col(c))).alias(f"old_{c}") for c in ("down", "up")]
+        moved = (F.col("down") != F.col("old_down")) | (F.col("up") != F.col("old_up"))
+        return (
             own.union(arrived)
             .groupBy(*keys, "node")
-            .agg(
-                F.max("down").alias("down"),
-                F.max("up").alias("up"),
-                F.max(F.when(F.col("own"), F.col("down"))).alias("old_down"),
-                F.max(F.when(F.col("own"), F.col("up"))).alias("old_up"),
-            )
-            .withColumn(
-                "moved",
-                (F.col("down") != F.col("old_down")) | (F.col("up") != F.col("old_up")),
-            )
+            .agg(F.max("down").alias("down"), F.max("up").alias("up"), *mine)
+            .withColumn("moved", moved)
             .drop("old_down", "old_up")
         )
-        stepped, _ = materialize(step, "labels")
-        state = stepped.drop("moved")
-        if stepped.filter("moved").isEmpty():
+
+    while True:
+        for _ in range(ROUNDS_PER_JOB):
+            state = step(state)
+        state, moving = materialize(state, "labels", F.col("moved"))
+        if not moving:
             return state
 
 
-def _cyclic_core(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Edges that lie on a cycle: both ends in the same strongly connected component.
+def _cyclic_core(edges: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
+    """Edges that may lie on a cycle; every edge inside a strongly connected component is kept.
 
     Labels are spread along and against the edges until nothing moves; an edge whose ends carry
-    different labels cannot lie on a cycle and is cut. When no edge is cut any more, every
-    remaining component has one node that reaches, and is reached from, all others.
+    different labels cannot lie on a cycle and is cut. Repeated to the end this leaves exactly the
+    components; it stops once a pass cuts few edges, as the walk is exact on any superset.
     """
-    while True:
-        edges, rows = _trim(edges, keys)
-        if rows == 0:
-            return edges
+    edges, rows = _trim(edges, keys, "father", "son")
+    while rows:
         labels = _component_labels(edges, keys)
-        ends = []
+        joined = edges
         for end in ("father", "son"):
-            ends.append(
-                labels.select(
-                    *[F.col(k).alias(f"__{end}_{k}") for k in keys],
-                    F.col("node").alias(f"__{end}"),
-                    F.col("down").alias(f"{end}_down"),
-                    F.col("up").alias(f"{end}_up"),
-                )
+            ends = labels.select(
+                *[F.col(k).alias(f"__{k}") for k in keys],
+                F.col("node").alias("__node"),
+                F.col("down").alias(f"{end}_down"),
+                F.col("up").alias(f"{end}_up"),
             )
-        joined = edges
-        for end, table in zip(("father", "son"), ends):
-            match = all_of(
-                [F.col(k) == F.col(f"__{end}_{k}") for k in keys]
-                + [F.col(end) == F.col(f"__{end}")]
+            joined = joined.join(ends, _same(keys, end, "__node")).drop(
+                "__node", *[f"__{k}" for k in keys]
             )
-            joined = joined.join(table, match)
         kept = joined.filter("father_down = son_down AND father_up = son_up")
         edges, left = materialize(kept.select(*keys, "father", "son"), "core")
-        if left == rows:
-            return edges
+        few = left > rows * (1 - WORTHWHILE_CUT)
+        rows = left
+        if few:
+            break
+    return edges, rows
 
 
-def _reached(
-    edges: DataFrame, starts: DataFrame, keys: Sequence[str]
+def _waves(
+    first: DataFrame,
+    advance: Callable[[DataFrame], DataFrame],
+    keys: Sequence[str],
+    label: str,
+    max_depth: int | None = None,
 ) -> DataFrame:
+    """Breadth-first waves over nodes; a node keeps the row of the first wave that reached it.
+
+    ``advance`` turns a wave into one candidate row per next node. The result has ``depth``.
+    """
+    depth = 1
+    frontier, rows = materialize(first.withColumn("depth", F.lit(depth)), label)
+    settled = frontier
+    while rows and (max_depth is None or depth < max_depth):
+        seen, wave, found = settled, frontier, None
+        for _ in range(ROUNDS_PER_JOB):
+            if depth == max_depth:
+                break
+            depth += 1
+            step = advance(wave).withColumn("depth", F.lit(depth))
+            wave = not_exists_in(step, seen, [*keys, "node"])
+            seen = seen.union(wave)
+            found = wave if found is None else found.union(wave)
+        found, rows = materialize(found, label, F.col("depth") == depth)
+        settled = settled.union(found)
+        frontier = found.filter(F.col("depth") == depth)
+    return settled
+
+
+def _reached(edges: DataFrame, starts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Nodes below the start edges with the smallest number of edges walked to get there."""
-    frontier, rows = materialize(
-        starts.select(*keys, F.col("son").alias("node")).distinct().withColumn("depth", F.lit(1)),
-        "reach",
-    )
-    seen = frontier
-    while rows:
-        at = frontier.select(
-            *[F.col(k).alias(f"__{k}") for k in keys], F.col("node").alias("__node"), "depth"
-        )
-        match = all_of(
-            [F.col(k) == F.col(f"__{k}") for k in keys] + [F.col("father") == F.col("__node")]
-        )
-        step = (
-            edges.join(at, match)
-            .select(*keys, F.col("son").alias("node"), (F.col("depth") + 1).alias("depth"))
-            .distinct()
-        )
-        frontier, rows = materialize(not_exists_in(step, seen, [*keys, "node"]), "reach")
-        if rows:
-            seen = seen.union(frontier)
-    return seen
+
+    def advance(wave: DataFrame) -> DataFrame:
+        above = _renamed(wave, keys, "node")
+        below = edges.join(above, _same(keys, "father", "__node"))
+        return below.select(*keys, F.col("son").alias("node")).distinct()
+
+    first = starts.select(*keys, F.col("son").alias("node")).distinct()
+    return _waves(first, advance, keys, "reach")
 
 
 def find_cycle_edges(
@@ -200,8 +220,9 @@ def find_cycle_edges(
     level seen and whether the walk can go on behind the edge (``is_leaf``).
 
     Only edges inside strongly connected components can close a cycle, so the tree-like bulk of
-    the graph is trimmed away first. Inside the components, walks are kept as (set of visited
-    nodes, current node), which merges the walks that differ only in their order.
+    the graph is trimmed away first and only what lies above a cycle is walked from the roots.
+    Inside the components, walks are kept as (set of visited nodes, current node), which merges
+    the walks that differ only in their order.
     """
     keys = [f"g{i}" for i in range(len(group))]
     rows = edges.filter(all_of([F.col(c).isNotNull() for c in [*group, father, son]])).select(
@@ -212,25 +233,27 @@ def find_cycle_edges(
     )
     pairs = rows.groupBy(*keys, "father", "son").agg(F.max("is_root").alias("is_root"))
     pairs, _ = materialize(pairs, "edges")
-    links = pairs.select(*keys, "father", "son")
-    core = _cyclic_core(links, keys)
-    starts = pairs.filter("is_root").select(*keys, "father", "son")
-
-    empty = core.limit(0).select(
-        *[F.col(k).alias(g) for g, k in zip(group, keys)],
-        F.col("father").alias(father),
-        F.col("son").alias(son),
-        F.lit(0).alias("level"),
-        F.lit(True).alias("is_leaf"),
-    )
-    if core.isEmpty():
-        return empty
+    # Edges above a cycle; everything else, the bulk of the graph, is done with here.
+    above, _ = _trim(pairs, keys, "son", "father")
+    links = above.select(*keys, "father", "son")
+    starts = above.filter("is_root").select(*keys, "father", "son")
+    core, rows_left = _cyclic_core(links, keys)
+    if not rows_left:
+        return core.limit(0).select(
+            *[F.col(k).alias(g) for g, k in zip(group, keys)],
+            F.col("father").alias(father),
+            F.col("son").alias(son),
+            F.lit(0).alias("level"),
+            F.lit(True).alias("is_leaf"),
+        )
 
     reach = _reached(links, starts, keys)
-    # A walk enters a component along a reached edge from outside, or by a root edge inside it.
+    # A walk enters the core along a reached edge from outside, or by a root edge inside it. The
+    # way from the root to such an edge shares no node with what can be reached behind it, or both
+    # would belong to one component, so the walk inside the core need not know it.
     outside = not_exists_in(links, core, [*keys, "father", "son"])
     entry_by_edge = _join_node(outside, reach, keys, "father").select(
-        *keys, F.col("son").alias("node"), (F.col("depth") + 1).alias("depth")
+        *keys, F.col("son").alias("node"), (F.col("__depth") + 1).alias("depth")
     )
     root_outside = not_exists_in(starts, core, [*keys, "father", "son"]).select(
         *keys, F.col("son").alias("node"), F.lit(1).alias("depth")
@@ -252,18 +275,14 @@ def find_cycle_edges(
     closing = root_inside.filter("father = son").select(
         *keys, "father", "son", F.lit(1).alias("level")
     )
-    walks, rows_left = materialize(
-        _merge_walks(walk_from_entry.union(first_step), keys), "walks"
-    )
-    found = [materialize(closing, "closing")[0]]
-    while rows_left:
-        at = walks.select(
+    walks = walk_from_entry.union(first_step)
+    found = [closing]
+    onward = 1
+    while onward:
+        at = _merge_walks(walks, keys).select(
             *[F.col(k).alias(f"__{k}") for k in keys], "seen", F.col("at").alias("__at"), "depth"
         )
-        match = all_of(
-            [F.col(k) == F.col(f"__{k}") for k in keys] + [F.col("father") == F.col("__at")]
-        )
-        step = core.join(at, match).select(
+        step = core.join(at, _same(keys, "father", "__at")).select(
             *keys,
             "father",
             "son",
@@ -271,29 +290,25 @@ def find_cycle_edges(
             (F.col("depth") + 1).alias("depth"),
             F.array_contains("seen", F.col("son")).alias("closes"),
         )
-        step, _ = materialize(step, "steps")
+        step, onward = materialize(step, "walks", ~F.col("closes"))
         found.append(
             step.filter("closes").select(*keys, "father", "son", F.col("depth").alias("level"))
         )
-        onward = step.filter("NOT closes").select(
+        walks = step.filter("NOT closes").select(
             *keys,
             F.sort_array(F.array_append("seen", F.col("son"))).alias("seen"),
             F.col("son").alias("at"),
             "depth",
         )
-        walks, rows_left = materialize(_merge_walks(onward, keys), "walks")
 
     closed = found[0]
     for part in found[1:]:
         closed = closed.union(part)
     closed = closed.groupBy(*keys, "father", "son").agg(F.min("level").alias("level"))
-    fan_out = links.groupBy(
-        *[F.col(k).alias(f"__o{k}") for k in keys], F.col("father").alias("__onode")
+    fan_out = pairs.groupBy(
+        *[F.col(k).alias(f"__{k}") for k in keys], F.col("father").alias("__node")
     ).agg(F.count(F.lit(1)).alias("__out"))
-    match = all_of(
-        [F.col(k) == F.col(f"__o{k}") for k in keys] + [F.col("son") == F.col("__onode")]
-    )
-    return closed.join(fan_out, match, "left").select(
+    return closed.join(fan_out, _same(keys, "son", "__node"), "left").select(
         *[F.col(k).alias(g) for g, k in zip(group, keys)],
         F.col("father").alias(father),
         F.col("son").alias(son),
@@ -307,11 +322,7 @@ def _merge_walks(walks: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _join_node(edges: DataFrame, nodes: DataFrame, keys: Sequence[str], end: str) -> DataFrame:
-    at = nodes.select(
-        *[F.col(k).alias(f"__{k}") for k in keys], F.col("node").alias("__node"), "depth"
-    )
-    match = all_of([F.col(k) == F.col(f"__{k}") for k in keys] + [F.col(end) == F.col("__node")])
-    return edges.join(at, match)
+    return edges.join(_renamed(nodes, keys, "node", "depth"), _same(keys, end, "__node"))
 
 
 def delete_cycle_edges(
@@ -343,42 +354,23 @@ def flagged_ancestor(
         F.col(son).alias("node"),
         label.alias("ancestor"),
     ).filter(all_of([F.col(k).isNotNull() for k in keys] + [F.col("node").isNotNull()]))
-    # Only nodes with sons pass a label on, so settled leaves are left out of the later joins.
     links, _ = materialize(links, "links")
+
+    def advance(wave: DataFrame) -> DataFrame:
+        above = _renamed(wave, keys, "node", "ancestor")
+        below = links.drop("ancestor").join(above, _same(keys, "father", "__node"))
+        return below.groupBy(*keys, "node").agg(F.min("__ancestor").alias("ancestor"))
+
     first = (
         links.filter(F.col("ancestor").isNotNull())
         .groupBy(*keys, "node")
         .agg(F.min("ancestor").alias("ancestor"))
-        .withColumn("distance", F.lit(1))
     )
-    frontier, rows = materialize(first, "ancestor")
-    settled = frontier
-    depth = 1
-    while rows and (max_depth is None or depth < max_depth):
-        depth += 1
-        above = frontier.select(
-            *[F.col(k).alias(f"__{k}") for k in keys],
-            F.col("node").alias("__above"),
-            F.col("ancestor").alias("__ancestor"),
-        )
-        match = all_of(
-            [F.col(k) == F.col(f"__{k}") for k in keys] + [F.col("father") == F.col("__above")]
-        )
-        step = (
-            links.select(*keys, "father", "node")
-            .join(above, match)
-            .groupBy(*keys, "node")
-            .agg(F.min("__ancestor").alias("ancestor"))
-            .withColumn("distance", F.lit(depth))
-        )
-        frontier, rows = materialize(not_exists_in(step, settled, [*keys, "node"]), "ancestor")
-        if rows:
-            settled = settled.union(frontier)
-    return settled.select(
+    return _waves(first, advance, keys, "ancestor", max_depth).select(
         *[F.col(k).alias(s) for s, k in zip(site, keys)],
         F.col("node").alias(son),
         "ancestor",
-        "distance",
+        F.col("depth").alias("distance"),
     )
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_FOLDERS: dict[str, str] = {}
@@ -38,10 +38,16 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{work_folder(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> tuple[DataFrame, int]:
-    """Write the rows once; return the table read back and its row count."""
+def materialize(
+    df: DataFrame, label: str, counted: Column | None = None
+) -> tuple[DataFrame, int]:
+    """Write the rows once; return the table read back and its row count.
+
+    ``counted`` counts only the rows that meet the condition.
+    """
     spark = df.sparkSession
     path = new_path(spark, label)
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    rows = F.count(F.lit(1)) if counted is None else F.count_if(counted)
+    df.observe(seen, rows.alias("n")).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), seen.get["n"]
