@@ -406,7 +406,7 @@ def q_dummy_level(t: Tables) -> DataFrame:
         F.lit(RUN.run_ts).alias("create_time"),
         version.alias("version"),
     )
-    edges = graph.insert_dummy_level(item_edges(t), feed, RUN, "S0", "red", flag="VN")
+    edges = graph.insert_dummy_level(item_edges(t), feed, RUN, [("S0", "red")], flag="VN")
     cloned = graph.clone_site(edges, "odm", "S0", "S9")
     return cloned.select(*SHOWN, F.col("qtyper").cast("double").alias("qtyper"), "flag")
 

@@ -438,23 +438,22 @@ def insert_dummy_level(
     edges: DataFrame,
     source: DataFrame,
     ctx: RunContext,
-    site: str,
-    prefix: str,
+    levels: Sequence[tuple[str, str]],
     flag: str | None = None,
     columns: tuple[str, ...] = ("from_odm", "item", "odm_pn", "odm_created_date", "create_time"),
     version: str = "version",
     shape: Shape = BOM,
 ) -> DataFrame:
-    """Turn the newest mapping rows of a site into edges from the item to its site code.
+    """Turn the newest mapping rows of some sites into edges from the item to its site code.
 
-    The newest version is that of the whole mapping feed. With ``flag`` the edges that carry it
-    are replaced.
+    ``levels`` are (site, item prefix) pairs. The newest version is that of the whole mapping
+    feed. With ``flag`` the edges that carry it are replaced.
     """
     from_site, item, code, start, loaded = columns
-    day = F.substring(version, 1, 8)
-    newest = latest_version_global(source, day).filter(
-        (F.col(from_site) == site) & F.col(item).startswith(prefix)
-    )
+    wanted = F.lit(False)
+    for site, prefix in levels:
+        wanted |= (F.col(from_site) == site) & F.col(item).startswith(prefix)
+    newest = latest_version_global(source, F.substring(version, 1, 8)).filter(wanted)
     rows = keep_latest(newest, [from_site, item, code, start], [version])
     values = {
         shape.site: F.col(from_site),
@@ -467,7 +466,7 @@ def insert_dummy_level(
         shape.start: F.col(start),
         shape.end: F.to_date(F.lit(OPEN_END)),
         "src_created_at": F.col(loaded),
-        shape.created_by: F.lit(ctx.created_by),
+        shape.created_by: F.lit(f"{ctx.created_by}_LEVEL"),
         "created_at": F.col(loaded),
         "flag": F.lit(flag),
     }
@@ -488,16 +487,28 @@ def clone_site(edges: DataFrame, site_column: str, source: object, target: objec
 
 
 def drop_forbidden_edges(
-    edges: DataFrame, forbidden: Column, allowed: Sequence[tuple[DataFrame, str]], father: Column
+    edges: DataFrame,
+    forbidden: Column,
+    allowed: Sequence[tuple[DataFrame, str]],
+    father: Column,
+    exceptions: tuple[DataFrame, str, Column] | None = None,
 ) -> DataFrame:
-    """Remove forbidden edges unless their father is in one of the allowed code lists."""
+    """Remove forbidden edges unless their father is in one of the allowed code lists.
+
+    ``exceptions`` is one more list with its own father code.
+    """
     codes = None
     for table, column in allowed:
         part = table.select(F.col(column).alias("code"))
         codes = part if codes is None else codes.union(part)
     marked = edges.withColumn("__father", father)
     flagged = flag_exists(marked, codes, [("__father", "code")], "__allowed")
-    return delete_where(flagged, forbidden & ~F.col("__allowed")).drop("__father", "__allowed")
+    free = F.col("__allowed")
+    if exceptions is not None:
+        table, column, code = exceptions
+        flagged = flag_exists(flagged, table, [(code, column)], "__excepted")
+        free |= F.col("__excepted")
+    return delete_where(flagged, forbidden & ~free).drop("__father", "__allowed", "__excepted")
 
 
 def drop_edges_to_both(
