@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 from supplyprep.catalog.registry import query
 from supplyprep.catalog.tables import RUN, Tables, qty
+from supplyprep.plans import netting
 from supplyprep.plans.open_po import open_po
+from supplyprep.sources import writers
+from supplyprep.sources.storage import new_path
+from supplyprep.streaming import incremental
 
 
 def _text(column: str, length: int) -> F.Column:
@@ -97,3 +101,343 @@ def q_open_po(t: Tables) -> DataFrame:
     return result.drop("created_at", "tex").withColumns(
         {"menge": F.col("menge").cast("double"), "openqty": F.col("openqty").cast("double")}
     )
+
+
+@query(
+    "q_resv_demand",
+    """WITH i AS (SELECT l_returnflag || l_linestatus AS odm, CAST(l_partkey AS VARCHAR) AS item, sum(l_quantity) AS q
+  FROM lineitem WHERE l_returnflag <> 'R' AND l_quantity > 35 GROUP BY ALL),
+r AS (SELECT 'N' || l_linestatus AS odm, CAST(l_partkey AS VARCHAR) AS item, sum(l_quantity) AS q
+  FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 35 GROUP BY ALL)
+SELECT coalesce(i.odm, r.odm) AS odm, coalesce(i.item, r.item) AS item, CAST(coalesce(i.q, 0) AS DOUBLE) AS inv_qty,
+  CAST(coalesce(r.q, 0) AS DOUBLE) AS resv_qty, CAST(coalesce(r.q, 0) - coalesce(i.q, 0) AS DOUBLE) AS demand_qty
+FROM i FULL JOIN r ON i.odm = r.odm AND i.item = r.item""",
+)
+def q_resv_demand(t: Tables) -> DataFrame:
+    large = t.lineitem.filter("l_quantity > 35")
+    item = F.col("l_partkey").cast("string")
+    known = F.when(F.col("l_linenumber") > 3, item)
+    stock = large.filter("l_returnflag <> 'R'").select(
+        F.concat("l_returnflag", "l_linestatus").alias("odm"),
+        known.alias("item"),
+        item.alias("site_pn"),
+        qty("l_quantity").alias("inv_qty"),
+    )
+    reserved = large.filter("l_returnflag = 'R'").select(
+        F.concat(F.lit("N"), "l_linestatus").alias("odm"),
+        known.alias("item"),
+        item.alias("odm_item"),
+        qty("l_quantity").alias("res_qty"),
+    )
+    demand = netting.reservation_demand(stock, reserved)
+    return demand.select(
+        "odm", "item", *[F.col(c).cast("double").alias(c) for c in ("inv_qty", "resv_qty", "demand_qty")]
+    )
+
+
+def material_documents(t: Tables, plant: str) -> DataFrame:
+    """Receipts, reversals and other movements from order lines."""
+    kind = F.expr("CASE l_returnflag WHEN 'N' THEN '101' WHEN 'R' THEN '102' ELSE '105' END")
+    return t.lineitem.filter("l_quantity > 10").select(
+        F.col("l_orderkey").cast("string").alias("ebeln"),
+        F.lpad(F.col("l_linenumber").cast("string"), 5, "0").alias("ebelp"),
+        F.col("l_partkey").cast("string").alias("matnr"),
+        F.lit(plant).alias("werks"),
+        F.lit("0001000210").alias("lifnr"),
+        kind.alias("bwart"),
+        qty("l_quantity").alias("menge"),
+        F.to_date("l_shipdate").alias("budat"),
+        F.to_date("l_shipdate").alias("cpudt"),
+    )
+
+
+BEFORE = "2001-06-01"
+
+
+@query(
+    "q_net_floor",
+    f"""WITH s AS (SELECT l_orderkey AS po, l_linenumber AS line, CAST(l_partkey AS VARCHAR) AS item, l_linestatus AS odm,
+    l_returnflag AS bu, sum(l_quantity * 2) AS q FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+  WHERE o_orderstatus = 'O' GROUP BY ALL),
+r AS (SELECT l_orderkey AS po, l_linenumber AS line, sum(CASE l_returnflag WHEN 'N' THEN l_quantity ELSE -l_quantity END) AS gr
+  FROM lineitem WHERE l_quantity > 10 AND l_returnflag IN ('N', 'R') AND CAST(l_shipdate AS DATE) < DATE '{BEFORE}'
+    AND CAST(l_shipdate AS DATE) >= DATE '1996-01-01' GROUP BY ALL)
+SELECT s.po || lpad(CAST(s.line AS VARCHAR), 5, '0') AS shipmentid, item, 'X220' AS tositeid, odm AS fromsiteid,
+  CAST(greatest(q - coalesce(gr, 0), 0) AS DOUBLE) AS intransitqty, bu
+FROM s LEFT JOIN r ON r.po = s.po AND r.line = s.line""",
+)
+def q_net_floor(t: Tables) -> DataFrame:
+    shipped = t.lineitem.select(
+        F.col("l_orderkey").cast("string").alias("po"),
+        F.col("l_linenumber").cast("string").alias("lineid"),
+        F.col("l_partkey").cast("string").alias("material"),
+        F.col("l_linestatus").alias("odm"),
+        (qty("l_quantity") * 2).alias("ship_qty"),
+        F.col("l_returnflag").alias("bu"),
+    )
+    plant = F.when(F.col("o_orderstatus") == "O", "X220").otherwise("X999")
+    orders = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("l_orderkey").cast("string").alias("ebeln"),
+        F.lpad(F.col("l_linenumber").cast("string"), 5, "0").alias("ebelp"),
+        plant.alias("werks"),
+    )
+    netted = netting.shipment_minus_receipt(
+        shipped,
+        material_documents(t, "X220"),
+        orders,
+        F.to_date(F.lit(BEFORE)),
+        loaded_from="1996-01-01",
+    )
+    export = netting.intransit_export(netted, RUN, "supplyprep")
+    return export.select(
+        "shipmentid",
+        "item",
+        "tositeid",
+        "fromsiteid",
+        F.col("intransitqty").cast("double").alias("intransitqty"),
+        "bu",
+    )
+
+
+@query(
+    "q_intransit_po",
+    f"""WITH o AS (SELECT o_orderkey FROM orders JOIN customer ON c_custkey = o_custkey
+  WHERE o_orderstatus <> 'P' AND c_mktsegment <> 'MACHINERY' AND CAST(o_orderdate AS DATE) >= DATE '1996-01-01'),
+s AS (SELECT l_orderkey AS po, coalesce(CASE WHEN p_type = 'SMALL' THEN 'shell-' || p_brand END, CAST(l_partkey AS VARCHAR)) AS item,
+    sum(l_quantity) AS gi FROM lineitem JOIN o ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey
+  WHERE CAST(l_shipdate AS DATE) < DATE '{BEFORE}' AND CAST(l_shipdate AS DATE) >= DATE '1996-01-01' GROUP BY ALL),
+r AS (SELECT l_orderkey AS po, sum(CASE l_returnflag WHEN 'N' THEN l_quantity ELSE -l_quantity END) AS gr
+  FROM lineitem WHERE l_quantity > 10 AND l_returnflag IN ('N', 'R') AND CAST(l_shipdate AS DATE) < DATE '{BEFORE}'
+    AND CAST(l_shipdate AS DATE) >= DATE '1996-01-01' GROUP BY ALL)
+SELECT CAST(s.po AS VARCHAR) AS shipmentid, item, CAST(gi AS DOUBLE) AS shipmentqty,
+  CAST(gi - coalesce(gr, 0) AS DOUBLE) AS intransitqty, CAST(coalesce(gr, 0) AS DOUBLE) AS receiptqty
+FROM s LEFT JOIN r ON r.po = s.po WHERE gi <> coalesce(gr, 0)""",
+)
+def q_intransit_po(t: Tables) -> DataFrame:
+    key = F.col("o_orderkey").cast("string")
+    sales = t.orders.select(
+        key.alias("vbeln"),
+        key.alias("bstkd"),
+        F.lit("L220").alias("werks"),
+        F.to_date("o_orderdate").alias("erdat"),
+        F.when(F.col("o_orderstatus") == "P", "rejected").alias("l_abgru"),
+    )
+    buyers = t.customer.filter("c_mktsegment <> 'MACHINERY'")
+    bought = t.orders.join(buyers, F.col("o_custkey") == F.col("c_custkey")).select(
+        key.alias("ebeln"),
+        F.lit("X420").alias("werks"),
+        F.lit("ZIMB").alias("bsart"),
+        F.lit("0001000210").alias("lifnr"),
+        F.lit(None).cast("string").alias("loekz_l"),
+        F.to_date("o_orderdate").alias("aedat_h"),
+    )
+    since = "1996-01-01"
+    linked = netting.linked_orders(sales, bought, "L220", since, ["ZNP", "ZIMB"])
+    deliveries = t.lineitem.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("vbeln"),
+        F.col("l_orderkey").cast("string").alias("vbgel"),
+        F.col("l_partkey").cast("string").alias("matnr"),
+        F.lit("L220").alias("werks"),
+        F.to_date("l_shipdate").alias("wadat_ist"),
+        F.to_date("l_shipdate").alias("erdat"),
+        qty("l_quantity").alias("lfimg"),
+    )
+    shells = t.part.filter("p_type = 'SMALL'").select(
+        F.col("p_partkey").cast("string").alias("purchaseshell"),
+        F.concat(F.lit("shell-"), "p_brand").alias("dummyshell"),
+    )
+    netted = netting.intransit_by_po(
+        linked,
+        deliveries,
+        material_documents(t, "X420"),
+        shells,
+        RUN,
+        F.to_date(F.lit(BEFORE)),
+        since=since,
+    )
+    return netted.select(
+        "shipmentid",
+        "item",
+        *[F.col(c).cast("double").alias(c) for c in ("shipmentqty", "intransitqty", "receiptqty")],
+    )
+
+
+SHARE_SQL = """sh AS (
+  SELECT CAST(l_partkey AS VARCHAR) AS item, CASE l_linenumber WHEN 1 THEN 'ThinkNB' WHEN 2 THEN 'IdeaNB' WHEN 3 THEN 'ALL' WHEN 4 THEN 'IdeaDT' ELSE 'ThinkDT' END AS bu,
+    CASE l_linestatus WHEN 'F' THEN 'LCFC' ELSE 'ODM' END AS siteid, 'Supplier ' || l_suppkey AS supplier,
+    'V' || l_suppkey AS code FROM lineitem WHERE l_returnflag = 'A' AND l_quantity > 40)"""
+LEDGER_SQL = f"""{SHARE_SQL},
+gi AS (
+  SELECT l_orderkey AS delivery, max(CAST(l_partkey AS VARCHAR)) AS item,
+    max(CASE l_linenumber % 3 WHEN 0 THEN 'IDEANB' WHEN 1 THEN 'IDEADT' ELSE 'THINK' END) AS bu,
+    max(CASE WHEN l_linestatus = 'F' THEN 'LCFC' ELSE 'COMPAL' END) AS site, sum(l_quantity) AS q
+  FROM lineitem WHERE l_returnflag = 'N' AND CAST(l_shipdate AS DATE) < DATE '2001-08-02'
+    AND CAST(l_partkey AS VARCHAR) IN (SELECT item FROM sh) GROUP BY 1),
+gr AS (
+  SELECT gi.*, -l_quantity AS r FROM lineitem JOIN gi ON delivery = l_orderkey
+  WHERE l_returnflag = 'R' AND l_linenumber <> 5 AND CASE WHEN l_linenumber = 6 THEN DATE '2000-01-01'
+    ELSE CAST(l_shipdate AS DATE) END < DATE '2001-08-02'),
+bal AS (
+  SELECT item, site, bu, sum(q) + coalesce(sum(r), 0) AS qty, sum(q) AS qty_gi, sum(r) AS qty_gr FROM (
+    SELECT item, site, bu, q, NULL AS r FROM gi UNION ALL SELECT item, site, bu, 0, r FROM gr) GROUP BY ALL)"""
+
+
+def share_list(t: Tables) -> DataFrame:
+    return t.lineitem.filter("l_returnflag = 'A' AND l_quantity > 40").select(
+        F.col("l_partkey").cast("string").alias("item"),
+        F.expr(
+            "CASE l_linenumber WHEN 1 THEN 'ThinkNB' WHEN 2 THEN 'IdeaNB' WHEN 3 THEN 'ALL' "
+            "WHEN 4 THEN 'IdeaDT' ELSE 'ThinkDT' END"
+        ).alias("bu"),
+        F.when(F.col("l_linestatus") == "F", "LCFC").otherwise("ODM").alias("siteid"),
+        F.concat(F.lit("Supplier "), F.col("l_suppkey").cast("string")).alias("supplier"),
+        F.concat(F.lit("V"), F.col("l_suppkey").cast("string")).alias("vendor_code"),
+        F.lit("DS").alias("display_type"),
+    )
+
+
+def balance(t: Tables) -> DataFrame:
+    notices = t.lineitem.filter("l_returnflag = 'N'").select(
+        F.col("l_orderkey").cast("string").alias("verur"),
+        F.col("l_partkey").cast("string").alias("matnr"),
+        F.expr("CASE l_linenumber % 3 WHEN 0 THEN 'H121' WHEN 1 THEN 'H112' ELSE 'H000' END").alias("werks"),
+        F.when(F.col("l_linestatus") == "F", "LCFC").otherwise("COMPAL").alias("ship_to_name"),
+        F.lit("HUB").alias("ship_from_name"),
+        qty("l_quantity").alias("lfimg"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("erdat"),
+        F.lit("ASN_GR").alias("status"),
+    )
+    receipt_date = F.when(F.col("l_linenumber") != 6, F.date_format("l_shipdate", "yyyy-MM-dd HH:mm"))
+    received = t.lineitem.filter("l_returnflag = 'R'").select(
+        F.col("l_orderkey").cast("string").alias("delivery_notes"),
+        qty("l_quantity").alias("qty"),
+        receipt_date.alias("receipt_date"),
+        F.when(F.col("l_linenumber") == 5, "ERROR").otherwise("OK").alias("status"),
+    )
+    # The run day is a Thursday, so the cut-off is that day of the week before the next one.
+    rows = netting.ledger(notices, received, share_list(t), F.to_date(F.lit("2001-08-02")))
+    return netting.ledger_balance(rows)
+
+
+@query(
+    "q_gi_gr",
+    f"""WITH {LEDGER_SQL}
+SELECT item, site, bu, CAST(qty AS DOUBLE) AS qty, CAST(qty_gi AS DOUBLE) AS qty_gi, CAST(qty_gr AS DOUBLE) AS qty_gr FROM bal""",
+)
+def q_gi_gr(t: Tables) -> DataFrame:
+    return balance(t).select(
+        "item", "site", "bu", *[F.col(c).cast("double").alias(c) for c in ("qty", "qty_gi", "qty_gr")]
+    )
+
+
+@query(
+    "q_attribute_supplier",
+    f"""WITH {LEDGER_SQL}
+SELECT item, site, bu, coalesce(
+  (SELECT max(code) FROM sh WHERE sh.item = b.item AND upper(sh.bu) = b.bu AND siteid = b.site),
+  (SELECT max(code) FROM sh WHERE sh.item = b.item AND sh.bu IN ('ThinkNB', 'ThinkDT') AND b.bu = 'THINK' AND siteid = b.site),
+  (SELECT max(code) FROM sh WHERE sh.item = b.item AND sh.bu = 'ALL' AND siteid = b.site),
+  (SELECT max(code) FROM sh WHERE sh.item = b.item AND upper(sh.bu) = b.bu AND siteid = 'ODM'),
+  (SELECT max(code) FROM sh WHERE sh.item = b.item AND sh.bu IN ('ThinkNB', 'ThinkDT') AND b.bu = 'THINK' AND siteid = 'ODM'),
+  (SELECT max(code) FROM sh WHERE sh.item = b.item AND sh.bu = 'ALL' AND siteid = 'ODM')) AS supplierid
+FROM bal b""",
+)
+def q_attribute_supplier(t: Tables) -> DataFrame:
+    attributed = netting.attribute_supplier(balance(t), share_list(t))
+    return attributed.select("item", "site", "bu", "supplierid")
+
+
+def ship_inputs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    sales = t.orders.select(
+        F.col("o_orderkey").cast("string").alias("vbeln"),
+        F.lit("1").alias("posnr"),
+        F.substring("o_orderpriority", 1, 1).alias("matnr"),
+        F.lit(1).alias("kwmeng"),
+        F.expr("CASE o_orderstatus WHEN 'F' THEN 'YSSA' WHEN 'O' THEN 'YSSF' ELSE 'OTHER' END").alias("auart"),
+        F.lit("H000").alias("werks"),
+        F.col("o_custkey").cast("string").alias("sold2_kunnr"),
+    )
+    deliveries = t.lineitem.select(
+        F.col("l_orderkey").cast("string").alias("vbeln"),
+        F.col("l_linenumber").cast("string").alias("posnr"),
+        F.col("l_orderkey").cast("string").alias("vbgel"),
+        F.lit("1").alias("vgpos"),
+        F.col("l_partkey").cast("string").alias("matnr"),
+        qty("l_quantity").alias("lfimg"),
+        F.expr("CASE l_returnflag WHEN 'N' THEN 'J' WHEN 'R' THEN 'T' ELSE 'X' END").alias("vbtyp"),
+        F.lit("any").alias("werks"),
+        F.to_date("l_shipdate").alias("wadat_ist"),
+        F.lit("ACTIVE").alias("sys_ent_state"),
+        (F.col("l_partkey") * 100000 + F.col("l_suppkey")).alias("sys_last_modified_date"),
+    )
+    component = t.values("component, hier5_code", ("1", "DISPLAY"), ("2", "DISPLAY"), ("3", "TOUCH"))
+    return sales, deliveries, component
+
+
+@query(
+    "q_ship_fact",
+    """SELECT CAST(l_orderkey AS VARCHAR) AS deliveryno, CAST(l_linenumber AS VARCHAR) AS deliveryline,
+  CAST(CASE l_returnflag WHEN 'R' THEN -l_quantity ELSE l_quantity END AS DOUBLE) AS shipqty,
+  CAST(l_shipdate AS DATE) AS shipdate, CAST(o_custkey AS VARCHAR) AS soldto
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+WHERE l_returnflag IN ('N', 'R') AND o_orderstatus IN ('F', 'O') AND substr(o_orderpriority, 1, 1) IN ('1', '2')
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey DESC, l_suppkey DESC) = 1""",
+)
+def q_ship_fact(t: Tables) -> DataFrame:
+    """Two net-change windows, one after the other, give the same fact table as one pass."""
+    sales, deliveries, component = ship_inputs(t)
+    middle = F.lit(80_000_000).cast("bigint")
+    first = netting.ship_changes(
+        sales, deliveries, component, "display", F.lit(-1).cast("bigint"), middle
+    )
+    last = F.lit(2**62).cast("bigint")
+    second = netting.ship_changes(sales, deliveries, component, "display", middle + 1, last)
+    fact = netting.ship_fact_upsert(first, second)
+    return fact.select(
+        "deliveryno", "deliveryline", F.col("shipqty").cast("double").alias("shipqty"), "shipdate", "soldto"
+    )
+
+
+LATEST_SQL = """SELECT user_id, event_id, event_type FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
+
+
+@query("q_stream_latest", LATEST_SQL)
+def q_stream_latest(t: Tables) -> DataFrame:
+    """Events arriving in two file drops; the stream keeps the newest event per user."""
+    drop, target, checkpoint = (new_path(t.spark, n) for n in ("events", "latest", "checkpoint"))
+    columns = ["user_id", "event_id", "event_type", "ts"]
+    half = F.lit("2024-01-16").cast("timestamp_ntz")
+    for late in (True, False):
+        arrived = t.events.select(*columns).filter(F.col("ts") >= half if late else F.col("ts") < half)
+        arrived.write.mode("append").parquet(drop)
+        stream = incremental.file_stream(t.spark, drop, arrived.schema)
+        incremental.stream_latest(
+            stream, target, checkpoint, ["user_id"], ["ts", "event_id"], RUN
+        ).awaitTermination()
+    return writers.read_snapshot(t.spark, target).drop("ts")
+
+
+@query(
+    "q_stream_upsert",
+    """SELECT user_id, event_type, event_id FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""",
+)
+def q_stream_upsert(t: Tables) -> DataFrame:
+    drop, target, checkpoint = (new_path(t.spark, n) for n in ("moves", "fact", "checkpoint"))
+    columns = ["user_id", "event_type", "event_id", "ts"]
+    half = F.lit("2024-01-16").cast("timestamp_ntz")
+    for late in (False, True):
+        arrived = t.events.select(*columns).filter(F.col("ts") >= half if late else F.col("ts") < half)
+        arrived.write.mode("append").parquet(drop)
+        stream = incremental.file_stream(t.spark, drop, arrived.schema)
+        incremental.stream_upsert(
+            stream,
+            target,
+            checkpoint,
+            ["user_id", "event_type"],
+            ["ts", "event_id"],
+            ["event_id", "ts"],
+            RUN,
+        ).awaitTermination()
+    return writers.read_snapshot(t.spark, target).drop("ts")
