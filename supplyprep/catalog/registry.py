@@ -11,7 +11,18 @@ from supplyprep.catalog.tables import Tables
 
 _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
 _SQL: dict[str, str] = {}
-_MODULES = ("sources", "filters_joins", "groups", "graphs", "row_changes", "cleaning", "pipelines", "supply", "netting")
+_MODULES = (
+    "sources",
+    "filters_joins",
+    "groups",
+    "graphs",
+    "bom",
+    "row_changes",
+    "cleaning",
+    "pipelines",
+    "supply",
+    "netting",
+)
 
 
 def query(name: str, sql: str | None = None):
