@@ -165,7 +165,7 @@ def q_bom(t: Tables) -> DataFrame:
         stock_history=edges.filter("qtyper > 2").select("odm", F.col("father_pn").alias("item")),
         region_feed=region,
     )
-    files = edges.filter("odm = 'WISTRON'")
+    files = edges.filter("odm = 'WISTRON'").drop("flag")
     built = build_bom(init, files, conf, dims, RUN)
     return built.groupBy("odm", "created_by", "flag").agg(
         F.count(F.lit(1)).alias("edges"),

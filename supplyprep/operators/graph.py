@@ -744,17 +744,19 @@ def split_multi_mapped_father(
     edges: DataFrame,
     ctx: RunContext,
     own: Column,
+    mapping: DataFrame | None = None,
     shape: Shape = BOM,
 ) -> DataFrame:
     """Give every site code of a multiply mapped item its own level.
 
-    ``own`` picks the edges that define the mapping. (a) Dummy edges lead from the item to each of
+    ``own`` picks the edges that define the mapping, unless it is given. (a) Dummy edges lead from the item to each of
     its site codes; (b) the own edges then start at the site code; (c) sons that map ambiguously
     and have edges of their own lose their item code.
     """
     site, father, father_site = shape.site, shape.father, shape.father_site
     current = own & (F.col(shape.end) >= F.lit(ctx.plan_version))
-    mapping = multi_mapped(edges.filter(current), site, father, father_site)
+    if mapping is None:
+        mapping = multi_mapped(edges.filter(current), site, father, father_site)
 
     dummies = mapping.select(
         *edges_with_nulls(

@@ -24,6 +24,28 @@ def has_separator(value: Column | str, separators: Sequence[str]) -> Column:
     return test
 
 
+def without_blanks(value: Column) -> Column:
+    return null_if_empty(F.replace(value, F.lit(" "), F.lit("")))
+
+
+def shares(
+    column: str,
+    separator: str,
+    counted: str,
+    legacy_share: bool = False,
+    first_only: Column | None = None,
+) -> tuple[Column, Column]:
+    """Tokens of a code and the share of each."""
+    parts = tokens(column, separator)
+    share = F.lit(1.0) / F.size(parts)
+    if legacy_share:
+        without = F.replace(F.col(column), F.lit(counted), F.lit(""))
+        share = F.lit(1.0) / (F.length(column) - F.length(without) + 1)
+    if first_only is not None:
+        parts = F.when(holds(first_only), F.slice(parts, 1, 1)).otherwise(parts)
+    return parts, share
+
+
 def split_rows(
     df: DataFrame,
     column: str,
@@ -39,19 +61,10 @@ def split_rows(
     the counted separator may differ from the one that splits. Blanks inside tokens are removed.
     Rows that meet ``first_only`` give their first token only.
     """
-    parts = tokens(column, separator)
-    if legacy_share:
-        share = F.lit(1.0) / (
-            F.length(F.col(column))
-            - F.length(F.replace(F.col(column), F.lit(counted or separator), F.lit("")))
-            + 1
-        )
-    else:
-        share = F.lit(1.0) / F.size(parts)
+    parts, share = shares(column, separator, counted or separator, legacy_share, first_only)
     marked = df.filter(F.contains(F.col(column), F.lit(separator))).withColumn(ratio, share)
-    kept = parts if first_only is None else F.when(holds(first_only), F.slice(parts, 1, 1)).otherwise(parts)
-    exploded = marked.withColumn("__token", F.explode(kept))
-    token = null_if_empty(F.replace(F.col("__token"), F.lit(" "), F.lit("")))
+    exploded = marked.withColumn("__token", F.explode(parts))
+    token = without_blanks(F.col("__token"))
     names = [c for c in df.columns if c != ratio]
     return exploded.select(
         *[token.alias(c) if c == column else F.col(c) for c in names], F.col(ratio)
@@ -75,19 +88,38 @@ def union_unsplit_and_split(
     separator in place; ``cascade`` splits such rows on both sides instead.
     """
     base = df if ratio in df.columns else df.withColumn(ratio, F.lit(None).cast("double"))
-    clean = ~has_separator(father, father_separators) & ~has_separator(child, child_separators)
     if cascade:
         done = _split_any(base, father, father_separators, ratio)
         return _split_any(done, child, child_separators, ratio)
-    parts = [base.filter(clean)]
+
+    def entry(father_code: Column, child_code: Column, share: Column) -> Column:
+        return F.struct(
+            father_code.alias("f"), child_code.alias("c"), share.cast("double").alias("r")
+        )
+
+    def split(column: str, separator: str, counted: str, make) -> Column:
+        parts, share = shares(column, separator, counted, legacy_share, first_only)
+        entries = F.transform(parts, lambda p: make(without_blanks(p), share))
+        return F.when(F.contains(F.col(column), F.lit(separator)), entries)
+
+    # Every split of a row becomes one entry of an array, so the rows are read once.
+    plain = F.array(entry(F.col(father), F.col(child), F.col(ratio)))
+    ways = [plain]
     for separator in father_separators:
-        parts.append(split_rows(base, father, separator, ratio, None, legacy_share, first_only))
+        ways.append(split(father, separator, separator, lambda p, r: entry(p, F.col(child), r)))
     for separator in child_separators:
-        parts.append(split_rows(base, child, separator, ratio, ",", legacy_share, first_only))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part.filter(clean))
-    return result
+        ways.append(split(child, separator, ",", lambda p, r: entry(F.col(father), p, r)))
+    known = F.filter(F.array(*ways), lambda way: way.isNotNull())
+    clean = F.filter(
+        F.flatten(known),
+        lambda e: ~has_separator(e["f"], father_separators)
+        & ~has_separator(e["c"], child_separators),
+    )
+    values = {father: F.col("__e.f"), child: F.col("__e.c"), ratio: F.col("__e.r")}
+    exploded = base.withColumn("__e", F.explode(clean))
+    return exploded.select(
+        *[values[c].alias(c) if c in values else F.col(c) for c in base.columns]
+    )
 
 
 def _split_any(df: DataFrame, column: str, separators: Sequence[str], ratio: str) -> DataFrame:
@@ -98,7 +130,7 @@ def _split_any(df: DataFrame, column: str, separators: Sequence[str], ratio: str
         F.col(ratio)
     )
     marked = df.withColumn("__share", share).withColumn("__token", F.explode(parts))
-    token = null_if_empty(F.replace(F.col("__token"), F.lit(" "), F.lit("")))
+    token = without_blanks(F.col("__token"))
     replaced = {column: token, ratio: F.col("__share")}
     return marked.select(
         *[replaced[c].alias(c) if c in replaced else F.col(c) for c in df.columns]

@@ -40,7 +40,7 @@ from supplyprep.plans import rules
 from supplyprep.plans.common import shape_like
 from supplyprep.schemas import OUTPUTS
 from supplyprep.sources.readers import route_by_source
-from supplyprep.sources.storage import materialize
+from supplyprep.sources.storage import staged
 
 SCHEMA = OUTPUTS["bom"]
 
@@ -174,6 +174,7 @@ def conform_sons(edges: DataFrame, dims: Dimensions) -> DataFrame:
     """Suffixed and prefixed son codes, placeholders and self loops."""
     suffixed = F.col("odm").isin(*rules.SUFFIX_SITES)
     edges = drop_redundant_suffix_edges(edges, dims.component, "component", suffixed)
+    edges = staged(edges, "bom_short_codes")
     before = edges.withColumn("__old", F.col("son_pn"))
     edges = canonical_prefix(
         before,
@@ -190,6 +191,7 @@ def conform_sons(edges: DataFrame, dims: Dimensions) -> DataFrame:
     edges = edges.withColumns(
         {c: na_to_null(c, NA_TOKENS_BOM) for c in ("son_pn", "father_pn")}
     )
+    edges = staged(edges, "bom_known_sons")
     return drop_self_loops(
         edges, ["odm"], "father_pn", "son_pn", same="son", only=F.col("son_site_pn").isNotNull()
     )
@@ -246,6 +248,7 @@ def apply_edge_rules(
             "father_pn",
             "son_pn",
         )
+    edges = staged(edges, "bom_allowed")
     upper = (
         here
         & F.col("son_pn").startswith(rules.SUB_ASSEMBLY_PREFIX)
@@ -258,7 +261,7 @@ def apply_edge_rules(
             "created_at": F.lit(ctx.run_ts),
         }
     )
-    edges = bypass_level(edges, short, upper)
+    edges = staged(bypass_level(edges, short, upper), "bom_bypassed")
     shells = None
     if dims.shells is not None:
         shells = dims.shells.filter(F.col("siteid") == rules.BYPASS_SITE)
@@ -291,7 +294,9 @@ def resolve_mappings(edges: DataFrame, dims: Dimensions, ctx: RunContext) -> Dat
         rules.PREFERRED_ITEM_PREFIX,
         rules.PREFERRED_CODE_PREFIX,
     )
-    return split_multi_mapped_father(edges, ctx, own)
+    edges = staged(edges, "bom_preferred")
+    mapping = multi_mapped(edges.filter(current), "odm", "father_pn", "father_site_pn")
+    return split_multi_mapped_father(edges, ctx, own, mapping=staged(mapping, "bom_mapping"))
 
 
 def finish(edges: DataFrame, dims: Dimensions, ctx: RunContext) -> DataFrame:
@@ -320,7 +325,7 @@ def build_bom(
     early_files: DataFrame | None = None,
 ) -> DataFrame:
     """The edge table of all sites. ``early_files`` is a feed whose edges are taken over directly."""
-    source, _ = materialize(bom_source(init, files, conf, ctx), "bom_source")
+    source = staged(bom_source(init, files, conf, ctx), "bom_source")
     early = None if early_files is None else shape_like(early_files, SCHEMA)
     edges = expand_codes(source, early, ctx)
     edges = drop_edges_to_both(
@@ -330,9 +335,8 @@ def build_bom(
         [(dims.sub_assembly, "sbb"), (dims.product, "product")],
     )
     edges = apply_corrections(edges, rules.BOM_CORRECTIONS_SPLIT)
-    # Written twice on the way: each rule below reads its input several times.
-    edges, _ = materialize(edges, "bom_expanded")
-    edges, _ = materialize(conform_sons(edges, dims), "bom_sons")
+    edges = staged(edges, "bom_expanded")
+    edges = staged(conform_sons(edges, dims), "bom_sons")
     edges = apply_edge_rules(edges, source, shape_like(files, SCHEMA), dims, ctx)
-    edges, _ = materialize(edges, "bom_rules")
-    return finish(resolve_mappings(edges, dims, ctx), dims, ctx)
+    edges = staged(edges, "bom_rules")
+    return finish(staged(resolve_mappings(edges, dims, ctx), "bom_mapped"), dims, ctx)

@@ -27,7 +27,7 @@ from supplyprep.operators.rows import blank_singletons, update_where
 from supplyprep.operators.split import union_unsplit_and_split
 from supplyprep.plans import rules
 from supplyprep.sources.readers import route_by_source
-from supplyprep.sources.storage import materialize
+from supplyprep.sources.storage import staged
 
 CYCLE_KEYS = ["bu", "odm", "odm_father_item", "odm_child_item"]
 DEDUP_KEYS = [
@@ -109,7 +109,7 @@ def build_bom_init(
     cascade: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """The repaired edges and the edges removed because they close a cycle."""
-    raw = raw_edges(main, monitored, conf)
+    raw = staged(raw_edges(main, monitored, conf), "bom_raw")
     unkeyed = F.col("bu").isNull() | F.col("odm").isNull()
     split = union_unsplit_and_split(
         raw,
@@ -119,7 +119,7 @@ def build_bom_init(
         cascade=cascade,
         first_only=unkeyed if legacy_share else None,
     )
-    edges, _ = materialize(repair_codes(split), "bom_init")
+    edges = staged(repair_codes(staged(split, "bom_split")), "bom_init")
     roots = sub_dim.filter(F.col("sbb").startswith(rules.SUB_ASSEMBLY_PREFIX))
     marked = flag_exists(edges, roots, [("father_item", "sbb")], "__root")
     cycles = find_cycle_edges(
@@ -130,6 +130,7 @@ def build_bom_init(
     kept = edges.filter(~coded).unionByName(
         delete_cycle_edges(edges.filter(coded), cycles, CYCLE_KEYS)
     )
+    kept = staged(kept, "bom_acyclic")
     kept = drop_redundant_suffix_edges(
         kept,
         component,
@@ -139,6 +140,7 @@ def build_bom_init(
         "father_item",
         "child_item",
     )
+    kept = staged(kept, "bom_short_codes")
     kept = dedup_subset(
         kept,
         (F.col("odm") == rules.DEDUP_SITE) & F.col("bu").isNull(),
@@ -148,6 +150,7 @@ def build_bom_init(
     kept = blank_singletons(
         kept, ["bu", "odm", "odm_father_item", "alternative_code"], "alternative_code"
     )
+    kept = staged(kept, "bom_groups")
     kept = drop_variant_fathers(kept, "odm", "father_item", "odm_father_item")
     zero = (F.col("alternative_code") == "0") & (F.col("odm") == rules.ZERO_GROUP_SITE)
     return update_where(kept, zero, {"alternative_code": F.lit(None)}), cycles

@@ -48,7 +48,7 @@ CLONED_SITE = ("HUAQIN", "HUAQIN_VN")
 SHARE_DISPLAY_EXEMPT = ("DS", "DB", "FLEX")
 SHARE_COMMODITY = "Touchpanel"
 
-_LOOPED_CODES = (
+LOOPED_CODES = (
     "SB20N60893",
     "SB20N60890",
     "SB20N60928",
@@ -56,7 +56,6 @@ _LOOPED_CODES = (
     "SB20N60961",
     "SB20N60962",
 )
-LOOPED_CODES = _LOOPED_CODES
 
 # Corrections of the BOM source rows, before and after the group codes are blanked.
 SOURCE_CORRECTIONS = (

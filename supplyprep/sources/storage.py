@@ -51,3 +51,12 @@ def materialize(
     rows = F.count(F.lit(1)) if counted is None else F.count_if(counted)
     df.observe(seen, rows.alias("n")).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), seen.get["n"]
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Write the rows once and go on from the table.
+
+    Used between steps that each read their input several times; without it the plan would repeat
+    everything before them once per reading.
+    """
+    return materialize(df, label)[0]
