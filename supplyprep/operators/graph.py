@@ -344,7 +344,8 @@ def flagged_ancestor(
 
     ``label`` is non-null on edges whose father is flagged and names the ancestor to report; ties
     give the smallest. The search runs downwards from the flagged fathers: a node is settled in
-    the round that first reaches it, so every node is visited once and cycles do no harm.
+    the round that first reaches it, so every node is visited once and cycles do no harm (on a
+    cycle a node may be its own ancestor).
     Returns site columns, ``son``, ``ancestor`` and ``distance``.
     """
     keys = [f"g{i}" for i in range(len(site))]

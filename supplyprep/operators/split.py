@@ -84,8 +84,8 @@ def union_unsplit_and_split(
 ) -> DataFrame:
     """Plain rows together with the split rows; rows that still hold a separator are dropped.
 
-    A row that needs two different splits is therefore lost, as each split leaves the other
-    separator in place; ``cascade`` splits such rows on both sides instead.
+    Each split starts from the original row, so of a row that needs two splits only the tokens
+    without the other separator are left; ``cascade`` splits such rows on both sides instead.
     """
     base = df if ratio in df.columns else df.withColumn(ratio, F.lit(None).cast("double"))
     if cascade:

@@ -64,18 +64,30 @@ def read_source(spark: SparkSession, sources: Mapping[str, Source], name: str) -
 def read_delimited(
     spark: SparkSession, sources: Mapping[str, Source], name: str, keep_corrupt: bool = False
 ) -> DataFrame:
-    """Site text drops. Lines that do not fit the schema are kept in ``_corrupt_record`` on request."""
+    """Site text drops. Lines that do not fit the schema are kept in ``_corrupt_record`` on request.
+
+    Values are read as text and cast here: the text reader itself only notices a bad value in a
+    column that the query happens to use, so which lines count would depend on the query.
+    """
     source = sources[name]
-    schema = T.StructType([*source.schema.fields, T.StructField(CORRUPT, T.StringType())])
-    df = (
-        spark.read.schema(schema)
+    fields = source.schema.fields
+    raw = T.StructType([T.StructField(f.name, T.StringType()) for f in fields])
+    lines = (
+        spark.read.schema(T.StructType([*raw.fields, T.StructField(CORRUPT, T.StringType())]))
         .options(**{"sep": "|", "header": "false", "mode": "PERMISSIVE", **source.options})
+        .option("columnPruning", "false")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(source.path)
     )
-    if keep_corrupt:
-        return df
-    return empty_text_to_null(df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT))
+    texts = empty_text_to_null(lines)
+    bad = F.col(CORRUPT).isNotNull()
+    for f in fields:
+        bad |= F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
+    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields]
+    if not keep_corrupt:
+        return texts.filter(~bad).select(*typed)
+    line = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*[f.name for f in fields])))
+    return texts.select(*typed, F.when(bad, line).alias(CORRUPT))
 
 
 def configured_sites(
