@@ -159,6 +159,21 @@ def q_backup_prune(t: Tables) -> DataFrame:
     return rows.filter(writers.backup_kept(F.col("backup_time"), RUN, 90))
 
 
+@query(
+    "q_rolling_backup",
+    """SELECT c_custkey, DATE '2001-08-02' AS backup_date FROM customer WHERE c_acctbal > 0
+UNION ALL SELECT c_custkey, DATE '2001-06-13' FROM customer""",
+)
+def q_rolling_backup(t: Tables) -> DataFrame:
+    """Three runs, the newest one twice; the oldest is out of the window when it is read."""
+    path = new_path(t.spark, "backup")
+    rows = t.customer.select("c_custkey", "c_acctbal")
+    for run in (datetime(2001, 4, 1), datetime(2001, 6, 13), RUN.run_ts):
+        writers.rolling_backup(rows, path, RunContext(run_ts=run))
+    writers.rolling_backup(rows.filter("c_acctbal > 0"), path, RUN)
+    return writers.read_backup(t.spark, path, RUN, 90).select("c_custkey", "backup_date")
+
+
 @query(
     "q_replace_slice",
     """SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'

@@ -92,14 +92,25 @@ def backup_kept(backup_time: Column, ctx: RunContext, days: int) -> Column:
     return backup_time >= F.date_sub(F.lit(ctx.run_date), days)
 
 
-def rolling_backup(df: DataFrame, base: str, ctx: RunContext, days: int = 90) -> str:
-    """Add today's rows to the backup and let rows older than ``days`` go."""
-    spark = df.sparkSession
-    new = with_backup_time(df, ctx)
-    if current_version(spark, base) is None:
-        return overwrite_snapshot(new, base, ctx)
-    old = read_snapshot(spark, base).filter(backup_kept(F.col("backup_time"), ctx, days))
-    return overwrite_snapshot(append(old, new), base, ctx)
+def rolling_backup(df: DataFrame, path: str, ctx: RunContext) -> None:
+    """Add the rows to the backup, in the partition of the run day (a repeated run replaces it)."""
+    (
+        with_backup_time(df, ctx)
+        .withColumn("backup_date", F.lit(ctx.run_date))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("backup_date")
+        .parquet(path)
+    )
+
+
+def read_backup(spark: SparkSession, path: str, ctx: RunContext, days: int = 90) -> DataFrame:
+    """Backup rows that are not older than ``days``.
+
+    Older partitions are pruned before the scan, so nothing is rewritten to let them go; the
+    storage's own lifecycle rule may remove their folders at any time.
+    """
+    return spark.read.parquet(path).filter(backup_kept(F.col("backup_date"), ctx, days))
 
 
 def without_slice(df: DataFrame, slice_: Column) -> DataFrame:

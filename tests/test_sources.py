@@ -58,14 +58,14 @@ def test_weekly_history_replaces_only_its_week(spark, tmp_path):
     assert rows(got.select(F.col("version_week").cast("int"), "count")) == [(20, 2), (21, 1)]
 
 
-def test_rolling_backup_drops_old_rows(spark, tmp_path):
-    base = str(tmp_path / "bak")
-    df = spark.createDataFrame([("a",)], "c string")
-    for days in (0, 50, 120):
+def test_rolling_backup_hides_old_rows(spark, tmp_path):
+    path = str(tmp_path / "bak")
+    df = spark.createDataFrame([("a",), ("b",)], "c string")
+    for days in (0, 50, 120, 120):
         ctx = RunContext(run_ts=CTX.run_ts + timedelta(days=days))
-        writers.rolling_backup(df, base, ctx, days=90)
-    kept = writers.read_snapshot(spark, base)
-    assert kept.count() == 2
+        writers.rolling_backup(df, path, ctx)
+    assert writers.read_backup(spark, path, ctx, days=90).count() == 4
+    assert writers.read_backup(spark, path, ctx, days=180).count() == 6
 
 
 def test_routing_with_monitor_and_overrides(spark):
