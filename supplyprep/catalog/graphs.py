@@ -172,14 +172,7 @@ SELECT odm, father_pn, father_site_pn, CASE WHEN father_pn = son_pn THEN NULL EL
 def q_self_loop(t: Tables) -> DataFrame:
     """Loops by item name; another edge of the same father code decides."""
     edges = item_edges(t).select(*SHOWN, "flag")
-    loop = F.col("father_pn") == F.col("son_pn")
-    others = edges.filter(~loop)
-    alone = edges.filter(loop).join(
-        others.select(F.col("odm").alias("o"), F.col("father_site_pn").alias("f")).distinct(),
-        (F.col("odm") == F.col("o")) & (F.col("father_site_pn") == F.col("f")),
-        "left_anti",
-    )
-    return others.union(alone.withColumn("son_pn", F.lit(None).cast("string")))
+    return graph.drop_self_loops(edges, ["odm"], "father_pn", "son_pn", same="father_site_pn")
 
 
 @query("q_self_loop_father", f"WITH {ITEM_EDGES_SQL} {LOOP_SQL.format(same='father_pn')}")

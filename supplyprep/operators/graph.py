@@ -388,17 +388,18 @@ def drop_self_loops(
 ) -> DataFrame:
     """Edges from a code to itself.
 
-    If another edge with the same father (``same="son"``: the same son) and a different other end
-    exists in the group, the loop is removed; otherwise its son becomes unknown. Groups are
-    compared by plain equality, so a loop with a missing group code has no other edge.
-    ``only`` restricts which loops are touched.
+    If the group holds an edge that is no loop and has the same father (``same="son"``: the same
+    son; or the same value in the column named), the loop is removed; otherwise its son becomes
+    unknown. Groups are compared by plain equality, so a loop with a missing group code has no
+    other edge. ``only`` restricts which loops are touched.
     """
     loop = F.col(father) == F.col(son)
     if only is not None:
         loop &= only
     loop = holds(loop)
     others = edges.filter(F.col(father) != F.col(son))
-    alone = not_exists_in(edges.filter(loop), others, [*group, father if same == "father" else son])
+    shared = {"father": father, "son": son}.get(same, same)
+    alone = not_exists_in(edges.filter(loop), others, [*group, shared])
     return edges.filter(~loop).unionByName(update_where(alone, F.lit(True), {son: F.lit(None)}))
 
 
