@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from supplyprep.llm import byte_bpe, re_pair, sharding
+from supplyprep.llm import byte_bpe, re_pair, sharding, simhash
 from supplyprep.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +20,12 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.simhash_components(read_table(spark, sf_dir, "documents"), shingle=4, distance=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query
 def op6_re_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = re_pair.write_token_files(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
