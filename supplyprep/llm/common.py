@@ -17,6 +17,8 @@ from supplyprep.sources.storage import materialize, new_path, staged
 
 __all__ = ["bounded_slices", "map_arrow", "materialize", "new_path", "read_table", "staged", "text_bytes", "text_or_empty"]
 
+#: Bytes of rows that are sent to a Python worker at a time; Spark's own limit counts rows only.
+ARROW_BYTES = 8 << 20
 #: Bytes of text that a task holds as Python objects at a time.
 SLICE_BYTES = 8 << 20
 
@@ -25,7 +27,11 @@ _SHIPPED: set[str] = set()
 
 
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType | str) -> DataFrame:
-    """``df.mapInArrow``, with this package sent to the workers once per application."""
+    """``df.mapInArrow``, with this package sent to the workers once per application.
+
+    Batches are bounded by bytes, as texts may be long; the setting stays in the session.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     context = df.sparkSession.sparkContext
     if context.applicationId not in _SHIPPED:
         package = Path(__file__).resolve().parents[1]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supplyprep.llm import byte_bpe, re_pair, sharding, simhash
+from supplyprep.llm import byte_bpe, re_pair, secret_scan, sharding, simhash
 from supplyprep.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,13 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(sharding.read_shards(spark, path))
 
 
+@query
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, secret_scan.train(docs))
+    return secret_scan.scan_digest(found.drop("text"))
+
+
 @query
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -98,7 +98,7 @@ class ByteLevelBpe:
     tokens have no meaning here: their strings are ordinary text.
     """
 
-    def __init__(self, content: bytes, pattern: str = GPT2_PATTERN, most_pieces: int = 400_000) -> None:
+    def __init__(self, content: bytes, pattern: str = GPT2_PATTERN, most_pieces: int = 300_000) -> None:
         self.split = splitter(pattern)
         self.characters = byte_characters()
         if content.lstrip()[:1] == b"{":
