@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supplyprep.llm import byte_bpe, re_pair, secret_scan, sharding, simhash
+from supplyprep.llm import byte_bpe, decontaminate, re_pair, secret_scan, sharding, simhash
 from supplyprep.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,14 @@ def op6_re_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return re_pair.token_rows(spark, path)
 
 
+@query
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+ORACLE_SQL["op7_decontaminate"] = decontaminate.SQL
+
+
 @query
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = sharding.write_shards(read_table(spark, sf_dir, "documents"))
