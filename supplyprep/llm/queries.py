@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supplyprep.llm import byte_bpe, decontaminate, re_pair, secret_scan, sharding, simhash
+from supplyprep.llm import byte_bpe, decontaminate, pii, re_pair, secret_scan, sharding, simhash
 from supplyprep.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,15 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+#: A key for the test tables; a real one comes from a secret store.
+DEMO_KEY = b"test tables"
+
+
+@query
+def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(read_table(spark, sf_dir, "documents").select("doc_id", "text"), DEMO_KEY)
+
+
 @query
 def op6_re_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = re_pair.write_token_files(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
