@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supplyprep.llm import byte_bpe, decontaminate, pii, re_pair, secret_scan, sharding, simhash
+from supplyprep.llm import byte_bpe, decontaminate, pii, quality, re_pair, secret_scan, sharding, simhash
 from supplyprep.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,13 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, read_table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
 #: A key for the test tables; a real one comes from a secret store.
 DEMO_KEY = b"test tables"
 
