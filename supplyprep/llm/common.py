@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from supplyprep.sources.storage import materialize, new_path, staged
 
-__all__ = ["bounded_slices", "map_arrow", "materialize", "new_path", "read_table", "staged", "text_bytes", "text_or_empty"]
+__all__ = ["bounded_slices", "map_arrow", "materialize", "new_path", "read_table", "small_side", "staged", "text_bytes", "text_or_empty"]
 
 #: Bytes of rows that are sent to a Python worker at a time; Spark's own limit counts rows only.
 ARROW_BYTES = 8 << 20
@@ -58,6 +58,15 @@ def text_bytes(text: str | Column = "text") -> Column:
     return text_or_empty(text).cast("binary")
 
 
+#: Rows of one or two longs up to which a side is broadcast, about 32 MB; larger ones are shuffled.
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` marked for broadcast if its counted rows are few."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def bounded_slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that one slice holds at most ``most`` bytes of ``column``, one row at least."""
     for batch in batches:

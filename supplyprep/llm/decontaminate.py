@@ -17,12 +17,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from supplyprep.llm.common import materialize, staged, text_or_empty
+from supplyprep.llm.common import materialize, small_side, text_or_empty
 
 WORDS = 5
 SHARE = 0.8
-#: Rows of two longs up to which a side is broadcast, about 32 MB; larger ones are shuffled.
-BROADCAST_ROWS = 1_000_000
 
 
 def words(text: str | Column) -> Column:
@@ -36,10 +34,6 @@ def _shingles(hashes: Column, width: int) -> Column:
     return F.when(F.size(hashes) >= width, F.transform(F.sequence(F.lit(0), F.size(hashes) - width), run)).otherwise(F.array().cast("array<long>"))
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def item_shingles(items: DataFrame, key: str = "item_id", text: str = "text", share: float = SHARE, width: int = WORDS) -> DataFrame:
     """(item, key, width, n, gram, sketched): the distinct shingles of each item, and whether its sketch has them.
 
@@ -71,10 +65,10 @@ def contained_items(docs: DataFrame, items: DataFrame, key: str = "doc_id", text
     wanted = grams.select("gram").distinct()
     rows = docs.select(F.col(key), F.xxhash64(F.col(key), text_or_empty(text)).alias("doc"), F.transform(words(text), lambda w: F.xxhash64(w)).alias("h"))
     rows = rows.select(key, "doc", F.explode(F.concat(*[_shingles(F.col("h"), w) for w in widths])).alias("gram"))
-    found, n_found = materialize(rows.join(_small(wanted, n_grams), "gram").distinct(), "shared-shingles")
-    candidates = found.join(_small(grams.where("sketched"), n_grams), "gram").select("doc", key, "item", item_key, "n").distinct()
-    tried = candidates.join(_small(grams.select("item", "gram"), n_grams), "item")
-    shared = tried.join(_small(found.select("doc", "gram"), n_found), ["doc", "gram"]).groupBy("doc", key, "item", item_key, "n").agg(F.count(F.lit(1)).alias("n_shared"))
+    found, n_found = materialize(rows.join(small_side(wanted, n_grams), "gram").distinct(), "shared-shingles")
+    candidates = found.join(small_side(grams.where("sketched"), n_grams), "gram").select("doc", key, "item", item_key, "n").distinct()
+    tried = candidates.join(small_side(grams.select("item", "gram"), n_grams), "item")
+    shared = tried.join(small_side(found.select("doc", "gram"), n_found), ["doc", "gram"]).groupBy("doc", key, "item", item_key, "n").agg(F.count(F.lit(1)).alias("n_shared"))
     kept = shared.where(F.col("n_shared") >= F.ceil(F.round(F.lit(share) * F.col("n"), 6)))
     best = kept.groupBy(key, item_key).agg(F.max(F.struct(F.col("n_shared") / F.col("n"), F.col("n_shared"), F.col("n"))).alias("b"))
     return best.select(key, item_key, F.col("b.n").cast("long").alias("n_shingles"), F.col("b.n_shared").alias("n_shared"), (F.col("b.n_shared") / F.col("b.n")).alias("containment"))
@@ -83,7 +77,7 @@ def contained_items(docs: DataFrame, items: DataFrame, key: str = "doc_id", text
 def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose key contains no item, with all columns. Rows with a null key go by it as well."""
     hit, n = materialize(contained_items(docs, items, key, text, item_key, item_text).select(key).distinct(), "contaminated")
-    return docs.join(_small(hit.select(F.col(key).alias("__hit")), n), docs[key].eqNullSafe(F.col("__hit")), "left_anti")
+    return docs.join(small_side(hit.select(F.col(key).alias("__hit")), n), docs[key].eqNullSafe(F.col("__hit")), "left_anti")
 
 
 SQL = r"""

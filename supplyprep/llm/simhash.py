@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from supplyprep.llm.common import bounded_slices, buffer_of, map_arrow, materialize, offsets_of, staged, text_bytes
+from supplyprep.llm.common import bounded_slices, buffer_of, map_arrow, materialize, offsets_of, small_side, staged, text_bytes, text_or_empty
 from supplyprep.llm.components import connected_components
 
 BITS = 64
@@ -204,11 +204,12 @@ def simhash_components(docs: DataFrame, shingle: int = 4, distance: int = 4, tex
 
 
 def keep_one_per_component(docs: DataFrame, shingle: int = 4, distance: int = 4, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that come first, by key, in their component, with all columns.
+    """The first row, by key and then by text hash, of every component, with all columns.
 
-    Rows with a null key are kept: nothing tells them apart. Rows that repeat the first key of a
-    component stay, too; they are the same document.
+    Rows without a key come last. Fully equal rows are one document: all of them stay or go.
     """
-    found = simhash_components(docs, shingle, distance, text, key)
-    dropped = found.where(F.col(key) != F.col("component_id")).select(key).distinct()
-    return docs.join(dropped, key, "left_anti")
+    row = F.xxhash64(F.col(key), text_or_empty(text))
+    rows = docs.select(F.struct(F.col(key).isNull().alias("unnamed"), F.col(key).alias("key"), row.alias("row")).alias("at"), F.col(text).alias("text"))
+    found = simhash_components(rows, shingle, distance, "text", "at")
+    dropped, n = materialize(found.where("at.row != component_id.row").select(F.col("at.row").alias("__row")).distinct(), "near-copies")
+    return docs.withColumn("__at", row).join(small_side(dropped, n), F.col("__at") == F.col("__row"), "left_anti").drop("__at")
