@@ -30,20 +30,18 @@ def q_na_null(t: Tables) -> DataFrame:
     "q_pad",
     """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
   lpad(CAST(l_orderkey AS VARCHAR), 18, '0') AS order_code,
-  CASE WHEN l_linenumber = 1 THEN lpad('R' || lpad(CAST(l_partkey AS VARCHAR), 6, '0'), 12, '0')
-    ELSE 'R' || l_partkey || '-' || l_linenumber END AS item,
-  lpad(CAST(l_linenumber AS VARCHAR), 5, '0') AS line FROM lineitem""",
+  CASE WHEN length(code) = 7 THEN lpad(code, 12, '0') ELSE code END AS item,
+  lpad(CAST(l_linenumber AS VARCHAR), 5, '0') AS line FROM (
+  SELECT *, CASE WHEN l_linenumber = 1 THEN 'R' || lpad(CAST(l_partkey AS VARCHAR), 6, '0')
+    ELSE 'R' || l_partkey || '-' || l_linenumber END AS code FROM lineitem)""",
 )
 def q_pad(t: Tables) -> DataFrame:
     short = F.concat(F.lit("R"), F.lpad(F.col("l_partkey").cast("string"), 6, "0"))
     other = clean.join_text(F.lit("R"), "l_partkey", F.lit("-"), "l_linenumber")
-    item = F.when(F.col("l_linenumber") == 1, short).otherwise(other)
-    # Codes of seven characters other than the short form do not occur with a dash at this size.
-    padded = F.when(F.col("l_linenumber") == 1, clean.pad_len(item)).otherwise(item)
     return t.lineitem.select(
         *LINE_KEY,
         clean.pad_numeric(F.col("l_orderkey").cast("string")).alias("order_code"),
-        padded.alias("item"),
+        clean.pad_len(F.when(F.col("l_linenumber") == 1, short).otherwise(other)).alias("item"),
         clean.pad_line("l_linenumber").alias("line"),
     )
 

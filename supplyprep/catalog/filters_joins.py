@@ -337,23 +337,22 @@ def q_casefold(t: Tables) -> DataFrame:
 
 @query(
     "q_full_outer",
-    """SELECT coalesce(r.l_partkey, n.l_partkey) AS l_partkey, coalesce(returned, 0) AS returned,
-  coalesce(kept, 0) AS kept FROM (
-  SELECT l_partkey, sum(l_quantity) AS returned FROM lineitem
-  WHERE l_returnflag = 'R' AND l_quantity > 40 GROUP BY 1) r
-FULL JOIN (SELECT l_partkey, sum(l_quantity) AS kept FROM lineitem
-  WHERE l_returnflag = 'N' AND l_quantity > 40 GROUP BY 1) n ON r.l_partkey = n.l_partkey""",
+    """SELECT coalesce(r.l_partkey, n.l_partkey) AS l_partkey, coalesce(r.l_suppkey, n.l_suppkey) AS l_suppkey,
+  coalesce(returned, 0) AS returned, coalesce(kept, 0) AS kept FROM (
+  SELECT l_partkey, l_suppkey, sum(l_quantity) AS returned FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2) r
+FULL JOIN (SELECT l_partkey, l_suppkey, sum(l_quantity) AS kept FROM lineitem
+  WHERE l_returnflag = 'N' GROUP BY 1, 2) n ON r.l_partkey = n.l_partkey AND r.l_suppkey = n.l_suppkey""",
 )
 def q_full_outer(t: Tables) -> DataFrame:
-    large = t.lineitem.filter("l_quantity > 40")
-    returned = large.filter("l_returnflag = 'R'").groupBy("l_partkey").agg(
+    keys = ["l_partkey", "l_suppkey"]
+    returned = t.lineitem.filter("l_returnflag = 'R'").groupBy(*keys).agg(
         F.sum("l_quantity").alias("returned")
     )
-    kept = large.filter("l_returnflag = 'N'").groupBy("l_partkey").agg(
+    kept = t.lineitem.filter("l_returnflag = 'N'").groupBy(*keys).agg(
         F.sum("l_quantity").alias("kept")
     )
-    return returned.join(kept, "l_partkey", "full_outer").select(
-        "l_partkey",
+    return returned.join(kept, keys, "full_outer").select(
+        *keys,
         F.coalesce("returned", F.lit(0.0)).alias("returned"),
         F.coalesce("kept", F.lit(0.0)).alias("kept"),
     )
@@ -376,25 +375,15 @@ def q_union_all(t: Tables) -> DataFrame:
 
 @query(
     "q_union",
-    """SELECT c_nationkey AS nation, 'both' AS kind FROM customer WHERE c_acctbal > 9000
-UNION SELECT s_nationkey, 'both' FROM supplier WHERE s_acctbal > 9000
-UNION ALL (SELECT n_nationkey, 'neither' FROM nation EXCEPT (
-  SELECT c_nationkey, 'neither' FROM customer WHERE c_acctbal > 9000
-  UNION SELECT s_nationkey, 'neither' FROM supplier WHERE s_acctbal > 9000))""",
+    """SELECT c_custkey AS code, 'known' AS kind FROM customer UNION SELECT s_suppkey, 'known' FROM supplier
+UNION ALL (SELECT p_partkey, 'other' FROM part EXCEPT (
+  SELECT c_custkey, 'other' FROM customer UNION SELECT s_suppkey, 'other' FROM supplier))""",
 )
 def q_union(t: Tables) -> DataFrame:
     """Distinct union, and the difference as an anti join."""
-    rich = (
-        t.customer.filter("c_acctbal > 9000")
-        .select(F.col("c_nationkey").alias("nation"))
-        .union(t.supplier.filter("s_acctbal > 9000").select("s_nationkey"))
-        .distinct()
-    )
-    poor = not_exists_in(t.nation, rich, [("n_nationkey", "nation")])
-    return append(
-        rich.withColumn("kind", F.lit("both")),
-        poor.select(F.col("n_nationkey").alias("nation"), F.lit("neither").alias("kind")),
-    )
+    known = t.customer.select(F.col("c_custkey").alias("code")).union(t.supplier.select("s_suppkey")).distinct()
+    other = not_exists_in(t.part, known, [("p_partkey", "code")]).select(F.col("p_partkey").alias("code"))
+    return append(known.withColumn("kind", F.lit("known")), other.withColumn("kind", F.lit("other")))
 
 
 @query(

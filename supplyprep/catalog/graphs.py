@@ -274,13 +274,13 @@ def q_null_child(t: Tables) -> DataFrame:
     f"""WITH {E_SQL} SELECT father, son, grp FROM e JOIN part ON p_partkey = son
 WHERE p_type <> 'PROMO' OR father IN (
   SELECT l_partkey FROM lineitem JOIN orders ON o_orderkey = l_orderkey
-  WHERE o_orderstatus = 'O' AND o_orderpriority = '1-URGENT' AND l_quantity > 40)""",
+  WHERE o_orderstatus = 'O' AND o_orderpriority = '1-URGENT')""",
 )
 def q_readmit(t: Tables) -> DataFrame:
     raw = t.edges.select(*EDGE)
     left = graph.drop_fathers_in(raw, F.lit(True), "son", parts_of(t, "PROMO"), "code")
     urgent = t.orders.filter("o_orderstatus = 'O' AND o_orderpriority = '1-URGENT'")
-    lines = exists_in(t.lineitem.filter("l_quantity > 40"), urgent, [("l_orderkey", "o_orderkey")])
+    lines = exists_in(t.lineitem, urgent, [("l_orderkey", "o_orderkey")])
     return graph.readmit_edges(
         left, raw, lines, "l_partkey", parts_of(t, "PROMO"), "code", "father", "son"
     )

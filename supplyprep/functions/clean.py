@@ -54,7 +54,7 @@ def clean_text(value: Column | str) -> Column:
 
 
 def pad_numeric(value: Column | str, length: int = MATERIAL_LENGTH) -> Column:
-    """Left-pad codes made of digits only."""
+    """Left-pad codes made of digits only; the rule also cuts longer ones to ``length``."""
     column = as_column(value)
     return F.when(column.rlike("^[0-9]+$"), F.lpad(column, length, "0")).otherwise(column)
 
@@ -73,7 +73,9 @@ def conform_material(value: Column | str) -> Column:
 
 
 def pad_line(value: Column | str, length: int = 5) -> Column:
-    return F.lpad(as_column(value).cast("string"), length, "0")
+    """Left-pad line numbers; longer ones stay whole, so two lines never become one."""
+    text = as_column(value).cast("string")
+    return F.when(F.length(text) < length, F.lpad(text, length, "0")).otherwise(text)
 
 
 def all_zero_to_null(value: Column | str) -> Column:

@@ -50,8 +50,6 @@ BOM = Shape()
 
 ROUNDS_PER_JOB = 2
 """Levels that a graph loop walks before it writes its state (more repeat work inside one job)."""
-WORTHWHILE_CUT = 0.1
-"""Share of the edges that a labelling pass must cut for another pass to follow."""
 
 # Content of the dummy edges between an item and its site code.
 DUMMY_QUANTITY = 1
@@ -139,8 +137,8 @@ def _cyclic_core(edges: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]
     """Edges that may lie on a cycle; every edge inside a strongly connected component is kept.
 
     Labels are spread along and against the edges until nothing moves; an edge whose ends carry
-    different labels cannot lie on a cycle and is cut. Repeated to the end this leaves exactly the
-    components; it stops once a pass cuts few edges, as the walk is exact on any superset.
+    different labels cannot lie on a cycle and is cut. Repeated until nothing is cut this leaves
+    exactly the components.
     """
     edges, rows = _trim(edges, keys, "father", "son")
     while rows:
@@ -158,10 +156,9 @@ def _cyclic_core(edges: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]
             )
         kept = joined.filter("father_down = son_down AND father_up = son_up")
         edges, left = materialize(kept.select(*keys, "father", "son"), "core")
-        few = left > rows * (1 - WORTHWHILE_CUT)
-        rows = left
-        if few:
+        if left == rows:
             break
+        rows = left
     return edges, rows
 
 

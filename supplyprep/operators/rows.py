@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from supplyprep.functions.clean import as_column
-from supplyprep.operators.joins import Key, all_of, exists_in, key_pairs, unique_ref
+from supplyprep.operators.joins import Key, all_of, exists_in, key_pairs, not_exists_in, unique_ref
 
 
 def holds(condition: Column) -> Column:
@@ -93,20 +93,28 @@ def upsert(
         *[F.col(c).alias(f"__n_{c}") for c in carried],
         F.lit(True).alias("__new"),
     )
-    left = df.withColumn("__old", F.lit(True))
     match = all_of([F.col(k) == F.col(f"__k_{k}") for k in keys])
-    joined = left.join(right, match, "full_outer")
-    old, new = F.col("__old").isNotNull(), F.col("__new").isNotNull()
-
-    def column(name: str) -> Column:
-        if name in keys:
-            return F.coalesce(F.col(name), F.col(f"__k_{name}"))
-        incoming = F.col(f"__n_{name}") if name in carried else F.lit(None)
-        inserted = incoming if name in insert else F.lit(None)
-        updated = incoming if name in update else F.col(name)
-        return F.when(~old, inserted).when(new, updated).otherwise(F.col(name))
-
-    return joined.select(*[column(c).alias(c) for c in df.columns])
+    keyed = all_of([F.col(k).isNotNull() for k in keys])
+    new = F.col("__new").isNotNull()
+
+    def updated(name: str) -> Column:
+        if name not in update or name in keys:
+            return F.col(name)
+        return F.when(new, F.col(f"__n_{name}")).otherwise(F.col(name))
+
+    # Two joins with the table on one side each, so a hot key can be split; rows without a key pass by.
+    changed = df.filter(keyed).join(right, match, "left").select(
+        *[updated(c).alias(c) for c in df.columns]
+    )
+    fresh = not_exists_in(src, df, list(keys)).select(
+        *[
+            (F.col(f.name) if f.name in keys or (f.name in insert and f.name in carried) else F.lit(None))
+            .cast(f.dataType)
+            .alias(f.name)
+            for f in df.schema.fields
+        ]
+    )
+    return changed.union(df.filter(~keyed)).union(fresh)
 
 
 def blank_singletons(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:

@@ -132,13 +132,15 @@ def intransit_by_po(
     delivery_plant: str = rules.ORDER_DELIVERY_PLANT,
     order_plant: str = rules.ORDER_PLANT,
     since: str = rules.ORDER_DATA_FROM,
-    receipt_keys: Sequence[str] = ("ebeln",),
+    legacy_order_receipts: bool = False,
     source: str = "supplyprep",
 ) -> DataFrame:
     """Issued minus received quantity per purchase order, item and site; settled ones drop out.
 
-    Receipts are summed per order before the join (also per item if ``receipt_keys`` names it), so
-    issues are never multiplied by receipt rows.
+    Receipts are summed per order and item before the join, so issues are never multiplied by
+    receipt rows and a receipt settles its own item only. Both sides take the item of the shell
+    list. Receipts without an item settle nothing. ``legacy_order_receipts`` subtracts all receipts
+    of an order from each of its items.
     """
     removed = F.lit(False)
     for order, delivery in rules.ORDER_DELETED:
@@ -161,13 +163,16 @@ def intransit_by_po(
         F.coalesce("lfimg", F.lit(0)).alias("gi"),
     )
     shipped = named.groupBy("po", "item", "fromsiteid").agg(F.sum("gi").alias("shipmentqty"))
-    suppliers = F.col("lifnr").isin(*rules.ORDER_SUPPLIERS)
-    received = net_receipts(
-        mat_doc.filter(suppliers), list(receipt_keys), order_plant, before, since
-    )
+    booked = mat_doc.filter(F.col("lifnr").isin(*rules.ORDER_SUPPLIERS))
     match = F.col("po") == F.col("ebeln")
-    if "matnr" in receipt_keys:
-        match &= F.col("item") == F.col("matnr")
+    if legacy_order_receipts:
+        received = net_receipts(booked, ["ebeln"], order_plant, before, since)
+    else:
+        booked = booked.join(alias, F.col("matnr") == F.col("__shell"), "left").withColumn(
+            "__item", F.coalesce("__dummy", "matnr")
+        )
+        received = net_receipts(booked, ["ebeln", "__item"], order_plant, before, since)
+        match &= F.col("item") == F.col("__item")
     gr = F.coalesce("gr", F.lit(0))
     netted = shipped.join(received, match, "left").select(
         F.col("po").alias("shipmentid"),

@@ -8,10 +8,12 @@ that it replaces.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from supplyprep.context import RunContext
 from supplyprep.functions.dates import calendar_week, year_start
@@ -52,6 +54,48 @@ def overwrite_snapshot(df: DataFrame, base: str, ctx: RunContext) -> str:
     return path
 
 
+def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Rows with the bucket of their key, in a table kept by :func:`write_buckets`."""
+    return df.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+
+def _bucket_folders(spark: SparkSession, base: str) -> tuple[dict[int, str], int]:
+    """The folder that each bucket is read from now, and the number of the last write."""
+    try:
+        rows = spark.read.schema("seq long, bucket int, path string").json(f"{base}/_pointer")
+        found = rows.groupBy("bucket").agg(F.max_by("path", "seq").alias("path"), F.max("seq").alias("seq")).collect()
+    except AnalysisException:
+        return {}, 0
+    return {r["bucket"]: r["path"] for r in found}, max((r["seq"] for r in found), default=0)
+
+
+def read_buckets(spark: SparkSession, base: str, schema: StructType | None = None, only: Sequence[int] | None = None) -> DataFrame:
+    """The rows of a bucketed table, or of some buckets of it; ``schema`` is needed where none is written yet."""
+    folders, _ = _bucket_folders(spark, base)
+    paths = [path for bucket, path in sorted(folders.items()) if only is None or bucket in only]
+    if paths:
+        return spark.read.parquet(*paths)
+    if schema is None:
+        raise FileNotFoundError(f"no rows under {base}")
+    return spark.createDataFrame([], schema)
+
+
+def write_buckets(df: DataFrame, base: str, ctx: RunContext) -> None:
+    """Replace the buckets that ``df`` (with the column ``bucket``) has rows of; the others stay.
+
+    New folders are written first and then named in one step, as with :func:`overwrite_snapshot`.
+    """
+    spark = df.sparkSession
+    path = f"{base}/v={ctx.version}-{uuid.uuid4().hex}"
+    df.write.partitionBy("bucket").parquet(path)
+    _, last = _bucket_folders(spark, base)
+    touched = spark.read.parquet(path).select("bucket").distinct()
+    rows = touched.select(
+        F.lit(last + 1).cast("long").alias("seq"), "bucket", F.concat(F.lit(f"{path}/bucket="), "bucket").alias("path")
+    )
+    rows.coalesce(1).write.mode("append").json(f"{base}/_pointer")
+
+
 def append(*parts: DataFrame) -> DataFrame:
     """Rows of several independent steps as one table, matched by column name."""
     result = parts[0]

@@ -1,8 +1,10 @@
 """Structured Streaming forms of the two incremental steps.
 
-Both take files as they arrive, process what is there (``availableNow``) and keep the result as a
-versioned snapshot. The stream checkpoint takes the place of a stored last run time. A batch that
-is repeated after a failure gives the same snapshot, since a newer row of a key always wins.
+Both take files as they arrive, process what is there (``availableNow``) and keep the result in a
+table that is cut into buckets by key: a batch reads and rewrites only the buckets of the keys it
+brings. The stream checkpoint takes the place of a stored last run time. A batch that is repeated
+after a failure gives the same table, since a newer row of a key always wins, also over a row that
+arrives later.
 """
 
 from __future__ import annotations
@@ -10,13 +12,18 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from supplyprep.context import RunContext
 from supplyprep.operators.groups import keep_latest
 from supplyprep.operators.rows import upsert
-from supplyprep.sources.writers import current_version, overwrite_snapshot, read_snapshot
+from supplyprep.sources.storage import staged
+from supplyprep.sources.writers import read_buckets, with_bucket, write_buckets
+
+#: Parts of a target table; as many as keep one part to some hundred megabytes.
+BUCKETS = 64
 
 
 def file_stream(
@@ -36,6 +43,22 @@ def _run(
     )
 
 
+def _merge(
+    rows: DataFrame,
+    target: str,
+    keys: Sequence[str],
+    buckets: int,
+    ctx: RunContext,
+    merge: Callable[[DataFrame, DataFrame], DataFrame],
+) -> None:
+    """Merge a batch into the buckets that its keys fall into."""
+    new = staged(with_bucket(rows, keys, buckets), "arrived")
+    touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]
+    if touched:
+        old = read_buckets(rows.sparkSession, target, rows.schema, touched)
+        write_buckets(with_bucket(merge(old, new.drop("bucket")), keys, buckets), target, ctx)
+
+
 def stream_upsert(
     stream: DataFrame,
     target: str,
@@ -45,20 +68,27 @@ def stream_upsert(
     update: Sequence[str],
     ctx: RunContext,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
-    """Upsert arriving rows into a snapshot; within a batch the newest row of a key counts.
+    """Upsert arriving rows into a table; a row that is not newer than the stored one is left out.
 
-    ``prepare`` turns the raw rows into target rows (for instance joins with static tables).
+    ``order`` are columns of the table, the larger the newer. ``prepare`` turns the raw rows into
+    target rows (for instance joins with static tables).
     """
 
+    def merge(old: DataFrame, newest: DataFrame) -> DataFrame:
+        stored = old.select(
+            *[F.col(k).alias(f"__s_{k}") for k in keys], F.struct(*order).alias("__stored")
+        )
+        same = [F.col(k) == F.col(f"__s_{k}") for k in keys]
+        newer = newest.join(stored, same, "left").filter(
+            F.col("__stored").isNull() | (F.struct(*order) > F.col("__stored"))
+        )
+        return upsert(old, newer.select(*newest.columns), list(keys), list(update))
+
     def batch(rows: DataFrame, _: int) -> None:
         shaped = rows if prepare is None else prepare(rows)
-        newest = keep_latest(shaped, list(keys), list(order))
-        if current_version(rows.sparkSession, target) is None:
-            overwrite_snapshot(newest, target, ctx)
-            return
-        old = read_snapshot(rows.sparkSession, target)
-        overwrite_snapshot(upsert(old, newest, list(keys), list(update)), target, ctx)
+        _merge(keep_latest(shaped, list(keys), list(order)), target, keys, buckets, ctx, merge)
 
     return _run(stream, checkpoint, batch)
 
@@ -70,13 +100,14 @@ def stream_latest(
     keys: Sequence[str],
     order: Sequence[str],
     ctx: RunContext,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Keep the newest row per key over everything that has arrived."""
 
+    def merge(old: DataFrame, new: DataFrame) -> DataFrame:
+        return keep_latest(old.unionByName(new), list(keys), list(order))
+
     def batch(rows: DataFrame, _: int) -> None:
-        both = rows
-        if current_version(rows.sparkSession, target) is not None:
-            both = read_snapshot(rows.sparkSession, target).unionByName(rows)
-        overwrite_snapshot(keep_latest(both, list(keys), list(order)), target, ctx)
+        _merge(keep_latest(rows, list(keys), list(order)), target, keys, buckets, ctx, merge)
 
     return _run(stream, checkpoint, batch)

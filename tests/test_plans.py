@@ -280,10 +280,10 @@ def test_receipts_are_not_multiplied_by_items(spark):
     documents = make(
         spark,
         INPUTS["mat_doc"],
-        {**booked, "ebelp": "1", "bwart": "101", "menge": Decimal(4)},
-        {**booked, "ebelp": "2", "bwart": "101", "menge": Decimal(3)},
-        {**booked, "ebelp": "2", "bwart": "102", "menge": Decimal(1)},
-        {**booked, "ebelp": "2", "bwart": "105", "menge": Decimal(99)},
+        {**booked, "ebelp": "1", "matnr": "A", "bwart": "101", "menge": Decimal(4)},
+        {**booked, "ebelp": "2", "matnr": "A", "bwart": "101", "menge": Decimal(3)},
+        {**booked, "ebelp": "2", "matnr": "A", "bwart": "102", "menge": Decimal(1)},
+        {**booked, "ebelp": "2", "matnr": "A", "bwart": "105", "menge": Decimal(99)},
     )
     shells = make(spark, INPUTS["shell_mapping"], {"purchaseshell": "A", "dummyshell": "DUMMY"})
     out = netting.intransit_by_po(orders, deliveries, documents, shells, CTX, F.lit(date(2024, 5, 1)))
@@ -291,6 +291,20 @@ def test_receipts_are_not_multiplied_by_items(spark):
     assert [got[0], *[float(v) for v in got[1:]]] == ["DUMMY", 15.0, 6.0, 9.0]
 
 
+def test_receipts_settle_their_own_item(spark):
+    orders = spark.createDataFrame([("PO1", "O1")], "po string, orderid string")
+    moved = {"werks": "L220", "wadat_ist": date(2024, 1, 2), "erdat": date(2024, 1, 2), "vbgel": "O1", "lfimg": Decimal(10)}
+    deliveries = make(spark, INPUTS["delivery"], {**moved, "vbeln": "d1", "matnr": "A"}, {**moved, "vbeln": "d2", "matnr": "B"})
+    booked = {"ebeln": "PO1", "werks": "X420", "lifnr": "0001000210", "budat": date(2024, 1, 3), "cpudt": date(2024, 1, 3), "bwart": "101", "menge": Decimal(10)}
+    documents = make(spark, INPUTS["mat_doc"], {**booked, "matnr": "A"}, {**booked, "matnr": None, "menge": Decimal(3)})
+    shells = make(spark, INPUTS["shell_mapping"], {"purchaseshell": "A", "dummyshell": "DUMMY"})
+    before = F.lit(date(2024, 5, 1))
+    out = netting.intransit_by_po(orders, deliveries, documents, shells, CTX, before)
+    assert [(r["item"], float(r["intransitqty"])) for r in out.collect()] == [("B", 10.0)]
+    legacy = netting.intransit_by_po(orders, deliveries, documents, shells, CTX, before, legacy_order_receipts=True)
+    assert sorted((r["item"], float(r["intransitqty"])) for r in legacy.collect()) == [("B", -3.0), ("DUMMY", -3.0)]
+
+
 def test_ledger_cut_off_and_dates(spark):
     share = make(spark, INPUTS["share"], {"item": "m", "bu": "ThinkNB", "siteid": "LCFC", "supplier": "S", "vendor_code": "V", "display_type": "DS"})
     asn = make(
