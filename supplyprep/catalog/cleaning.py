@@ -11,6 +11,7 @@ from supplyprep.functions import clean
 from supplyprep.functions.dates import normalize_eff_start, parse_mixed_date
 from supplyprep.operators.joins import canonical_prefix, exists_in, flag_exists
 from supplyprep.operators.split import split_rows, split_tokens, union_unsplit_and_split
+from supplyprep.plans.common import bu_by_codes, bu_from_components, bu_from_family
 
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
@@ -165,32 +166,41 @@ def q_eff_start(t: Tables) -> DataFrame:
 
 @query(
     "q_bu_rules",
-    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, coalesce(
-  CASE WHEN p_type = 'PROMO' THEN CASE WHEN p_brand = 'Brand#5' THEN 'IDEA' ELSE 'THINK' END END,
-  CASE WHEN p_type IN ('SMALL', 'LARGE') THEN p_type END,
-  CASE WHEN l_suppkey <> l_partkey THEN CASE WHEN l_returnflag <> 'A' THEN 'DIFFERENT' END
-       WHEN l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) THEN 'SAME' END,
-  (SELECT min(n_name) FROM supplier JOIN nation ON n_nationkey = s_nationkey
-   WHERE s_suppkey = l_suppkey)) AS bu
-FROM lineitem JOIN part ON p_partkey = l_partkey""",
+    """WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE l_linestatus WHEN 'F' THEN 'LCFC' ELSE 'X1' END AS odm,
+    CASE WHEN l_returnflag = 'A' THEN CAST(l_partkey AS VARCHAR) ELSE 'S' || l_suppkey END AS site_item,
+    CAST(l_partkey AS VARCHAR) AS item, CASE WHEN l_linenumber > 5 THEN 'OWN' END AS bu FROM lineitem),
+parts AS (SELECT CAST(p_partkey AS VARCHAR) AS code, p_size, p_type, p_brand FROM part),
+one AS (SELECT r.*, coalesce(CASE WHEN odm = 'LCFC' THEN CASE WHEN site_item <> item THEN 'DIFFERENT'
+    WHEN p_size <= 30 THEN 'SAME' END END, bu) AS b FROM r LEFT JOIN parts ON code = item),
+two AS (SELECT one.*, CASE WHEN odm = 'LCFC' AND b IS NULL THEN p_type ELSE b END AS c
+  FROM one LEFT JOIN (SELECT * FROM parts WHERE p_size > 20) ON code = site_item),
+family AS (SELECT code, CASE WHEN min(k) = max(k) THEN min(k) ELSE 'IdeaNB' END AS f FROM (
+  SELECT code, p_type AS k FROM parts WHERE p_size > 10 UNION ALL SELECT code, p_brand FROM parts WHERE p_size > 40) GROUP BY code)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, coalesce(CASE WHEN odm = 'X1' THEN f END, c) AS bu
+FROM two LEFT JOIN family ON code = item""",
 )
 def q_bu_rules(t: Tables) -> DataFrame:
-    """Ordered rules: later ones overwrite, the last one fills what is still missing."""
-    rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-    known = t.supplier.filter("s_acctbal > 0")
-    rows = flag_exists(rows, known, [("l_suppkey", "s_suppkey")], "known")
-    nations = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        "s_suppkey", "n_name"
+    """Ordered rules of the pipelines: by codes, from the using parts, from the family."""
+    key = F.col("p_partkey").cast("string")
+    rows = t.lineitem.select(
+        *LINE_KEY,
+        F.when(F.col("l_linestatus") == "F", "LCFC").otherwise("X1").alias("odm"),
+        F.when(F.col("l_returnflag") == "A", F.col("l_partkey").cast("string"))
+        .otherwise(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")))
+        .alias("site_item"),
+        F.col("l_partkey").cast("string").alias("item"),
+        F.when(F.col("l_linenumber") > 5, "OWN").alias("bu"),
     )
-    rows = rows.join(nations, F.col("l_suppkey") == F.col("s_suppkey"), "left")
-    differ = F.col("l_suppkey") != F.col("l_partkey")
-    bu = F.when(differ & (F.col("l_returnflag") != "A"), "DIFFERENT").when(
-        ~differ & F.col("known"), "SAME"
+    known = t.part.filter("p_size <= 30").select(key.alias("component"))
+    used = t.part.filter("p_size > 20").select(
+        key.alias("comp"), F.lit("LCFC").alias("werks"), F.col("p_type").alias("bu")
     )
-    bu = F.when(F.col("p_type").isin("SMALL", "LARGE"), F.col("p_type")).otherwise(bu)
-    brand = F.when(F.col("p_brand") == "Brand#5", "IDEA").otherwise("THINK")
-    bu = F.when(F.col("p_type") == "PROMO", brand).otherwise(bu)
-    return rows.select(*LINE_KEY, F.coalesce(bu, F.col("n_name")).alias("bu"))
+    kinds = t.part.filter("p_size > 10").select(key.alias("comp"), F.lit("X1").alias("werks"), F.col("p_type").alias("bu"))
+    brands = t.part.filter("p_size > 40").select(key.alias("comp"), F.lit("X1").alias("werks"), F.col("p_brand").alias("bu"))
+    rows = bu_by_codes(rows, known, "site_item", "item", ("DIFFERENT", "SAME"), "LCFC")
+    rows = bu_from_components(rows, used, "site_item", "LCFC")
+    rows = bu_from_family(rows, kinds.union(brands), "item", ["X1"])
+    return rows.select(*LINE_KEY, "bu")
 
 
 @query(

@@ -9,6 +9,7 @@ from supplyprep.catalog.registry import query
 from supplyprep.catalog.tables import Tables, day
 from supplyprep.functions.clean import join_text, short_group_code
 from supplyprep.operators import groups
+from supplyprep.operators.graph import part_list
 from supplyprep.operators.joins import exists_in
 from supplyprep.operators.rows import blank_singletons
 
@@ -228,6 +229,6 @@ def q_multi_map(t: Tables) -> DataFrame:
 )
 def q_part_list(t: Tables) -> DataFrame:
     used = exists_in(t.part, t.lineitem, [("p_partkey", "l_partkey")])
-    return used.select(
-        F.col("p_type").alias("odm"), F.col("p_brand").alias("father_site_pn")
-    ).distinct()
+    return part_list(used, "p_type", "p_brand").withColumnsRenamed(
+        {"p_type": "odm", "p_brand": "father_site_pn"}
+    )

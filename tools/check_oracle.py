@@ -23,6 +23,10 @@ TABLES = (
 ).split()
 
 
+#: Queries without SQL that are compared elsewhere (see tests/test_plans.py); any other one fails.
+ROWS_ONLY = ("q_bom", "q_supply_all")
+
+
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for table in TABLES:
@@ -46,7 +50,7 @@ def compare(spark, connection, name: str, folder: str) -> tuple[bool, str]:
     seconds = time.time() - started
     mine = table.to_pandas(types_mapper=None, integer_object_nulls=True)
     if sql is None:
-        return True, f"rows only: {len(mine)} rows {seconds:.1f}s"
+        return name in ROWS_ONLY and len(mine) > 0, f"no SQL: {len(mine)} rows {seconds:.1f}s"
     started = time.time()
     arrow = connection.execute(sql).to_arrow_table()
     duck = time.time() - started
