@@ -9,18 +9,18 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from supplyprep.sources.storage import materialize, new_path, staged
 
-__all__ = ["bounded_slices", "map_arrow", "materialize", "new_path", "read_table", "small_side", "staged", "text_bytes", "text_or_empty"]
+__all__ = ["bounded_slices", "least_by_hash", "map_arrow", "materialize", "new_path", "read_table", "small_side", "staged", "text_bytes", "text_or_empty"]
 
 #: Bytes of rows that are sent to a Python worker at a time; Spark's own limit counts rows only.
-ARROW_BYTES = 8 << 20
+ARROW_BYTES = 4 << 20
 #: Bytes of text that a task holds as Python objects at a time.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 _SHIPPED: set[str] = set()
@@ -58,8 +58,8 @@ def text_bytes(text: str | Column = "text") -> Column:
     return text_or_empty(text).cast("binary")
 
 
-#: Rows of one or two longs up to which a side is broadcast, about 32 MB; larger ones are shuffled.
-BROADCAST_ROWS = 1_000_000
+#: Rows of one or two longs up to which a side is broadcast, some 10 MB; larger ones are shuffled.
+BROADCAST_ROWS = 250_000
 
 
 def small_side(df: DataFrame, rows: int) -> DataFrame:
@@ -67,6 +67,17 @@ def small_side(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def least_by_hash(df: DataFrame, mark: Column, n: int, most: int) -> list[Row]:
+    """About the ``most`` rows of ``df`` with the smallest hash ``mark``, never more; ``n`` is the number of its rows.
+
+    Rows are cut by the hash before they are ordered, so the driver gets some ``most`` rows from
+    all tasks together, not from each.
+    """
+    share = min(1.0, (1.1 * most + 100) / max(1, n))
+    low = F.pmod(mark, F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))
+    return df.where(low).orderBy(F.pmod(mark, F.lit(1 << 40))).limit(most).collect()
+
+
 def bounded_slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that one slice holds at most ``most`` bytes of ``column``, one row at least."""
     for batch in batches:

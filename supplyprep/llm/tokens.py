@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import re
+import struct
 from collections.abc import Callable
 from functools import cached_property
 
@@ -98,27 +99,39 @@ class ByteLevelBpe:
     tokens have no meaning here: their strings are ordinary text.
     """
 
-    def __init__(self, content: bytes, pattern: str = GPT2_PATTERN, most_pieces: int = 300_000) -> None:
+    def __init__(self, content: bytes, pattern: str = GPT2_PATTERN, most_pieces: int = 120_000) -> None:
         self.split = splitter(pattern)
         self.characters = byte_characters()
-        if content.lstrip()[:1] == b"{":
-            whole = Tokenizer.from_str(content.decode())
-            self.model, self.vocabulary = whole.model, whole.get_vocab(with_added_tokens=False)
-        else:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines()) if a}
-            shown = {token: self.shown(token) for token in ranks}
-            self.vocabulary = {shown[token]: rank for token, rank in ranks.items()}
-            pairs = [(shown[a], shown[b]) for a, b in merges_of(ranks)]
-            self.model = BPE(self.vocabulary, pairs, ignore_merges=True)
-        self._map = dict(enumerate(self.characters))
+        self.content = content
+        self._map, self._space = dict(enumerate(self.characters)), self.characters[32]
         self._cache = _Cache(self._encode_piece, most_pieces)
 
+    @cached_property
+    def _ranks(self) -> dict[bytes, int]:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, self.content.splitlines()) if a}
+
+    @property
+    def _is_json(self) -> bool:
+        return self.content.lstrip()[:1] == b"{"
+
+    @cached_property
+    def model(self) -> BPE:
+        """The library's model; only encoding needs it."""
+        if self._is_json:
+            return Tokenizer.from_str(self.content.decode()).model
+        pairs = [(self.shown(a), self.shown(b)) for a, b in merges_of(self._ranks)]
+        return BPE({self.shown(token): rank for token, rank in self._ranks.items()}, pairs, ignore_merges=True)
+
     def shown(self, data: bytes) -> str:
         return "".join(map(self.characters.__getitem__, data))
 
     def _encode_piece(self, piece: str) -> bytes:
-        mapped = piece.encode().decode("latin-1").translate(self._map)
-        return np.array([t.id for t in self.model.tokenize(mapped)], dtype="<u4").tobytes()
+        if piece.isascii() and piece[1:].isalnum():  # printable but for the space before a word
+            mapped = self._space + piece[1:] if piece[0] == " " else piece
+        else:
+            mapped = piece.encode().decode("latin-1").translate(self._map)
+        ids = [t.id for t in self.model.tokenize(mapped)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
@@ -127,11 +140,13 @@ class ByteLevelBpe:
     @cached_property
     def token_bytes(self) -> list[bytes]:
         """The bytes of each id; ids that no token has are empty."""
-        reverse = {c: b for b, c in enumerate(self.characters)}
-        table = [b""] * (max(self.vocabulary.values(), default=-1) + 1)
-        for token, i in self.vocabulary.items():
-            table[i] = bytes(reverse[c] for c in token) if all(c in reverse for c in token) else token.encode()
-        return table
+        if not self._is_json:
+            found = {rank: token for token, rank in self._ranks.items()}
+        else:
+            reverse = {c: b for b, c in enumerate(self.characters)}
+            tokens = Tokenizer.from_str(self.content.decode()).get_vocab(with_added_tokens=False)
+            found = {i: bytes(reverse[c] for c in t) if all(c in reverse for c in t) else t.encode() for t, i in tokens.items()}
+        return [found.get(i, b"") for i in range(max(found, default=-1) + 1)]
 
     @cached_property
     def token_lengths(self) -> np.ndarray:
