@@ -35,7 +35,7 @@ _HEAD = struct.Struct("<4sIIII")
 
 @lru_cache(maxsize=2)
 def _coder(content: bytes) -> ByteLevelBpe:
-    return ByteLevelBpe(content)
+    return ByteLevelBpe(content, most_pieces=500_000)
 
 
 # --- grammar -------------------------------------------------------------------------------------
@@ -57,31 +57,46 @@ def compress(ids: np.ndarray, starts: np.ndarray, first_rule: int, rounds: int =
     for step in range(rounds):
         if len(symbols) < 2:
             break
-        left, right = symbols[:-1], symbols[1:]
-        # Pairs fall into cells; a cell stands for the last of its pairs, other rounds use other cells.
-        cell = (left * np.uint32(2654435761 + 2 * step) + right * np.uint32(2246822519 + 4 * step)) >> np.uint32(32 - bits)
-        pair = (left.astype(np.uint64) << np.uint64(32)) | right
-        shown = np.zeros(1 << bits, dtype=np.uint64)
-        shown[cell] = pair
-        whole = (shown[cell] == pair) & ~opens[1:-1]
-        counts = np.bincount(cell[whole], minlength=1 << bits)
-        chosen = np.flatnonzero(counts >= least)
+        # Pairs fall into cells, in other rounds into others. The fullest cells are looked at closer: each
+        # stands for the last of its pairs, and that pair is counted. Pairs over a document's end have a
+        # cell of their own that is never chosen.
+        mixed = symbols[:-1] * np.uint32(2654435761 + 2 * step)
+        mixed += symbols[1:] * np.uint32(2246822519 + 4 * step)
+        mixed >>= np.uint32(32 - bits)
+        cell = mixed.astype(np.intp)
+        cell[np.flatnonzero(opens[1:-1])] = 1 << bits
+        full = np.bincount(cell, minlength=(1 << bits) + 1)
+        full[1 << bits] = 0
+        chosen = np.flatnonzero(full >= least)
         if len(chosen) > rules_per_round:
-            chosen = chosen[np.argpartition(-counts[chosen], rules_per_round)[:rules_per_round]]
-        if not len(chosen):
+            chosen = chosen[np.argpartition(-full[chosen], rules_per_round)[:rules_per_round]]
+        place = np.full((1 << bits) + 1, -1, dtype=np.int16)
+        place[chosen] = np.arange(len(chosen), dtype=np.int16)
+        rank = place[cell]
+        at = np.flatnonzero(rank >= 0)
+        rank = rank[at]
+        pair = (symbols[at].astype(np.uint64) << np.uint64(32)) | symbols[at + 1]
+        shown = np.zeros(len(chosen), dtype=np.uint64)
+        shown[rank] = pair
+        same = shown[rank] == pair
+        at, rank = at[same], rank[same]
+        enough = np.bincount(rank, minlength=len(chosen)) >= least
+        if not enough.any():
             break
-        number = np.zeros(1 << bits, dtype=np.uint32)
-        number[chosen] = first_rule + len(rules) + np.arange(len(chosen), dtype=np.uint32)
-        at = np.flatnonzero(whole & (number[cell] > 0))
+        number = (first_rule + len(rules) + np.cumsum(enough) - 1).astype(np.uint32)
+        if not enough.all():
+            same = enough[rank]
+            at, rank = at[same], rank[same]
         # In a run of pairs that overlap, every second one is replaced.
         fresh = np.concatenate([[True], np.diff(at) > 1])
         run = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
-        at = at[(np.arange(len(at)) - run) % 2 == 0]
-        symbols[at] = number[cell[at]]
+        taken = (np.arange(len(at)) - run) % 2 == 0
+        at = at[taken]
+        symbols[at] = number[rank[taken]]
         keep = np.ones(len(symbols), dtype=bool)
         keep[at + 1] = False
         symbols, opens = symbols[keep], np.append(opens[:-1][keep], True)
-        pairs = shown[chosen]
+        pairs = shown[enough]
         rules = np.vstack([rules, np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)])
     # Empty documents share a start, so starts are counted from the lengths before and after.
     kept_before = np.concatenate([[0], np.cumsum(_lengths(symbols, rules, first_rule))])
@@ -111,8 +126,8 @@ def _lengths(symbols: np.ndarray, rules: np.ndarray, first_rule: int) -> np.ndar
     return out
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, first_rule: int) -> np.ndarray:
-    """The ids that symbols stand for."""
+def _written_out(symbols: np.ndarray, rules: np.ndarray, first_rule: int) -> np.ndarray:
+    """Expansion by replacing rules level after level."""
     out = symbols.astype(np.uint32)
     while len(inner := np.flatnonzero(out >= first_rule)):
         sizes = np.ones(len(out), dtype=np.int64)
@@ -126,6 +141,23 @@ def expand(symbols: np.ndarray, rules: np.ndarray, first_rule: int) -> np.ndarra
     return out
 
 
+def expand(symbols: np.ndarray, rules: np.ndarray, first_rule: int, lengths: np.ndarray | None = None) -> np.ndarray:
+    """The ids that symbols stand for: all rules are written out once, then each symbol is looked up."""
+    if not len(rules):
+        return symbols.astype(np.uint32)
+    lengths = rule_lengths(rules, first_rule) if lengths is None else lengths
+    table = np.concatenate([np.arange(first_rule, dtype=np.uint32), _written_out(rules.ravel(), rules, first_rule)])
+    size_of = np.concatenate([np.ones(first_rule, dtype=np.int64), lengths])
+    start_of = np.concatenate([np.arange(first_rule), first_rule + np.cumsum(lengths) - lengths])
+    sizes = size_of[symbols]
+    place = np.cumsum(sizes)
+    total = int(place[-1]) if len(place) else 0
+    place -= sizes
+    source = np.repeat(start_of[symbols] - place, sizes)
+    source += np.arange(total)
+    return table[source]
+
+
 # --- shard bytes -------------------------------------------------------------------------------------
 
 
@@ -182,10 +214,10 @@ class Shard:
 
     def document(self, k: int) -> np.ndarray:
         """Ids of one document; no other is expanded."""
-        return expand(self.symbols[self.starts[k] : self.starts[k + 1]], self.rules, self.first_rule)
+        return _written_out(self.symbols[self.starts[k] : self.starts[k + 1]], self.rules, self.first_rule)
 
     def all_ids(self) -> np.ndarray:
-        return expand(self.symbols, self.rules, self.first_rule)
+        return expand(self.symbols, self.rules, self.first_rule, self.lengths)
 
 
 # --- tables -------------------------------------------------------------------------------------
@@ -265,7 +297,7 @@ def token_rows(spark: SparkSession, path: str) -> DataFrame:
                 shard = Shard(batch.column(1)[row].as_buffer())
                 sizes = shard.sizes()
                 ends = np.cumsum(sizes)
-                ids = memoryview(shard.all_ids().astype("<u4").tobytes())
+                ids = memoryview(shard.all_ids().astype("<u4", copy=False)).cast("B")
                 sums = [zlib.crc32(ids[4 * (e - n) : 4 * e]) for n, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
                 start = batch.column(0)[row].as_py()
                 yield pa.RecordBatch.from_pydict({"doc_id": pa.array(shard.keys, pa.int64()), "start": pa.array(start + ends - sizes), "n_tokens": pa.array(sizes), "ids_crc32": pa.array(sums, pa.int64())})
