@@ -51,6 +51,9 @@ BOM = Shape()
 ROUNDS_PER_JOB = 2
 """Levels that a graph loop walks before it writes its state (more repeat work inside one job)."""
 
+WAVES_BEFORE_DOMINATORS = 3
+"""Waves of walks inside the components before the edges still open are tested for dominators."""
+
 # Content of the dummy edges between an item and its site code.
 DUMMY_QUANTITY = 1
 DUMMY_GROUP = "1"
@@ -138,7 +141,7 @@ def _cyclic_core(edges: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]
 
     Labels are spread along and against the edges until nothing moves; an edge whose ends carry
     different labels cannot lie on a cycle and is cut. Repeated until nothing is cut this leaves
-    exactly the components.
+    exactly the components, which ``component`` tells apart.
     """
     edges, rows = _trim(edges, keys, "father", "son")
     while rows:
@@ -155,7 +158,8 @@ def _cyclic_core(edges: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]
                 "__node", *[f"__{k}" for k in keys]
             )
         kept = joined.filter("father_down = son_down AND father_up = son_up")
-        edges, left = materialize(kept.select(*keys, "father", "son"), "core")
+        component = F.xxhash64("father_down", "father_up").alias("component")
+        edges, left = materialize(kept.select(*keys, "father", "son", component), "core")
         if left == rows:
             break
         rows = left
@@ -219,7 +223,9 @@ def find_cycle_edges(
     Only edges inside strongly connected components can close a cycle, so the tree-like bulk of
     the graph is trimmed away first and only what lies above a cycle is walked from the roots.
     Inside the components, walks are kept as (set of visited nodes, current node), which merges
-    the walks that differ only in their order.
+    the walks that differ only in their order. An edge is settled by the first wave that closes
+    it, or when its father turns out to dominate its son (no walk gets to the son without the
+    father, so none closes it). A component is left as soon as all its edges are settled.
     """
     keys = [f"g{i}" for i in range(len(group))]
     rows = edges.filter(all_of([F.col(c).isNotNull() for c in [*group, father, son]])).select(
@@ -273,13 +279,23 @@ def find_cycle_edges(
         *keys, "father", "son", F.lit(1).alias("level")
     )
     walks = walk_from_entry.union(first_step)
+    starts_inside = walk_from_entry.select(*keys, F.col("at").alias("node")).union(
+        root_inside.select(*keys, F.col("father").alias("node"))
+    )
+    starts_inside, _ = materialize(starts_inside.distinct(), "starts")
+    edge = [*keys, "father", "son"]
+    entered = exists_in(core, starts_inside, [*[(k, k) for k in keys], ("father", "node")])
+    unsettled, open_edges = materialize(
+        not_exists_in(exists_in(core, entered, [*keys, "component"]), closing, edge), "unsettled"
+    )
     found = [closing]
-    onward = 1
-    while onward:
+    onward, wave = 1, 0
+    while onward and open_edges:
         at = _merge_walks(walks, keys).select(
             *[F.col(k).alias(f"__{k}") for k in keys], "seen", F.col("at").alias("__at"), "depth"
         )
-        step = core.join(at, _same(keys, "father", "__at")).select(
+        inside = exists_in(core, unsettled, [*keys, "component"])
+        step = inside.join(at, _same(keys, "father", "__at")).select(
             *keys,
             "father",
             "son",
@@ -297,6 +313,20 @@ def find_cycle_edges(
             F.col("son").alias("at"),
             "depth",
         )
+        wave += 1
+        # Walks start at different depths, so an edge counts as settled once no walk of a smaller
+        # depth is left that might still close it.
+        least = walks.agg(F.min("depth").alias("least")).scalar()
+        closed_now = found[0].filter(F.lit(False))
+        for part in found:
+            closed_now = closed_now.union(part)
+        done = closed_now.groupBy(*edge).agg(F.min("level").alias("level")).filter(
+            F.coalesce(F.col("level") <= least + 1, F.lit(True))
+        )
+        unsettled, open_edges = materialize(not_exists_in(unsettled, done, edge), "unsettled")
+        if open_edges and onward and wave == WAVES_BEFORE_DOMINATORS:
+            never = _dominated(core, starts_inside, unsettled, keys)
+            unsettled, open_edges = materialize(not_exists_in(unsettled, never, edge), "unsettled")
 
     closed = found[0]
     for part in found[1:]:
@@ -314,6 +344,28 @@ def find_cycle_edges(
     )
 
 
+def _dominated(
+    core: DataFrame, starts: DataFrame, unsettled: DataFrame, keys: Sequence[str]
+) -> DataFrame:
+    """Edges whose son is reached from no start without passing the father."""
+    avoided = unsettled.select(*keys, "component", F.col("father").alias("avoid")).distinct()
+    inside = core.select(*keys, "component", F.col("father").alias("node")).distinct()
+    seeds = exists_in(inside, starts, [*keys, "node"])
+    first = avoided.join(seeds, [*keys, "component"]).filter("node != avoid").select(*keys, "avoid", "node")
+    state_keys = [*keys, "avoid"]
+
+    def advance(wave: DataFrame) -> DataFrame:
+        above = _renamed(wave, keys, "node", "avoid")
+        below = core.join(above, _same(keys, "father", "__node")).filter("son != __avoid")
+        return below.select(*keys, F.col("__avoid").alias("avoid"), F.col("son").alias("node")).distinct()
+
+    reached = _waves(first.distinct(), advance, state_keys, "avoiding")
+    others = unsettled.filter("father != son")
+    return not_exists_in(
+        others, reached, [*[(k, k) for k in keys], ("father", "avoid"), ("son", "node")]
+    )
+
+
 def _merge_walks(walks: DataFrame, keys: Sequence[str]) -> DataFrame:
     return walks.groupBy(*keys, "seen", "at").agg(F.min("depth").alias("depth"))
 
