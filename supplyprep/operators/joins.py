@@ -244,8 +244,13 @@ def contained_best(
         .groupBy(F.col("__text").alias("__btext"))
         .agg(F.max("__value").alias("__best"))
     )
-    joined = keyed.join(best, F.col("__text") == F.col("__btext"), "left")
-    return joined.withColumn(out, F.col("__best")).drop("__text", "__btext", "__best")
+    # Rows without a text match nothing; a hash of the row spreads them over the tasks.
+    keyed = keyed.withColumn(
+        "__key", F.coalesce("__text", F.xxhash64(*df.columns).cast("string"))
+    )
+    match = (F.col("__key") == F.col("__btext")) & F.col("__text").isNotNull()
+    joined = keyed.join(best, match, "left")
+    return joined.withColumn(out, F.col("__best")).drop("__text", "__key", "__btext", "__best")
 
 
 def by_name(mapping: Mapping[str, Column], columns: Sequence[str]) -> list[Column]:

@@ -60,3 +60,18 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     everything before them once per reading.
     """
     return materialize(df, label)[0]
+
+
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder in whichever file system the path names. Says whether there was one."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def remove_work_tables(spark: SparkSession) -> bool:
+    """Delete what this application wrote by :func:`materialize`; for the end of a run.
+
+    DataFrames that read such tables, results of pipelines not yet written among them, are of no
+    use afterwards.
+    """
+    return remove_folder(spark, f"{work_folder(spark)}/{spark.sparkContext.applicationId}")

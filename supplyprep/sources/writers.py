@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 
 from supplyprep.context import RunContext
 from supplyprep.functions.dates import calendar_week, year_start
+from supplyprep.sources.storage import remove_folder
 
 
 def current_version(spark: SparkSession, base: str) -> str | None:
@@ -54,6 +55,29 @@ def overwrite_snapshot(df: DataFrame, base: str, ctx: RunContext) -> str:
     return path
 
 
+def expire_snapshots(spark: SparkSession, base: str, keep: int = 3) -> int:
+    """Delete all but the newest ``keep`` versions of a snapshot; says how many went.
+
+    Readers of an older version must be done. The pointer rows of what is kept are written anew
+    first, so the pointer stays short and a run that fails in between loses nothing.
+    """
+    if keep < 1:
+        raise ValueError("the current version stays")
+    pointer = f"{base}/_pointer"
+    found = spark.read.schema("seq long, path string").json(pointer).distinct().orderBy("seq")
+    rows = [(r["seq"], r["path"]) for r in found.collect()]
+    old, current = rows[:-keep], rows[-keep:]
+    if not old:
+        return 0
+    spark.createDataFrame(current, "seq long, path string").coalesce(1).write.mode("append").json(pointer)
+    named = spark.read.schema("seq long").json(pointer).select("seq", F.col("_metadata.file_path").alias("file"))
+    for row in named.filter(F.col("seq") <= old[-1][0]).select("file").distinct().collect():
+        remove_folder(spark, row["file"])
+    for path in {path for _, path in old} - {path for _, path in current}:
+        remove_folder(spark, path)
+    return len(old)
+
+
 def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
     """Rows with the bucket of their key, in a table kept by :func:`write_buckets`."""
     return df.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))

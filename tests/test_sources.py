@@ -1,14 +1,17 @@
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from supplyprep.context import RunContext
+from supplyprep.plans import runs
 from supplyprep.schemas import INPUTS, OUTPUTS, table
 from supplyprep.sources import readers, storage, writers
+from supplyprep.streaming import incremental
 
 CTX = RunContext(run_ts=datetime(2024, 5, 16, 8))
 
@@ -94,3 +97,44 @@ def test_work_folder_comes_from_the_session(spark):
 def test_schemas_have_no_repeated_columns():
     for name, schema in {**INPUTS, **OUTPUTS}.items():
         assert len(set(schema.names)) == len(schema.names), name
+
+
+def test_old_snapshots_expire(spark, tmp_path):
+    base = str(tmp_path / "table")
+    paths = [writers.overwrite_snapshot(spark.range(k), base, CTX) for k in range(1, 5)]
+    assert writers.expire_snapshots(spark, base, keep=2) == 2
+    assert [Path(p).exists() for p in paths] == [False, False, True, True]
+    assert writers.read_snapshot(spark, base).count() == 4
+    assert writers.expire_snapshots(spark, base, keep=2) == 0
+    writers.overwrite_snapshot(spark.range(9), base, CTX)
+    assert writers.read_snapshot(spark, base).count() == 9
+
+
+def test_bucketed_table_keeps_untouched_buckets(spark, tmp_path):
+    base = str(tmp_path / "buckets")
+    rows = spark.range(50).withColumn("v", F.lit(1))
+    writers.write_buckets(writers.with_bucket(rows, ["id"], 8), base, CTX)
+    some = writers.with_bucket(rows, ["id"], 8).filter("bucket = 3").withColumn("v", F.lit(2))
+    writers.write_buckets(some, base, CTX)
+    found = writers.with_bucket(writers.read_buckets(spark, base), ["id"], 8)
+    assert found.count() == 50
+    assert {(r["bucket"] == 3, r["v"]) for r in found.collect()} == {(True, 2), (False, 1)}
+
+
+def test_older_rows_lose_in_a_stream(spark, tmp_path):
+    drop, target, checkpoint = (str(tmp_path / n) for n in ("drop", "target", "checkpoint"))
+    schema = "k string, ts int, v string"
+    for batch in ([("a", 2, "new"), ("b", 1, "b")], [("a", 1, "old"), ("c", 1, "c")], [("b", 3, "b3")]):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(drop)
+        stream = incremental.file_stream(spark, drop, spark.createDataFrame([], schema).schema)
+        incremental.stream_upsert(stream, target, checkpoint, ["k"], ["ts"], ["ts", "v"], CTX, buckets=4).awaitTermination()
+    assert rows(writers.read_buckets(spark, target), "k", "ts", "v") == [("a", 2, "new"), ("b", 3, "b3"), ("c", 1, "c")]
+
+
+def test_marks_move_on(spark, tmp_path):
+    out = str(tmp_path / "out")
+    assert runs.stored_mark(spark, out, "delivery") is None
+    for mark in ("5", "9"):
+        runs.store_mark(spark, out, "delivery", mark, CTX)
+    runs.store_mark(spark, out, "other", "1", CTX)
+    assert runs.stored_mark(spark, out, "delivery") == "9"
