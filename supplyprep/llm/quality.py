@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, StructType
 
-from supplyprep.llm.common import bounded_slices, buffer_of, map_arrow, offsets_of, text_bytes
+from supplyprep.llm.common import bounded_slices, buffer_of, least_by_hash, map_arrow, offsets_of, text_bytes
 
 CUT = 0.3
 FOLDS = 5
@@ -155,7 +155,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     schema = StructType([*source.schema.fields[:1]]).add("features", ArrayType(DoubleType(), False))
     described = _features(source, "__bytes", schema)
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg((F.avg(label) >= 0.5).alias("good"))
-    rows = described.join(known, key).orderBy(F.xxhash64(key), key, F.xxhash64("features")).limit(most).select("features", "good").collect()
+    n = source.select(key).join(known, key).count()
+    rows = least_by_hash(described.join(known, key), F.xxhash64(key, "features"), n, most)
     features = np.array([r["features"] for r in rows]).reshape(-1, N_FEATURES)
     return rank(features, np.array([r["good"] for r in rows], dtype=bool))
 
