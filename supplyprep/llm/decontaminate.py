@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from supplyprep.llm.common import materialize, small_side, text_or_empty
+from supplyprep.llm.common import materialize, small_side, staged, text_or_empty
 
 WORDS = 5
 SHARE = 0.8
@@ -65,10 +65,10 @@ def contained_items(docs: DataFrame, items: DataFrame, key: str = "doc_id", text
     wanted = grams.select("gram").distinct()
     rows = docs.select(F.col(key), F.xxhash64(F.col(key), text_or_empty(text)).alias("doc"), F.transform(words(text), lambda w: F.xxhash64(w)).alias("h"))
     rows = rows.select(key, "doc", F.explode(F.concat(*[_shingles(F.col("h"), w) for w in widths])).alias("gram"))
-    found, n_found = materialize(rows.join(small_side(wanted, n_grams), "gram").distinct(), "shared-shingles")
+    found = staged(rows.join(small_side(wanted, n_grams), "gram").distinct(), "shared-shingles")
     candidates = found.join(small_side(grams.where("sketched"), n_grams), "gram").select("doc", key, "item", item_key, "n").distinct()
     tried = candidates.join(small_side(grams.select("item", "gram"), n_grams), "item")
-    shared = tried.join(small_side(found.select("doc", "gram"), n_found), ["doc", "gram"]).groupBy("doc", key, "item", item_key, "n").agg(F.count(F.lit(1)).alias("n_shared"))
+    shared = tried.join(found.select("doc", "gram"), ["doc", "gram"]).groupBy("doc", key, "item", item_key, "n").agg(F.count(F.lit(1)).alias("n_shared"))
     kept = shared.where(F.col("n_shared") >= F.ceil(F.round(F.lit(share) * F.col("n"), 6)))
     best = kept.groupBy(key, item_key).agg(F.max(F.struct(F.col("n_shared") / F.col("n"), F.col("n_shared"), F.col("n"))).alias("b"))
     return best.select(key, item_key, F.col("b.n").cast("long").alias("n_shingles"), F.col("b.n_shared").alias("n_shared"), (F.col("b.n_shared") / F.col("b.n")).alias("containment"))
