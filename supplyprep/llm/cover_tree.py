@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from supplyprep.llm.common import map_arrow, staged
+from supplyprep.llm.common import least_by_hash, map_arrow, staged
 from supplyprep.llm.components import connected_components
 
 #: Float32 products decide what is further than this from the threshold; double precision the rest.
@@ -427,12 +427,12 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.95, key: str = "
     folded = valid.groupBy("mark").agg(F.min(key).alias("first"), F.count(F.lit(1)).alias("copies"), F.first("unit").alias("unit"), F.first("dim").alias("dim"))
     # Nodes are numbered by a hash of the vector, so rows without a key have one, too.
     folded = staged(folded.withColumn("rep", F.xxhash64("mark")), "distinct-vectors")
-    dims = [r["dim"] for r in folded.select("dim").distinct().orderBy("dim").limit(1001).collect()]
+    dims = {r["dim"]: r["n"] for r in folded.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).orderBy("dim").limit(1001).collect()}
     if len(dims) > 1000:
         raise ValueError("more than 1000 different vector lengths")
     tops = {}
-    for dim in dims:
-        rows = folded.where(F.col("dim") == dim).orderBy("rep").select("unit").limit(sample).collect()
+    for dim, n in dims.items():
+        rows = least_by_hash(folded.where(F.col("dim") == dim).select("unit"), F.xxhash64("unit"), n, sample)
         tops[dim] = _top(np.stack([np.frombuffer(r["unit"]) for r in rows]), most_cells)
     nothing = spark.createDataFrame([], "id long, other long, n long")
     found = nothing
