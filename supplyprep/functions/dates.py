@@ -26,11 +26,6 @@ def calendar_week(value: Column | str) -> Column:
     return F.lpad(week.cast("string"), 2, "0")
 
 
-def is_weekday(value: Column | str, weekday: int) -> Column:
-    """True on the given day, 1 = Sunday."""
-    return F.dayofweek(as_column(value)) == weekday
-
-
 def normalize_eff_start(start: Column | str, loaded: Column | str) -> Column:
     """A start equal to the load day moves back to Monday of its week."""
     start, loaded = F.to_date(as_column(start)), F.to_date(as_column(loaded))

@@ -52,7 +52,8 @@ ROUNDS_PER_JOB = 2
 """Levels that a graph loop walks before it writes its state (more repeat work inside one job)."""
 
 WAVES_BEFORE_DOMINATORS = 3
-"""Waves of walks inside the components before the edges still open are tested for dominators."""
+"""Waves of walks inside the components after which, if walks still grow in number, the edges still
+open are tested for dominators."""
 
 # Content of the dummy edges between an item and its site code.
 DUMMY_QUANTITY = 1
@@ -288,8 +289,8 @@ def find_cycle_edges(
     unsettled, open_edges = materialize(
         not_exists_in(exists_in(core, entered, [*keys, "component"]), closing, edge), "unsettled"
     )
-    found = [closing]
-    onward, wave = 1, 0
+    found, tested = [closing], False
+    onward, before, wave = 1, 0, 0
     while onward and open_edges:
         at = _merge_walks(walks, keys).select(
             *[F.col(k).alias(f"__{k}") for k in keys], "seen", F.col("at").alias("__at"), "depth"
@@ -314,6 +315,9 @@ def find_cycle_edges(
             "depth",
         )
         wave += 1
+        growing, before = onward > before, onward
+        if not growing:  # the walks run out by themselves
+            continue
         # Walks start at different depths, so an edge counts as settled once no walk of a smaller
         # depth is left that might still close it.
         least = walks.agg(F.min("depth").alias("least")).scalar()
@@ -324,7 +328,8 @@ def find_cycle_edges(
             F.coalesce(F.col("level") <= least + 1, F.lit(True))
         )
         unsettled, open_edges = materialize(not_exists_in(unsettled, done, edge), "unsettled")
-        if open_edges and onward and wave == WAVES_BEFORE_DOMINATORS:
+        if open_edges and onward and wave >= WAVES_BEFORE_DOMINATORS and not tested:
+            tested = True
             never = _dominated(core, starts_inside, unsettled, keys)
             unsettled, open_edges = materialize(not_exists_in(unsettled, never, edge), "unsettled")
 

@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 from supplyprep.context import RunContext
 from supplyprep.functions.clean import as_column, null_if_empty
-from supplyprep.functions.dates import week_start
 
 CORRUPT = "_corrupt_record"
 
@@ -176,10 +175,6 @@ def same_iso_week(df: DataFrame, loaded: Column | str, ctx: RunContext) -> DataF
     return df.filter((column >= day) & (column < F.date_add(day, 7)))
 
 
-def in_week_of(loaded: Column | str, day: Column) -> Column:
-    return week_start(loaded) == week_start(day)
-
-
 def net_change_window(df: DataFrame, modified: Column | str, low: Column, high: Column) -> DataFrame:
     """Rows changed since the last good run, both ends inclusive."""
     return df.filter(as_column(modified).between(low, high))
