@@ -387,12 +387,14 @@ def _pair_links(pairs: DataFrame, least: float) -> DataFrame:
         return np.frombuffer(row[f"ids_{side}"], dtype=np.int64), np.frombuffer(row[f"copies_{side}"], dtype=np.int64), np.frombuffer(row[f"units_{side}"]).reshape(-1, row["dim"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = tree = own = None
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                ids, copies, units = load(row, "a")
-                tree = grow(units.astype(np.float32))
-                own = (units[tree.order], copies[tree.order], ids[tree.order])
+                if row["ids_a"] != first:  # rows of one deal share their first block
+                    ids, copies, units = load(row, "a")
+                    first, tree = row["ids_a"], grow(units.astype(np.float32))
+                    own = (units[tree.order], copies[tree.order], ids[tree.order])
                 if row["same"]:
                     links, _, x, y = traverse(tree, tree, own[0], own[0], own[1], own[1], least, True)
                     both, n = own[2], links
@@ -450,13 +452,15 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.95, key: str = "
         others = blocks.select(F.col("cell").alias("d"), F.col("part").alias("j"), F.col("ids").alias("ids_b"), F.col("copies").alias("copies_b"), F.col("units").alias("units_b"))
         pairs = sides.withColumnsRenamed({"ids": "ids_a", "copies": "copies_a", "units": "units_a"}).join(others, ["d", "j"])
         same = (F.col("c") == F.col("d")) & (F.col("i") == F.col("j"))
-        pairs = pairs.select("dim", same.alias("same"), "ids_a", "copies_a", "units_a", *[F.when(~same, F.col(x)).alias(x) for x in ("ids_b", "copies_b", "units_b")], F.xxhash64("c", "d", "i", "j").alias("deal"))
-        found = staged(_pair_links(pairs.repartition("deal").drop("deal"), least), "vector-links")
+        pairs = pairs.select("dim", same.alias("same"), "ids_a", "copies_a", "units_a", *[F.when(~same, F.col(x)).alias(x) for x in ("ids_b", "copies_b", "units_b")], F.xxhash64("c", "d", "i", F.floor(F.col("j") / 8)).alias("deal"))
+        # Up to eight pairs of one block go to one task, which grows that block's tree once.
+        found = staged(_pair_links(pairs.repartition("deal").sortWithinPartitions("deal"), least), "vector-links")
     counted = found.where("other is null").groupBy("id").agg(F.sum("n").alias("n"))
     components = connected_components(found.where("other is not null"), "id", "other")
     named = folded.select("mark", "rep", "first", "copies").join(counted.withColumnRenamed("id", "rep"), "rep", "left").join(components.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.withColumn("component", F.coalesce("component", "rep"))
-    smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
+    # Written before it is joined back: then a hot component can be split over tasks.
+    smallest = staged(named.groupBy("component").agg(F.min("first").alias("component_id")), "components")
     per_vector = named.join(smallest, "component").select("mark", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
     joined = marked.select(key, "mark").join(per_vector, "mark", "left")
     component = F.coalesce("component_id", key).cast("long")
@@ -465,3 +469,19 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.95, key: str = "
 
 def _centre_of(cell: int, dim: int, tops: dict[int, np.ndarray]) -> np.ndarray:
     return tops[dim][cell - sum(len(tops[d]) for d in sorted(tops) if d < dim)]
+
+
+SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+reach(node, start) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT links.b, reach.start FROM reach JOIN links ON links.a = reach.node)
+SELECT vec_id, coalesce(k, 0) AS n_links, least_one AS component_id, vec_id = least_one AS kept
+FROM embeddings JOIN (SELECT node, min(start) AS least_one FROM reach GROUP BY node) ON node = vec_id
+LEFT JOIN (SELECT a, count(*) AS k FROM links GROUP BY a) ON a = vec_id
+"""

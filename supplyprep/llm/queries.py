@@ -31,6 +31,9 @@ def op2_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"), 0.95)
 
 
+ORACLE_SQL["op2_cover_tree"] = cover_tree.SQL
+
+
 @query
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), 400).drop("kept")

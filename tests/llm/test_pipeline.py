@@ -35,7 +35,7 @@ def test_every_operator_has_a_query():
 
 def test_sql_counterparts(spark, data):
     connection = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "embeddings"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{data}/{table}.parquet'")
     for name, sql in queries.oracle_sql().items():
         mine = queries.queries()[name](spark, data).toPandas()
