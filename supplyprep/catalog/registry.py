@@ -39,6 +39,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def registered_sql(name: str) -> str:
+    """The SQL of a query registered before."""
+    return _SQL[name]
+
+
 def _load() -> None:
     for module in _MODULES:
         importlib.import_module(f"supplyprep.catalog.{module}")
