@@ -274,7 +274,7 @@ def notice_view(t: Tables, linestatus: str) -> DataFrame:
         F.when(F.col("s_nationkey") < 6, "HUB A").otherwise("x").alias("incoterms_location"),
         F.lit(None).cast("timestamp").alias("sys_created_date"),
         # The part key makes the newest row of a notice unique.
-        (F.col("l_partkey") * 1000 + F.col("l_suppkey")).alias("sys_modify_date"),
+        F.timestamp_micros(F.col("l_partkey") * 1000 + F.col("l_suppkey")).alias("sys_modify_date"),
     )
 
 
@@ -359,16 +359,9 @@ def q_asn(t: Tables) -> DataFrame:
         ("INTRANSIT", "TO_ODM", None, "AVC", "SCC", "N"),
         ("INTRANSIT", "TO_ODM", None, "QUANTA", "SCC", "N"),
     )
-    notices = asn.open_notices(notice_view(t, "F"), supplier_conf(t), "N").unionByName(
-        asn.open_notices(notice_view(t, "O"), supplier_conf(t), "Y")
-    )
-    vendor = asn.vendor_notices(
-        notices, asn.supplier_map(suppliers(t), supplier_conf(t)), ["HUB A"]
-    ).drop("sys_modify_date")
-    result = append(
-        vendor,
-        asn.site_notices(between, sites),
-        asn.hub_notices(hub, supplier_conf(t)).drop("sys_modify_date"),
+    conf = supplier_conf(t).unionByName(sites, allowMissingColumns=True)
+    result = asn.build_asn(
+        notice_view(t, "F"), notice_view(t, "O"), between, hub, suppliers(t), conf, ["HUB A"]
     )
     return result.select(
         "po",
