@@ -2,8 +2,9 @@
 
 Large-star and small-star steps by turns: each node hands its larger neighbours (then all of them)
 to the smallest node it knows, until every component is a star around its smallest node. A step is
-an aggregate of minima, combined before it is shuffled, and a join back; the links of one round
-are written to the shared folder, so lineage stays short and a lost executor costs one round.
+an aggregate of minima, combined before it is shuffled, and a join back. Minima and links are
+written to the shared folder: lineage stays short, a lost executor costs one step, and the join
+reads tables on both sides, so that the links of a node with very many can be split over tasks.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from supplyprep.llm.common import new_path
+from supplyprep.llm.common import new_path, staged
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -42,10 +43,11 @@ def _stored(edges: DataFrame) -> tuple[DataFrame, tuple]:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = staged(least, "least")
     return both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("hi").agg(F.min("lo").alias("m"))
+    least = staged(edges.groupBy("hi").agg(F.min("lo").alias("m")), "least")
     moved = edges.join(least, "hi").where("lo != m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
     return moved.unionByName(least.select("hi", F.col("m").alias("lo")))

@@ -198,7 +198,8 @@ def simhash_components(docs: DataFrame, shingle: int = 4, distance: int = 4, tex
     distinct, n = materialize(marked.groupBy("fingerprint").agg(F.min(key).alias("first")), "distinct-fingerprints")
     found = connected_components(fingerprint_links(distinct.select("fingerprint"), n, distance, most))
     linked = distinct.join(found.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint"))
-    smallest = linked.groupBy("component").agg(F.min("first").alias("component_id"))
+    # Written before it is joined back: then a hot component can be split over tasks.
+    smallest = staged(linked.groupBy("component").agg(F.min("first").alias("component_id")), "components")
     named = linked.join(smallest, "component").select("fingerprint", "component_id")
     return marked.join(named, "fingerprint").select(key, "fingerprint", "component_id")
 

@@ -183,7 +183,7 @@ def _settle(parts: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     classes = staged(marked.groupBy("bucket", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*kept)).alias("one")), "classes")
     repeated = classes.where("n > 1").select("bucket", "whole")
     removed = marked.where("not settled").join(repeated, ["bucket", "whole"], "left_semi").select("doc", F.col("first").alias("start"), (F.col("last") + length).alias("stop"))
-    open_buckets = classes.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("bucket")
+    open_buckets = staged(classes.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("bucket"), "open-buckets")
     left = classes.join(open_buckets, "bucket", "left_semi")
     return removed, left.select("one.doc", "one.place", "one.x", "one.y", "one.first", "one.last", (F.col("one.settled") | (F.col("n") > 1)).alias("settled"), "bucket")
 
@@ -195,13 +195,14 @@ def repeated_strings(source: DataFrame, length: int) -> tuple[DataFrame, DataFra
     share nothing come to.
     """
     found = staged(_anchor_rows(source, length), "anchors")
-    shared = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    # Counts are written before they are joined back: then a hot bucket can be split over tasks.
+    shared = staged(found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "shared-grams")
     near = staged(found.join(shared, "gram", "left_semi"), "shared-anchors")
     one = F.min(F.struct("doc", "place", "first", "last", "gram")).alias("one")
     classes = staged(near.groupBy("around").agg(F.count(F.lit(1)).alias("n"), one).select("around", "n", "one.*"), "surroundings")
     settled = near.join(classes.where("n > 1").select("around"), "around", "left_semi")
     removed = [settled.select("doc", F.col("first").alias("start"), (F.col("last") + length).alias("stop"))]
-    open_grams = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("gram")
+    open_grams = staged(classes.groupBy("gram").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("gram"), "open-grams")
     rows = classes.join(open_grams, "gram", "left_semi").select(
         "doc", "place", F.lit(0).alias("x"), F.lit(length - GRAM + 1).alias("y"), "first", "last", (F.col("n") > 1).alias("settled"), F.encode(F.hex("gram"), "utf-8").alias("bucket")
     )
