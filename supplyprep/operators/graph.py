@@ -393,13 +393,15 @@ def flagged_ancestor(
     site: Sequence[str],
     label: Column,
     max_depth: int | None = None,
+    wanted: DataFrame | None = None,
 ) -> DataFrame:
     """Nearest flagged ancestor of every node that has one.
 
     ``label`` is non-null on edges whose father is flagged and names the ancestor to report; ties
     give the smallest. The search runs downwards from the flagged fathers: a node is settled in
     the round that first reaches it, so every node is visited once and cycles do no harm (on a
-    cycle a node may be its own ancestor).
+    cycle a node may be its own ancestor). ``wanted`` (one column of nodes) asks for those only: the
+    edges above them, up to the first flagged father, are found first, and no other is walked.
     Returns site columns, ``son``, ``ancestor`` and ``distance``.
     """
     keys = [f"g{i}" for i in range(len(site))]
@@ -410,6 +412,18 @@ def flagged_ancestor(
         label.alias("ancestor"),
     ).filter(all_of([F.col(k).isNotNull() for k in keys] + [F.col("node").isNotNull()]))
     links, _ = materialize(links, "links")
+    asked = None
+    if wanted is not None:
+        asked = wanted.select(F.col(wanted.columns[0]).alias("node")).distinct()
+        climb = links.filter(F.col("ancestor").isNull()).drop("ancestor")
+
+        def ascend(wave: DataFrame) -> DataFrame:
+            up = climb.join(_renamed(wave, keys, "node"), _same(keys, "node", "__node"))
+            return up.select(*keys, F.col("father").alias("node")).distinct()
+
+        start = exists_in(links, asked, ["node"]).select(*keys, "node").distinct()
+        reached = _waves(start, ascend, keys, "climb", max_depth)
+        links, _ = materialize(exists_in(links, reached, [*keys, "node"]), "links_above")
 
     def advance(wave: DataFrame) -> DataFrame:
         above = _renamed(wave, keys, "node", "ancestor")
@@ -421,7 +435,10 @@ def flagged_ancestor(
         .groupBy(*keys, "node")
         .agg(F.min("ancestor").alias("ancestor"))
     )
-    return _waves(first, advance, keys, "ancestor", max_depth).select(
+    settled = _waves(first, advance, keys, "ancestor", max_depth)
+    if asked is not None:
+        settled = exists_in(settled, asked, ["node"])
+    return settled.select(
         *[F.col(k).alias(s) for s, k in zip(site, keys)],
         F.col("node").alias(son),
         "ancestor",

@@ -63,9 +63,8 @@ def fill_unknown_items(
     flagged = flag_exists(edges, sub_dim, [("father_pn", "sbb")], "__is_sub")
     label = F.when(F.col("__is_sub"), F.col("father_pn"))
     above = flagged_ancestor(
-        flagged, "father_site_pn", "son_site_pn", ["odm"], label, max_depth
+        flagged, "father_site_pn", "son_site_pn", ["odm"], label, max_depth, wanted
     )
-    above = exists_in(above, wanted, [("son_site_pn", "site_pn")])
     best = above.groupBy(F.col("son_site_pn").alias("__code")).agg(
         F.min(F.struct("distance", "ancestor")).alias("__best")
     )

@@ -90,6 +90,9 @@ def test_flagged_ancestor_matches_search(spark, seed):
     assert {tuple(r) for r in graph.flagged_ancestor(df, "f", "s", ["g"], label).collect()} == expected
     direct = graph.flagged_ancestor(df, "f", "s", ["g"], label, max_depth=1)
     assert {tuple(r) for r in direct.collect()} == {e for e in expected if e[3] == 1}
+    asked = spark.createDataFrame([("n2",), ("n3",), ("n4",), ("none",)], "code string")
+    some = graph.flagged_ancestor(df, "f", "s", ["g"], label, wanted=asked)
+    assert {tuple(r) for r in some.collect()} == {e for e in expected if e[1] in ("n2", "n3", "n4")}
 
 
 def test_self_loops(spark):
