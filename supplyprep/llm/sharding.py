@@ -83,7 +83,8 @@ def write_shards(docs: DataFrame, n_shards: int = 16, seed: int = 17, key: str =
         if held:
             yield from shuffled(held, bucket)
 
-    dealt = scatter.repartition(n_buckets, "__bucket").sortWithinPartitions("__bucket", "__h", key, text)
+    # A task takes its buckets one after the other, so memory goes by the bucket and tasks by the cluster.
+    dealt = scatter.repartition("__bucket").sortWithinPartitions("__bucket", "__h", key, text)
     map_arrow(dealt.drop("__h"), run, schema).write.parquet(path)
     return path
 
