@@ -29,7 +29,9 @@ _SHIPPED: set[str] = set()
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType | str) -> DataFrame:
     """``df.mapInArrow``, with this package sent to the workers once per application.
 
-    Batches are bounded by bytes, as texts may be long; the setting stays in the session.
+    Batches are bounded by bytes, as texts may be long; the setting stays in the session. The
+    package travels like a file given to ``--py-files``: the driver alone reads the archive and
+    serves it.
     """
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     context = df.sparkSession.sparkContext
