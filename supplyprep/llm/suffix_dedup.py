@@ -78,15 +78,15 @@ def _least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
     return values
 
 
-def anchors(data: np.ndarray, length: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def anchors(data: np.ndarray, length: int, gram: int = GRAM, segment: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Anchors of all windows of ``length`` bytes: place, first and last window start, hash.
 
     Long texts are cut into segments of window starts; an anchor at a cut is given once for each
     side, with its own windows.
     """
-    parts = []
-    for at in range(0, max(0, len(data) - length + 1), _SEGMENT):
-        hashes = gram_hashes(data[at : at + _SEGMENT + length - 1], gram)
+    parts, segment = [], segment or _SEGMENT
+    for at in range(0, max(0, len(data) - length + 1), segment):
+        hashes = gram_hashes(data[at : at + segment + length - 1], gram)
         marked = (hashes >> np.uint64(_PLACE_BITS)) << np.uint64(_PLACE_BITS) | np.arange(len(hashes), dtype=np.uint64)
         place = (_least_in_windows(marked, length - gram + 1) & np.uint64((1 << _PLACE_BITS) - 1)).astype(np.int64)
         cuts = np.flatnonzero(np.diff(place)) + 1
@@ -102,7 +102,7 @@ def anchors(data: np.ndarray, length: int, gram: int = GRAM) -> tuple[np.ndarray
 _ANCHORS = "doc long, place int, first int, last int, gram long, around binary"
 
 
-def _anchor_rows(source: DataFrame, length: int) -> DataFrame:
+def _anchor_rows(source: DataFrame, length: int, segment: int = _SEGMENT) -> DataFrame:
     """One row per anchor of every text; ``around`` identifies the offsets and all bytes of its windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,7 +115,7 @@ def _anchor_rows(source: DataFrame, length: int) -> DataFrame:
                 if b - a < length:
                     continue
                 text = bytes(data[a:b])
-                place, first, last, gram = anchors(np.frombuffer(text, dtype=np.uint8), length)
+                place, first, last, gram = anchors(np.frombuffer(text, dtype=np.uint8), length, segment=segment)
                 for column, values in zip(columns, (np.full(len(place), key), place, first, last, gram), strict=True):
                     column.append(values)
                 around += [digest(text[s : e + length] + struct.pack("<ii", p - e, p - s)) for p, s, e in zip(place.tolist(), first.tolist(), last.tolist(), strict=True)]
@@ -175,9 +175,10 @@ def _split(texts: DataFrame, rows: DataFrame, width: int, length: int) -> DataFr
 def _settle(parts: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     """Removed strings of the rows whose windows are all repeated, and the rows to refine further.
 
-    Parts without ``whole`` lack some windows and stand for themselves.
+    Parts without ``whole`` lack some windows and stand for themselves: both sides of a cut have
+    the same place, so a part is told by its window starts, too.
     """
-    alone = F.coalesce("whole", F.concat(F.col("doc").cast("string"), F.lit(":"), F.col("place").cast("string")).cast("binary"))
+    alone = F.coalesce("whole", F.concat_ws(":", "doc", "place", "first", "last").cast("binary"))
     marked = parts.withColumn("whole", alone)
     kept = ("doc", "place", "x", "y", "first", "last", "settled")
     classes = staged(marked.groupBy("bucket", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*kept)).alias("one")), "classes")
@@ -188,13 +189,13 @@ def _settle(parts: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     return removed, left.select("one.doc", "one.place", "one.x", "one.y", "one.first", "one.last", (F.col("one.settled") | (F.col("n") > 1)).alias("settled"), "bucket")
 
 
-def repeated_strings(source: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+def repeated_strings(source: DataFrame, length: int, segment: int = _SEGMENT) -> tuple[DataFrame, DataFrame]:
     """Strings to remove (doc, start, stop), overlapping ones included; and the texts they can lie in.
 
     ``source`` has doc (a key), doc_key and bytes; the second result adds to it what the texts that
     share nothing come to.
     """
-    found = staged(_anchor_rows(source, length), "anchors")
+    found = staged(_anchor_rows(source, length, segment), "anchors")
     # Counts are written before they are joined back: then a hot bucket can be split over tasks.
     shared = staged(found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "shared-grams")
     near = staged(found.join(shared, "gram", "left_semi"), "shared-anchors")
@@ -231,19 +232,20 @@ def merged(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts[fresh], stops[np.concatenate([np.flatnonzero(fresh)[1:] - 1, [len(stops) - 1]])]
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, text: str = "text", key: str = "doc_id") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 400, text: str = "text", key: str = "doc_id", segment: int = _SEGMENT) -> DataFrame:
     """One row per document: key, n_bytes, n_removed, n_spans and the bytes kept.
 
     Columns ``kept`` (binary) and ``kept_sha256``: ``kept`` is null where nothing was removed, as
     the text is unchanged. A null text is empty. Matches never cross documents. Rows with equal
     keys are documents of their own; fully equal rows repeat each other like any copies. Texts
-    shorter than ``length`` lose nothing. Other columns are not read.
+    shorter than ``length`` lose nothing. Other columns are not read. ``segment``: window starts
+    that are looked at at a time; the result does not depend on it.
     """
     if length < GRAM + 1:
         raise ValueError(f"length must be above {GRAM}")
     source = docs.select(F.col(key).alias("doc_key"), text_bytes(docs[text]).alias("bytes"))
     source = source.select(F.xxhash64("doc_key", "bytes").alias("doc"), "doc_key", "bytes")
-    strings, texts = repeated_strings(source, length)
+    strings, texts = repeated_strings(source, length, segment)
     lists = strings.groupBy("doc").agg(F.collect_set(F.struct("start", "stop")).alias("strings"))
     work = texts.join(lists, "doc", "left").select("doc_key", "n_bytes", "bytes", "whole_sha256", F.col("strings.start").alias("starts"), F.col("strings.stop").alias("stops"))
     key_type = dict(source.dtypes)["doc_key"]

@@ -53,6 +53,17 @@ def test_equals_brute_force(spark, length, monkeypatch):
     assert [(r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows] == brute(texts, length)
 
 
+@pytest.mark.parametrize("segment", [300, 331])
+def test_cuts_of_long_texts_repeat_nothing(spark, segment):
+    chosen = random.Random(segment)
+    prose = lambda n: " ".join("".join(chosen.choice("abcdefgh") for _ in range(chosen.randint(1, 7))) for _ in range(n))
+    texts = [prose(4000), prose(2000), *corpus(segment, 110)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sorted(suffix_dedup.remove_repeats(docs, 110, segment=segment).collect(), key=lambda r: r["doc_id"])
+    assert [(r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows] == brute(texts, 110)
+    assert rows[0]["n_removed"] == rows[1]["n_removed"] == 0
+
+
 def test_all_windows_have_one_anchor_and_segments_agree(monkeypatch):
     data = np.frombuffer(("abc " * 100 + " ".join(str(i * 7919 % 1009) for i in range(900))).encode(), dtype=np.uint8)
     whole = suffix_dedup.anchors(data, 100)
