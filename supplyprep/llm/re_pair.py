@@ -35,7 +35,7 @@ _HEAD = struct.Struct("<4sIIII")
 
 @lru_cache(maxsize=2)
 def _coder(content: bytes) -> ByteLevelBpe:
-    return ByteLevelBpe(content, most_pieces=500_000)
+    return ByteLevelBpe(content, most_pieces=500_000, added=True)
 
 
 # --- grammar -------------------------------------------------------------------------------------

@@ -95,14 +95,18 @@ class _Cache(dict):
 class ByteLevelBpe:
     """Encoder and decoder of one vocabulary, given as the content of its file.
 
-    ``content`` is a rank file (lines of base64 token and rank) or a tokenizer file (JSON). Special
-    tokens have no meaning here: their strings are ordinary text.
+    ``content`` is a rank file (lines of base64 token and rank) or a tokenizer file (JSON). With
+    ``added`` the added tokens of a tokenizer file are tokens wherever a text has their strings, as
+    in the library; else those strings are ordinary text. A rank file has no added tokens.
     """
 
-    def __init__(self, content: bytes, pattern: str = GPT2_PATTERN, most_pieces: int = 120_000) -> None:
+    def __init__(self, content: bytes, pattern: str = GPT2_PATTERN, most_pieces: int = 120_000, added: bool = False) -> None:
         self.split = splitter(pattern)
         self.characters = byte_characters()
         self.content = content
+        self.added = self._added_tokens() if added and self._is_json else {}
+        # The longest of those that start in one place is taken.
+        self._cut = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         self._map, self._space = dict(enumerate(self.characters)), self.characters[32]
         self._cache = _Cache(self._encode_piece, most_pieces)
 
@@ -114,6 +118,12 @@ class ByteLevelBpe:
     def _is_json(self) -> bool:
         return self.content.lstrip()[:1] == b"{"
 
+    def _added_tokens(self) -> dict[str, int]:
+        found = Tokenizer.from_str(self.content.decode()).get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word for t in found.values()):
+            raise ValueError("added tokens that take in their surroundings are not supported")
+        return {t.content: i for i, t in found.items() if t.content}
+
     @cached_property
     def model(self) -> BPE:
         """The library's model; only encoding needs it."""
@@ -135,7 +145,14 @@ class ByteLevelBpe:
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self._cache.__getitem__, self.split(text)))
+        if self._cut is None or not self._cut.search(text):
+            return b"".join(map(self._cache.__getitem__, self.split(text)))
+        parts, at = [], 0
+        for match in self._cut.finditer(text):
+            parts += map(self._cache.__getitem__, self.split(text[at : match.start()]))
+            parts.append(struct.pack("<I", self.added[match[0]]))
+            at = match.end()
+        return b"".join([*parts, *map(self._cache.__getitem__, self.split(text[at:]))])
 
     @cached_property
     def token_bytes(self) -> list[bytes]:
@@ -146,6 +163,7 @@ class ByteLevelBpe:
             reverse = {c: b for b, c in enumerate(self.characters)}
             tokens = Tokenizer.from_str(self.content.decode()).get_vocab(with_added_tokens=False)
             found = {i: bytes(reverse[c] for c in t) if all(c in reverse for c in t) else t.encode() for t, i in tokens.items()}
+            found |= {i: t.encode() for t, i in self.added.items()}
         return [found.get(i, b"") for i in range(max(found, default=-1) + 1)]
 
     @cached_property

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import base64
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -50,6 +51,20 @@ def test_ids_and_offsets_agree_with_both_libraries(coder, peer):
         assert coder.offsets(text, ids).tolist() == [a for a, _ in found.offsets]
 
 
+def test_added_tokens_are_the_librarys(spark):
+    whole, own = Tokenizer.from_file(WHOLE), ByteLevelBpe(open(WHOLE, "rb").read(), added=True)
+    for text in ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>\n\n x", *texts()]:
+        ids = np.frombuffer(own.encode(text), dtype="<u4")
+        assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids
+        assert own.decode(ids) == text.encode()
+    assert len(own.token_bytes) == whole.get_vocab_size()
+    docs = spark.createDataFrame([(1, "a <|endoftext|> b " * 40), (2, "c d")], "doc_id long, text string")
+    rows = sorted(re_pair.token_rows(spark, re_pair.write_token_files(docs, WHOLE)).collect(), key=lambda r: r["doc_id"])
+    for row, text in zip(rows, [r["text"] for r in docs.collect()], strict=True):
+        ids = [*whole.encode(text, add_special_tokens=False).ids, 0]
+        assert (row["n_tokens"], row["ids_crc32"]) == (len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
+
+
 def test_split_characters_are_shown_as_replacements(coder):
     ids = np.frombuffer(coder.encode("😀"), dtype="<u4")
     assert len(ids) > 1
