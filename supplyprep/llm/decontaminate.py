@@ -49,35 +49,49 @@ def item_shingles(items: DataFrame, key: str = "item_id", text: str = "text", sh
     return rows.select("item", key, "width", "n", "sketch", F.posexplode("grams").alias("place", "gram")).select("item", key, "width", "n", "gram", (F.col("place") < F.col("sketch")).alias("sketched"))
 
 
-def contained_items(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", share: float = SHARE, width: int = WORDS) -> DataFrame:
-    """One row per document and item that it contains to ``share`` or more.
+def _document(key: str, text: str) -> Column:
+    """Identifier of a document: rows with equal key and text are one."""
+    return F.xxhash64(F.col(key), text_or_empty(text))
 
-    Columns: the two keys, n_shingles of the item, n_shared of them in the document, containment.
-    Null and empty texts, of either side, are in no row. A null key is a key like others. Rows of
-    documents with equal key and text count once; rows with equal keys but other texts are
-    documents of their own, and the best of them is given. Other columns are not read. The two
-    keys must have different names.
-    """
+
+def _pairs(docs: DataFrame, items: DataFrame, key: str, text: str, item_key: str, item_text: str, share: float, width: int) -> DataFrame:
+    """(doc, key, item, item_key, n, n_shared) of every document and item that it contains to ``share`` or more."""
     grams, n_grams = materialize(item_shingles(items, item_key, item_text, share, width), "item-shingles")
     widths = sorted(r["width"] for r in grams.select("width").distinct().collect())  # at most `width` numbers
     if not widths:
         widths = [width]
     wanted = grams.select("gram").distinct()
-    rows = docs.select(F.col(key), F.xxhash64(F.col(key), text_or_empty(text)).alias("doc"), F.transform(words(text), lambda w: F.xxhash64(w)).alias("h"))
+    rows = docs.select(F.col(key), _document(key, text).alias("doc"), F.transform(words(text), lambda w: F.xxhash64(w)).alias("h"))
     rows = rows.select(key, "doc", F.explode(F.concat(*[_shingles(F.col("h"), w) for w in widths])).alias("gram"))
     found = staged(rows.join(small_side(wanted, n_grams), "gram").distinct(), "shared-shingles")
     candidates = found.join(small_side(grams.where("sketched"), n_grams), "gram").select("doc", key, "item", item_key, "n").distinct()
     tried = candidates.join(small_side(grams.select("item", "gram"), n_grams), "item")
     shared = tried.join(found.select("doc", "gram"), ["doc", "gram"]).groupBy("doc", key, "item", item_key, "n").agg(F.count(F.lit(1)).alias("n_shared"))
-    kept = shared.where(F.col("n_shared") >= F.ceil(F.round(F.lit(share) * F.col("n"), 6)))
+    return shared.where(F.col("n_shared") >= F.ceil(F.round(F.lit(share) * F.col("n"), 6)))
+
+
+def contained_items(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", share: float = SHARE, width: int = WORDS) -> DataFrame:
+    """One row per document and item that it contains to ``share`` or more.
+
+    Columns: the two keys, n_shingles of the item, n_shared of them in the document, containment.
+    Null and empty texts, of either side, are in no row. A null key is a key like others. Rows of
+    documents with equal key and text count once; rows with equal keys but other texts are
+    documents of their own, and the best of them is given. Other columns are not read. The two
+    keys must have different names.
+    """
+    kept = _pairs(docs, items, key, text, item_key, item_text, share, width)
     best = kept.groupBy(key, item_key).agg(F.max(F.struct(F.col("n_shared") / F.col("n"), F.col("n_shared"), F.col("n"))).alias("b"))
     return best.select(key, item_key, F.col("b.n").cast("long").alias("n_shingles"), F.col("b.n_shared").alias("n_shared"), (F.col("b.n_shared") / F.col("b.n")).alias("containment"))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose key contains no item, with all columns. Rows with a null key go by it as well."""
-    hit, n = materialize(contained_items(docs, items, key, text, item_key, item_text).select(key).distinct(), "contaminated")
-    return docs.join(small_side(hit.select(F.col(key).alias("__hit")), n), docs[key].eqNullSafe(F.col("__hit")), "left_anti")
+    """The rows of ``docs`` whose text contains no item, with all columns.
+
+    Rows go by key and text: others with the same key, or without one, stay if their texts are clean.
+    """
+    pairs = _pairs(docs, items, key, text, item_key, item_text, SHARE, WORDS)
+    hit, n = materialize(pairs.select(F.col("doc").alias("__hit")).distinct(), "contaminated")
+    return docs.withColumn("__doc", _document(key, text)).join(small_side(hit, n), F.col("__doc") == F.col("__hit"), "left_anti").drop("__doc")
 
 
 SQL = r"""

@@ -62,6 +62,13 @@ def test_contained_items_by_brute_force(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [12, 13, 14, 16, 16]
 
 
+def test_clean_texts_under_the_key_of_a_contaminated_one_stay(spark):
+    item = "alpha beta gamma delta epsilon zeta eta"
+    docs = spark.createDataFrame([(None, f"x {item}"), (None, "clean"), (None, None), (1, item), (1, "clean too"), (2, f"{item} y"), (2, f"{item} y")], "doc_id long, text string")
+    kept = decontaminate.drop_contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept.collect()) == [(0, ""), (0, "clean"), (1, "clean too")]
+
+
 def test_sketches_never_lose_an_item(spark):
     items = item_table(spark)
     for row in items:
