@@ -207,10 +207,23 @@ def simhash_components(docs: DataFrame, shingle: int = 4, distance: int = 4, tex
 def keep_one_per_component(docs: DataFrame, shingle: int = 4, distance: int = 4, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The first row, by key and then by text hash, of every component, with all columns.
 
-    Rows without a key come last. Fully equal rows are one document: all of them stay or go.
+    Rows without a key come last. Of rows equal in key and text one stays, the smallest by all
+    columns.
     """
     row = F.xxhash64(F.col(key), text_or_empty(text))
     rows = docs.select(F.struct(F.col(key).isNull().alias("unnamed"), F.col(key).alias("key"), row.alias("row")).alias("at"), F.col(text).alias("text"))
     found = simhash_components(rows, shingle, distance, "text", "at")
-    dropped, n = materialize(found.where("at.row != component_id.row").select(F.col("at.row").alias("__row")).distinct(), "near-copies")
-    return docs.withColumn("__at", row).join(small_side(dropped, n), F.col("__at") == F.col("__row"), "left_anti").drop("__at")
+    at = F.col("at.row").alias("__row")
+    # Written first, as the losers and the repeated winners are both taken from it.
+    found = staged(found.groupBy(at, (F.col("at.row") == F.col("component_id.row")).alias("first")).agg(F.count(F.lit(1)).alias("n")), "rows-of-components")
+    dropped, n = materialize(found.where("not first").select("__row"), "near-copies")
+    repeated, n_repeated = materialize(found.where("first and n > 1").select("__row"), "repeated-firsts")
+    marked, same = docs.withColumn("__at", row), F.col("__at") == F.col("__row")
+    kept = marked.join(small_side(dropped, n), same, "left_anti")
+    if not n_repeated:
+        return kept.drop("__at")
+    repeated = small_side(repeated, n_repeated)
+    single = kept.join(repeated, same, "left_anti").select(*docs.columns)
+    # Combines on the map side, so that a hot row is one row of each task.
+    one = marked.join(repeated, same, "left_semi").groupBy("__at").agg(F.min(F.struct(*docs.columns)).alias("__one")).select("__one.*")
+    return single.unionByName(one)

@@ -91,6 +91,13 @@ def test_tables(spark, edge, none):
     assert simhash.simhash_components(none).count() == 0
 
 
+def test_repeated_rows_become_one(spark):
+    text = "one two three four five six seven eight nine ten"
+    rows = [(1, text, "b"), (1, text, "a"), (1, text, "a"), (2, text, "c"), (3, "quite other words stand in this text here", "d"), (None, None, "e"), (None, None, "f")]
+    kept = simhash.keep_one_per_component(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    assert sorted((r["doc_id"] or 0, r["source"]) for r in kept.collect()) == [(0, "e"), (1, "a"), (3, "d")]
+
+
 def test_one_row_of_each_component_stays(edge, none):
     kept = simhash.keep_one_per_component(edge)
     assert kept.columns == edge.columns
