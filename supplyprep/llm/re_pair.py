@@ -6,8 +6,8 @@ shard is one row of a Parquet table in the shared folder: a few numbers, and the
 :func:`pack`. A shard holds its own grammar, so it can be decoded alone.
 
 The grammar of a shard is made by replacing frequent pairs of neighbouring symbols by a new
-symbol, round after round. A round counts the pairs of the whole shard at once and replaces the
-most frequent ones together; where two of them overlap the left one wins. A rule is a pair of
+symbol, round after round, until no pair is frequent. A round counts the pairs of the whole shard
+exactly and replaces the frequent ones together; where two overlap the more frequent one wins. A rule is a pair of
 earlier symbols, and the length of its expansion is stored with it, so the position of any token
 is found without expanding what lies before. Pairs never cross a document's end.
 """
@@ -41,63 +41,61 @@ def _coder(content: bytes) -> ByteLevelBpe:
 # --- grammar -------------------------------------------------------------------------------------
 
 
-def compress(ids: np.ndarray, starts: np.ndarray, first_rule: int, rounds: int = 4, least: int = 8, rules_per_round: int = 3000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Re-Pair over one shard.
+def compress(ids: np.ndarray, starts: np.ndarray, first_rule: int, rounds: int | None = None, least: int = 8) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Re-Pair over one shard, until no pair is seen ``least`` times; ``rounds`` may end it earlier.
 
     ``starts``: where each document begins in ``ids``, and the total at the end. ``first_rule``:
     the number of the first rule, above all ids. Returns the symbols left, where each document
-    begins among them, and the rules as rows of two symbols. Pairs seen fewer than ``least`` times
-    stay; a shard shorter than two ids has no rules.
+    begins among them, and the rules as rows of two symbols. Pairs are counted without overlaps; a
+    shard shorter than two ids has no rules.
     """
     symbols = ids.astype(np.uint32)
     opens = np.zeros(len(symbols) + 1, dtype=bool)  # a document starts at this symbol
     opens[starts] = True
-    rules = np.zeros((0, 2), dtype=np.uint32)
-    bits = 18
-    for step in range(rounds):
-        if len(symbols) < 2:
-            break
-        # Pairs fall into cells, in other rounds into others. The fullest cells are looked at closer: each
-        # stands for the last of its pairs, and that pair is counted. Pairs over a document's end have a
-        # cell of their own that is never chosen.
-        mixed = symbols[:-1] * np.uint32(2654435761 + 2 * step)
-        mixed += symbols[1:] * np.uint32(2246822519 + 4 * step)
-        mixed >>= np.uint32(32 - bits)
-        cell = mixed.astype(np.intp)
-        cell[np.flatnonzero(opens[1:-1])] = 1 << bits
-        full = np.bincount(cell, minlength=(1 << bits) + 1)
-        full[1 << bits] = 0
-        chosen = np.flatnonzero(full >= least)
-        if len(chosen) > rules_per_round:
-            chosen = chosen[np.argpartition(-full[chosen], rules_per_round)[:rules_per_round]]
-        place = np.full((1 << bits) + 1, -1, dtype=np.int16)
-        place[chosen] = np.arange(len(chosen), dtype=np.int16)
-        rank = place[cell]
-        at = np.flatnonzero(rank >= 0)
-        rank = rank[at]
+    rules = [np.zeros((0, 2), dtype=np.uint32)]
+    n_rules, step = 0, 0
+    while len(symbols) > 1 and (rounds is None or step < rounds):
+        step += 1
+        free = ~opens[1:-1]
+        # In a run of one symbol every second pair counts.
+        twins = np.flatnonzero((symbols[:-1] == symbols[1:]) & free)
+        if len(twins):
+            fresh = np.concatenate([[True], np.diff(twins) > 1])
+            run = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+            free[twins[(np.arange(len(twins)) - run) % 2 == 1]] = False
+        at = np.flatnonzero(free)
         pair = (symbols[at].astype(np.uint64) << np.uint64(32)) | symbols[at + 1]
-        shown = np.zeros(len(chosen), dtype=np.uint64)
-        shown[rank] = pair
-        same = shown[rank] == pair
-        at, rank = at[same], rank[same]
-        enough = np.bincount(rank, minlength=len(chosen)) >= least
-        if not enough.any():
+        ordered = np.sort(pair)
+        edges = np.concatenate([[0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1, [len(ordered)]]) if len(ordered) else np.zeros(1, dtype=np.int64)
+        counts = np.diff(edges)
+        frequent = counts >= least
+        if not frequent.any():
             break
-        number = (first_rule + len(rules) + np.cumsum(enough) - 1).astype(np.uint32)
-        if not enough.all():
-            same = enough[rank]
-            at, rank = at[same], rank[same]
-        # In a run of pairs that overlap, every second one is replaced.
-        fresh = np.concatenate([[True], np.diff(at) > 1])
-        run = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
-        taken = (np.arange(len(at)) - run) % 2 == 0
-        at = at[taken]
-        symbols[at] = number[rank[taken]]
+        known, counts = ordered[edges[:-1][frequent]], counts[frequent]
+        place = np.minimum(np.searchsorted(known, pair), len(known) - 1)
+        same = known[place] == pair
+        at, place = at[same], place[same]
+        # Where pairs overlap, the more frequent one is replaced. The most frequent one of all keeps
+        # every place; one that is left with too few is counted again in the next round.
+        order = np.empty(len(known), dtype=np.int64)
+        order[np.argsort(counts, kind="stable")] = np.arange(len(known))
+        weight = np.full(len(symbols) + 1, -1, dtype=np.int64)
+        weight[at + 1] = order[place]
+        own = weight[at + 1]
+        wins = (own > weight[at]) & (own > weight[np.minimum(at + 2, len(symbols))])
+        at, place = at[wins], place[wins]
+        enough = np.bincount(place, minlength=len(known)) >= least
+        number = (first_rule + n_rules + np.cumsum(enough) - 1).astype(np.uint32)
+        taken = enough[place]
+        at, place = at[taken], place[taken]
+        symbols[at] = number[place]
         keep = np.ones(len(symbols), dtype=bool)
         keep[at + 1] = False
         symbols, opens = symbols[keep], np.append(opens[:-1][keep], True)
-        pairs = shown[enough]
-        rules = np.vstack([rules, np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)])
+        pairs = known[enough]
+        rules.append(np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32))
+        n_rules += len(pairs)
+    rules = np.vstack(rules)
     # Empty documents share a start, so starts are counted from the lengths before and after.
     kept_before = np.concatenate([[0], np.cumsum(_lengths(symbols, rules, first_rule))])
     return symbols, np.searchsorted(kept_before, starts), rules
@@ -161,7 +159,7 @@ def expand(symbols: np.ndarray, rules: np.ndarray, first_rule: int, lengths: np.
 # --- shard bytes -------------------------------------------------------------------------------------
 
 
-def pack(ids: np.ndarray, starts: np.ndarray, keys: list[int | None], first_rule: int, rounds: int = 4) -> bytes:
+def pack(ids: np.ndarray, starts: np.ndarray, keys: list[int | None], first_rule: int, rounds: int | None = None) -> bytes:
     """One shard: header, document keys (a flag and a value each), document starts, rules, rule lengths, symbols.
 
     All numbers are little-endian; symbols take 16 bits where all fit, else 32.
@@ -223,7 +221,7 @@ class Shard:
 # --- tables -------------------------------------------------------------------------------------
 
 
-def write_token_files(docs: DataFrame, vocabulary: str, path: str | None = None, key: str = "doc_id", text: str = "text", end_id: int = 0, shard_tokens: int = 1 << 20, rounds: int = 4) -> str:
+def write_token_files(docs: DataFrame, vocabulary: str, path: str | None = None, key: str = "doc_id", text: str = "text", end_id: int = 0, shard_tokens: int = 1 << 20, rounds: int | None = None) -> str:
     """Write the ids of all texts in ascending ``key`` order; returns the table's path.
 
     ``vocabulary`` is the path of a vocabulary file that the driver can read; its content is

@@ -103,6 +103,28 @@ def test_grammar_round_trip(seed):
     assert np.array_equal(shard.lengths, re_pair.rule_lengths(shard.rules, 70))
 
 
+def test_no_frequent_pair_is_left():
+    rng = np.random.default_rng(1)
+    copy = rng.integers(0, 50, 700)
+    docs = [copy] * 20 + [rng.integers(0, 50, 900) for _ in range(30)] + [np.zeros(1000)]
+    ids = np.concatenate(docs).astype(np.uint32)
+    starts = np.concatenate([[0], np.cumsum([len(d) for d in docs])])
+    symbols, where, rules = re_pair.compress(ids, starts, 50)
+    assert np.array_equal(re_pair.expand(symbols, rules, 50), ids)
+    assert re_pair.rule_lengths(rules, 50).max() == 700
+    seen = {}
+    for a, b in zip(where[:-1], where[1:], strict=True):
+        last = None
+        for k in range(a, b - 1):
+            pair = (int(symbols[k]), int(symbols[k + 1]))
+            if (k - 1, pair) == last:  # overlaps the one before
+                last = None
+                continue
+            last = (k, pair)
+            seen[pair] = seen.get(pair, 0) + 1
+    assert max(seen.values()) < 8
+
+
 def test_wide_symbols_and_empty_shard():
     ids = np.array([200_000, 5, 200_000, 5] * 20, dtype=np.uint32)
     shard = re_pair.Shard(re_pair.pack(ids, np.array([0, 80]), [1], 200_001, 3))
