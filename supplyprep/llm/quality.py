@@ -3,11 +3,11 @@
 A text is described by counts of its characters, words and lines. From labelled rows the model
 draws preference pairs, a good text over a bad one, and fits weights so that the difference of
 their features predicts the preference (logistic loss). The cut between good and bad is a quantile
-of the scores of the labelled rows: the share of rows labelled bad. Scores are spread over 0 to 1
+of the scores of all labelled rows: the share of rows labelled bad. Scores are spread over 0 to 1
 so that the cut lies at ``CUT``.
 
-At most ``most`` labelled rows are used, those whose keys have the smallest hashes; their features
-are all that reaches the driver. Scoring is one pass over the texts without a shuffle.
+Weights are fitted to at most ``most`` labelled rows, those whose keys have the smallest hashes;
+their features and counts of scores are all that reaches the driver. Scoring is one pass over the texts without a shuffle.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, StructType
 
-from supplyprep.llm.common import bounded_slices, buffer_of, least_by_hash, map_arrow, offsets_of, text_bytes
+from supplyprep.llm.common import bounded_slices, buffer_of, least_by_hash, map_arrow, materialize, offsets_of, staged, text_bytes
 
 CUT = 0.3
 FOLDS = 5
@@ -145,8 +145,34 @@ def _described(values: pa.Array) -> list[list[float]]:
     return [describe(bytes(data[a:b])) for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
+def at_rank(values: DataFrame, column: str, rank: int, cells: int = 1000) -> tuple[float, float]:
+    """The values at ``rank`` (from 0) and at the next rank in ascending order, by counts of ever narrower cells."""
+    low, high = values.agg(F.min(column), F.max(column)).first()
+    below, inside = 0, values
+    while low < high:
+        cell = F.floor((F.col(column) - low) / (high - low) * cells)
+        found = inside.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.min(column).alias("low"), F.max(column).alias("high")).orderBy("cell").collect()
+        for row in found:  # at most cells + 1 rows
+            if below + row["n"] > rank:
+                break
+            below += row["n"]
+        low, high = row["low"], row["high"]
+        inside = values.where(F.col(column).between(low, high))
+    up_to, after = values.agg(F.count(F.when(F.col(column) <= low, 1)), F.min(F.when(F.col(column) > low, F.col(column)))).first()
+    return low, low if up_to > rank + 1 or after is None else after
+
+
+def _raw_scores(labelled: DataFrame, model: Ranking) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            features = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES)
+            yield pa.RecordBatch.from_arrays([pa.array(model.raw(features))], names=["raw"])
+
+    return map_arrow(labelled.select("features"), run, "raw double")
+
+
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality", most: int = 20_000) -> Ranking:
-    """A ranking learned from at most ``most`` labelled rows outside the held-out fold.
+    """A ranking learned from at most ``most`` labelled rows outside the held-out fold, cut by all of them.
 
     A key with several labels takes their mean, good from one half up; null keys and labels do not
     count. Documents with equal keys are labelled rows each.
@@ -155,10 +181,14 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     schema = StructType([*source.schema.fields[:1]]).add("features", ArrayType(DoubleType(), False))
     described = _features(source, "__bytes", schema)
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg((F.avg(label) >= 0.5).alias("good"))
-    n = source.select(key).join(known, key).count()
-    rows = least_by_hash(described.join(known, key), F.xxhash64(key, "features"), n, most)
+    labelled, n = materialize(described.join(known, key), "labelled")
+    rows = least_by_hash(labelled, F.xxhash64(key, "features"), n, most)
     features = np.array([r["features"] for r in rows]).reshape(-1, N_FEATURES)
-    return rank(features, np.array([r["good"] for r in rows], dtype=bool))
+    model = rank(features, np.array([r["good"] for r in rows], dtype=bool))
+    bad = labelled.where("not good").count()
+    if len(rows) < n and model.weights.any() and 0 < bad < n:
+        model.cut = sum(at_rank(staged(_raw_scores(labelled, model), "raw-scores"), "raw", bad - 1)) / 2
+    return model
 
 
 def score(docs: DataFrame, model: Ranking, text: str = "text", key: str = "doc_id", scored: str = "score", predicted: str = "predicted") -> DataFrame:

@@ -34,6 +34,18 @@ def test_quality_on_held_out_labels(spark, llm_docs, data):
     assert (held.predicted == held.quality).mean() >= 0.9
 
 
+def test_quality_cut_is_of_all_labelled_rows(spark, llm_docs, data):
+    labels = spark.read.parquet(f"{data}/labels.parquet")
+    model = quality.train(llm_docs, labels, most=60)
+    rows = llm_docs.join(labels.groupBy("doc_id").agg({"quality": "avg"}).toDF("doc_id", "label").where("label is not null"), "doc_id").where(~quality.held_out()).collect()
+    raw = model.raw(np.array([quality.describe((r["text"] or "").encode()) for r in rows]))
+    bad = sum(r["label"] < 0.5 for r in rows)
+    assert len(rows) > 60 and 0 < bad < len(rows)
+    assert np.isclose(model.cut, np.quantile(raw, bad / len(raw), method="midpoint"), rtol=0, atol=1e-9)
+    values = spark.createDataFrame([(float(v),) for v in [3, 1, 1, 7, 1, 2]], "x double")
+    assert [quality.at_rank(values, "x", k) for k in range(6)] == [(1, 1), (1, 1), (1, 2), (2, 3), (3, 7), (7, 7)]
+
+
 def test_quality_tables(spark, edge, none):
     labels = spark.createDataFrame([(1, 1, 0), (6, 0, 0), (6, None, 1), (None, 1, 1), (7, 1, 0)], "doc_id long, quality int, toxic int")
     model = quality.train(edge, labels)
