@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supplyprep.llm import byte_bpe, cover_tree, decontaminate, pii, quality, re_pair, secret_scan, sharding, simhash, suffix_dedup
+from supplyprep.llm import byte_bpe, cover_tree, decontaminate, lexical_search, packing, pii, quality, re_pair, secret_scan, sharding, simhash, suffix_dedup, turn_alignment
 from supplyprep.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,6 +89,26 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", *byte_bpe.digests(coded))
 
 
+@query
+def op11_turn_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = turn_alignment.damaged(read_table(spark, sf_dir, "conversations"))
+    return turn_alignment.digests(turn_alignment.repair(turns, times="times"))
+
+
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=10)
+
+
+ORACLE_SQL["op12_lexical_search"] = lexical_search.SQL
+
+
+@query
+def op13_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -75,19 +75,20 @@ def merges_of(ranks: dict[bytes, int]) -> list[tuple[bytes, bytes]]:
 
 
 class _Cache(dict):
-    """Ids of pieces by piece; two generations bound its size."""
+    """Ids of pieces by piece. The first ``most`` pieces stay; after many misses it begins anew."""
 
     def __init__(self, make: Callable[[str], bytes], most: int) -> None:
         super().__init__()
-        self.make, self.most, self.old = make, most, {}
+        self.make, self.most, self.misses = make, most, 0
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.old.get(piece)
-        if ids is None:
-            ids = self.make(piece)
+        ids = self.make(piece)
         if len(self) >= self.most:
-            self.old = dict(self)
-            self.clear()
+            self.misses += 1
+            if self.misses > 4 * self.most:  # other texts than those it began with
+                self.clear()
+                self.misses = 0
+            return ids
         self[piece] = ids
         return ids
 
@@ -180,3 +181,34 @@ class ByteLevelBpe:
         character = np.cumsum((data & 0xC0) != 0x80) - 1
         ends = np.cumsum(self.token_lengths[ids])
         return character[ends - self.token_lengths[ids]] if len(ids) else np.zeros(0, dtype=np.int64)
+
+
+class WordBpe:
+    """Encoder of a word-end BPE vocabulary (lower case, white space dropped), one distinct word at a time.
+
+    ``content`` is a tokenizer file (JSON) that lower-cases and cuts text into
+    ``'s|'t|'re|'ve|'m|'ll|'d|[letters]+|[digit]|[others]+``. No piece holds white space, so each
+    distinct run between white space is cut and encoded once, by the library's model. Texts with
+    characters from U+0180 on, or with strings of added tokens, are given to the library whole.
+    """
+
+    def __init__(self, content: bytes, most_words: int = 250_000) -> None:
+        self.whole = Tokenizer.from_str(content.decode())
+        self.model = self.whole.model
+        self.split = re.compile(f"[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{_NUMBERS}]|[^{_BLANKS}{_LETTERS}{_NUMBERS}]+").findall
+        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values() if t.content]
+        # Dotted capital I becomes two characters in lower case; Python alone takes 1C to 1F as white space.
+        self._other = re.compile("[^\\x00-\\x1b\\x20-\u012f\u0131-\u017f]").search
+        self._map = dict(enumerate(byte_characters()))
+        self._cache = _Cache(self._encode_word, most_words)
+
+    def _encode_word(self, word: str) -> bytes:
+        mapped = [piece.encode().decode("latin-1").translate(self._map) for piece in self.split(word)]
+        ids = [t.id for piece in mapped for t in self.model.tokenize(piece)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def encode(self, text: str) -> bytes:
+        """Ids of a text as little-endian unsigned 32-bit integers, without special tokens around it."""
+        if self._other(text) or any(a in text for a in self.added):
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return b"".join(map(self._cache.__getitem__, text.lower().split()))
