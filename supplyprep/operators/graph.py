@@ -2,9 +2,11 @@
 
 A graph is an edge table. ``Shape`` names its columns: the site and group columns inside which
 codes are compared, the item codes (company side) and the site codes (manufacturer side).
-Two operators walk the graph: ``find_cycle_edges`` and ``flagged_ancestor``. They advance one
-level per round over the whole frontier, keep one state per node (not per path) and write each
-round to the shared work folder.
+Two operators follow paths: ``find_cycle_edges`` and ``flagged_ancestor``. They shorten paths
+instead of walking them: nodes with one way in are folded into the node above by pointer doubling,
+labels jump to the label of the node they name, and chains inside components become one edge. The
+number of jobs grows with the logarithm of a path's length; each round is written to the shared
+work folder.
 """
 
 from __future__ import annotations
@@ -83,88 +85,301 @@ def _renamed(df: DataFrame, keys: Sequence[str], *columns: str) -> DataFrame:
 
 
 def _trim(
-    edges: DataFrame, keys: Sequence[str], end: str, other: str
+    edges: DataFrame, keys: Sequence[str], *sides: tuple[str, str]
 ) -> tuple[DataFrame, int]:
-    """Drop, again and again, the edges whose ``end`` node is not the ``other`` end of an edge."""
+    """Drop the edges whose one end is not the other end of an edge, and so a few times over.
+
+    The bulk of a bill of material are leaves and what is right above them; what is left of the
+    edges that cannot lie on a cycle is up to the labels.
+    """
     same = [(k, k) for k in keys]
-    rows = -1
-    while True:
-        for _ in range(ROUNDS_PER_JOB):
+    for _ in range(ROUNDS_PER_JOB):
+        for end, other in sides:
             edges = exists_in(edges, edges, [*same, (end, other)])
-        edges, left = materialize(edges, "trim")
-        if left in (rows, 0):
-            return edges, left
-        rows = left
+    return materialize(edges, "trim")
+
+
+LABELLINGS = 2
+"""Independent orders of the nodes whose largest members are spread at a time."""
 
 
 def _component_labels(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per node the largest label that reaches it and the largest label it reaches."""
-    none = F.lit(None).cast("long")
-    links, _ = materialize(
-        edges.select(*keys, F.col("father").alias("at"), F.col("son").alias("node"), F.lit(True).alias("along"))
-        .union(edges.select(*keys, "son", "father", F.lit(False))),
-        "links",
-    )
-    label = F.xxhash64(*keys, "node")
-    state = links.select(*keys, "node").distinct().withColumns({"down": label, "up": label})
+    """Per node and order the largest label that reaches it (``down``) and that it reaches (``up``).
 
+    A label names a node, and what reaches that node reaches all nodes with its label, too. So a
+    node takes not only its neighbours' labels but also the label of the node that its own names,
+    and labels travel in jumps.
+    """
+    ends = [f"{way}{k}" for k in range(LABELLINGS) for way in ("down", "up")]
+    pairs = edges.select(*keys, "father", "son")
+    along = pairs.select(*keys, F.col("father").alias("at"), F.col("son").alias("node"), F.lit("down").alias("way"))
+    against = pairs.select(*keys, "son", "father", F.lit("up"))
+    nodes = pairs.select(*keys, "father").union(pairs.select(*keys, "son")).distinct()
+    own = nodes.select(*keys, "father", F.col("father").alias("node"), F.lit("own"))
+    links, _ = materialize(along.union(against).union(own), "links")
+    state = links.filter("way = 'own'").select(*keys, "node").withColumns(
+        {f"{way}{k}": F.struct(F.xxhash64(F.lit(k), *keys, "node").alias("rank"), "node") for k in range(LABELLINGS) for way in ("down", "up")}
+    )
     def step(state: DataFrame) -> DataFrame:
-        own = state.select(*keys, "node", "down", "up", F.lit(True).alias("own"))
-        arrived = links.join(
-            _renamed(state, keys, "node", "down", "up"), _same(keys, "at", "__node")
-        ).select(
-            *keys,
-            "node",
-            F.when(F.col("along"), F.col("__down")).otherwise(none).alias("down"),
-            F.when(F.col("along"), none).otherwise(F.col("__up")).alias("up"),
-            F.lit(False).alias("own"),
-        )
-        mine = [F.max(F.when(F.col("own"), F.col(c))).alias(f"old_{c}") for c in ("down", "up")]
-        moved = (F.col("down") != F.col("old_down")) | (F.col("up") != F.col("old_up"))
-        return (
-            own.union(arrived)
-            .groupBy(*keys, "node")
-            .agg(F.max("down").alias("down"), F.max("up").alias("up"), *mine)
-            .withColumn("moved", moved)
-            .drop("old_down", "old_up")
-        )
+        named = F.explode(F.array(*[F.struct(F.col(f"{e}.node").alias("at"), F.lit(e).alias("way")) for e in ends])).alias("jump")
+        jumps = state.select(*keys, "node", named).select(*keys, "jump.at", "node", "jump.way")
+        met = links.union(jumps).join(_renamed(state, keys, "node", *ends), _same(keys, "at", "__node"))
+        # A jump is good for its own order and way only.
+        came = {e: F.max(F.when(F.col("way").isin("own", e[:-1], e), F.col(f"__{e}"))) for e in ends}
+        old = {e: F.max(F.when(F.col("way") == "own", F.col(f"__{e}"))) for e in ends}
+        moved = F.lit(False)
+        for e in ends:
+            moved = moved | (came[e] != old[e])
+        return met.groupBy(*keys, "node").agg(*[came[e].alias(e) for e in ends], moved.alias("moved"))
 
     while True:
-        for _ in range(ROUNDS_PER_JOB):
-            state = step(state)
-        state, moving = materialize(state, "labels", F.col("moved"))
+        state, moving = materialize(step(state), "labels", F.col("moved"))
         if not moving:
             return state
 
 
 def _cyclic_core(edges: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
-    """Edges that may lie on a cycle; every edge inside a strongly connected component is kept.
+    """The edges inside strongly connected components, which ``component`` tells apart.
 
-    Labels are spread along and against the edges until nothing moves; an edge whose ends carry
-    different labels cannot lie on a cycle and is cut. Repeated until nothing is cut this leaves
-    exactly the components, which ``component`` tells apart.
+    A node whose largest reaching and largest reached label are the same is in that label's
+    component, and so is whatever else has both labels. An edge whose ends differ in a label is in
+    no component and is cut; what is left without being settled is labelled again. The component
+    of the largest label is settled each time.
     """
-    edges, rows = _trim(edges, keys, "father", "son")
+    done = None
+    edges, rows = _trim(edges, keys, ("father", "son"), ("son", "father"))
+    ends = [f"{way}{k}" for k in range(LABELLINGS) for way in ("down", "up")]
     while rows:
         labels = _component_labels(edges, keys)
-        joined = edges
+        settled = F.lit(False)
+        for k in range(LABELLINGS):
+            settled = settled | (F.col(f"down{k}") == F.col(f"up{k}"))
+        marked = labels.select(*keys, "node", F.xxhash64(*ends).alias("component"), settled.alias("settled"))
+        joined = edges.select(*keys, "father", "son")
         for end in ("father", "son"):
-            ends = labels.select(
+            of = marked.select(
                 *[F.col(k).alias(f"__{k}") for k in keys],
                 F.col("node").alias("__node"),
-                F.col("down").alias(f"{end}_down"),
-                F.col("up").alias(f"{end}_up"),
+                F.col("component").alias(f"{end}_component"),
+                "settled",
+            )
+            joined = joined.join(of if end == "father" else of.drop("settled"), _same(keys, end, "__node"))
+            joined = joined.drop("__node", *[f"__{k}" for k in keys])
+        kept = joined.filter("father_component = son_component").select(
+            *keys, "father", "son", F.col("father_component").alias("component"), "settled"
+        )
+        kept, rows = materialize(kept, "core", ~F.col("settled"))
+        inside = kept.filter("settled").drop("settled")
+        done = inside if done is None else done.union(inside)
+        if rows:
+            edges, rows = _trim(kept.filter("NOT settled"), keys, ("father", "son"), ("son", "father"))
+    if done is None:
+        return edges.select(*keys, "father", "son", F.lit(0).cast("long").alias("component")), 0
+    return materialize(done, "core")
+
+
+def _doubled(
+    pointers: DataFrame, keys: Sequence[str], rows: int, last: str | None = None
+) -> DataFrame:
+    """Pointers (``node``, ``top``, ``len``) followed until ``top`` has no pointer itself.
+
+    Each step joins the pointers to themselves and doubles their reach. Nodes that lead into a
+    circle of pointers are left out. ``last`` is a column that the far pointer's value replaces.
+    """
+    reach = 1
+    while True:
+        for _ in range(ROUNDS_PER_JOB + 1):
+            onward = _renamed(pointers, keys, "node", "top", "len", *([last] if last else []))
+            met = pointers.join(onward, _same(keys, "top", "__node"), "left")
+            pointers = met.select(
+                *keys,
+                "node",
+                F.coalesce("__top", "top").alias("top"),
+                (F.col("len") + F.coalesce("__len", F.lit(0))).alias("len"),
+                *([F.when(F.col("__node").isNull(), F.col(last)).otherwise(F.col(f"__{last}")).alias(last)] if last else []),
+                F.col("__node").isNotNull().alias("open"),
+            )
+            reach *= 2
+        pointers, still = materialize(pointers, "pointers", F.col("open"))
+        if not still or reach > 2 * rows:
+            return pointers.filter("NOT open").drop("open")
+        pointers = pointers.drop("open")
+
+
+def _folded(edges: DataFrame, starts: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame] | None:
+    """Fold the nodes with one way in, none of the starts, into the node above.
+
+    Returns pointers from folded nodes to the node that stays (``top``, ``len`` edges above), and
+    the edges into nodes that stay, both ends moved there; or nothing if there is no such node.
+    Loops among the edges mark a node that its own folded nodes lead back to.
+    """
+    ways = edges.groupBy(*keys, F.col("son").alias("node")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("father").alias("top"), F.min("length").alias("len")
+    )
+    ways = flag_exists(ways, starts, [*keys, "node"], "is_start")
+    ways, single = materialize(ways, "ways-in", (F.col("n") == 1) & ~F.col("is_start"))
+    if not single:
+        return None
+    ones = ways.filter("n = 1 AND NOT is_start").drop("n", "is_start")
+    pointers = _doubled(ones, keys, single)
+    several = ways.filter("n > 1 OR is_start").select(*keys, "node")
+    left = exists_in(edges, several, [*[(k, k) for k in keys], ("son", "node")])
+    above = _renamed(pointers, keys, "node", "top", "len")
+    left = left.join(above, _same(keys, "father", "__node"), "left").select(
+        *keys,
+        F.col("father").alias("from"),
+        F.coalesce("__top", "father").alias("father"),
+        "son",
+        (F.col("length") + F.coalesce("__len", F.lit(0))).alias("length"),
+    )
+    # Nothing comes from a node that is neither a start nor below another node.
+    alive = several.union(starts.select(*keys, "node"))
+    return pointers, exists_in(left, alive, [*[(k, k) for k in keys], ("father", "node")])
+
+
+def _shorter(moved: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One edge, the shortest, for those between the same nodes; no loops."""
+    return moved.filter("father != son").groupBy(*keys, "father", "son").agg(F.min("length").alias("length"))
+
+
+def _composed(folded: DataFrame | None, pointers: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Earlier pointers led on by newer ones."""
+    if folded is None:
+        return pointers
+    onward = _renamed(pointers, keys, "node", "top", "len")
+    led = folded.join(onward, _same(keys, "top", "__node"), "left").select(
+        *keys, "node", F.coalesce("__top", "top").alias("top"), (F.col("len") + F.coalesce("__len", F.lit(0))).alias("len")
+    )
+    return led.union(pointers.select(led.columns))
+
+
+def _nearest(links: DataFrame, starts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Nodes below the starts: ``depth`` (1 for a start) and the nearest start's ``ancestor``, the least on ties.
+
+    A node with one way in is as far from any start as the node above plus the edge's length, so it
+    is folded into that node by pointer doubling; the edges out of it go over to the node above.
+    Edges that then have both ends in common are one, the shortest. This is done again while there
+    are nodes with one way in; what is left, if anything, is relaxed.
+    """
+    edges = not_exists_in(
+        links.filter("father != son").select(*keys, "father", "son").distinct(),
+        starts,
+        [*[(k, k) for k in keys], ("son", "node")],
+    ).withColumn("length", F.lit(1))
+    edges, rows = materialize(edges, "ways")
+    folded = None
+    while rows and (round_ := _folded(edges, starts, keys)):
+        pointers, moved = round_
+        edges, rows = materialize(_shorter(moved, keys), "ways")
+        folded = _composed(folded, pointers, keys)
+    return _depths(edges, rows, starts, folded, keys)
+
+
+def _depths(edges: DataFrame, rows: int, starts: DataFrame, folded: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+    """Depths over the edges that are left, then of the nodes folded before; see :func:`_nearest`."""
+    state = starts.select(*keys, "node", F.struct(F.lit(1).alias("depth"), "ancestor").alias("value"))
+    while rows:
+        moved = F.col("value") < F.coalesce("old", F.struct((F.col("value.depth") + 1).alias("depth"), F.col("value.ancestor").alias("ancestor")))
+        for _ in range(ROUNDS_PER_JOB):
+            came = edges.join(_renamed(state, keys, "node", "value"), _same(keys, "father", "__node")).select(
+                *keys,
+                F.col("son").alias("node"),
+                F.struct((F.col("__value.depth") + F.col("length")).cast("int").alias("depth"), F.col("__value.ancestor").alias("ancestor")).alias("value"),
+                F.lit(False).alias("own"),
             )
-            joined = joined.join(ends, _same(keys, end, "__node")).drop(
-                "__node", *[f"__{k}" for k in keys]
+            state = (
+                state.select(*keys, "node", "value", F.lit(True).alias("own"))
+                .union(came)
+                .groupBy(*keys, "node")
+                .agg(F.min("value").alias("value"), F.min(F.when(F.col("own"), F.col("value"))).alias("old"))
+                .withColumn("moved", moved)
+                .drop("old")
             )
-        kept = joined.filter("father_down = son_down AND father_up = son_up")
-        component = F.xxhash64("father_down", "father_up").alias("component")
-        edges, left = materialize(kept.select(*keys, "father", "son", component), "core")
-        if left == rows:
-            break
-        rows = left
-    return edges, rows
+        state, rows = materialize(state, "relaxed", F.col("moved"))
+    found = state.select(*keys, "node", "value.depth", "value.ancestor")
+    if folded is None:
+        return found
+    tops = _renamed(found, keys, "node", "depth", "ancestor")
+    below = folded.join(tops, _same(keys, "top", "__node")).select(
+        *keys, "node", (F.col("__depth") + F.col("len")).cast("int").alias("depth"), F.col("__ancestor").alias("ancestor")
+    )
+    return materialize(found.union(below), "nearest")[0]
+
+
+def _marked_above(tree: DataFrame, marks: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Nodes of a forest (``node``, ``top``: the node right above) that are marked or lie above a marked one.
+
+    Marked nodes mark the node that their pointer names, and pointers double.
+    """
+    state = flag_exists(tree, marks, [*keys, "node"], "mark")
+    while True:
+        for _ in range(ROUNDS_PER_JOB):
+            up = state.filter("mark AND top IS NOT NULL").select(*keys, F.col("top").alias("node"))
+            onward = _renamed(state, keys, "node", "top")
+            state = flag_exists(state, up, [*keys, "node"], "above").join(onward, _same(keys, "top", "__node"), "left")
+            state = state.select(*keys, "node", F.col("__top").alias("top"), (F.col("mark") | F.col("above")).alias("mark"))
+        state, onward_rows = materialize(state, "marks", F.col("mark") & F.col("top").isNotNull())
+        if not onward_rows:
+            return state.filter("mark").select(*keys, "node")
+
+
+def _reach_and_cycles(links: DataFrame, starts: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame, int]:
+    """Depths of the nodes below the starts, and the edges inside strongly connected components, with their number.
+
+    Folding the nodes with one way in keeps every cycle: what enters a folded node comes from the
+    node above. So components are found among the few nodes that stay, and handed down: a node
+    with a loop is in a component, and a folded node is in that of the node above if an edge of
+    that component leaves it or a node folded below it.
+    """
+    plain = links.select(*keys, "father", "son")
+    edges, rows = materialize(plain.filter("father != son").withColumn("length", F.lit(1)), "ways")
+    folded, rounds = None, []
+    while rows and (round_ := _folded(edges, starts, keys)):
+        pointers, moved = round_
+        moved, rows = materialize(moved, "moved", F.col("father") != F.col("son"))
+        rounds.append((edges, pointers, moved))
+        folded = _composed(folded, pointers, keys)
+        edges = _shorter(moved, keys)
+    into_others = not_exists_in(edges, starts, [*[(k, k) for k in keys], ("son", "node")])
+    others = len(into_others.take(1)) if rows else 0
+    reach = _depths(into_others, others, starts, folded, keys)
+
+    core, n = _cyclic_core(edges.select(*keys, "father", "son"), keys) if rows else (None, 0)
+    component = F.xxhash64(*keys, "node")
+    if n:
+        members = core.select(*keys, F.col("father").alias("node"), "component").distinct()
+    else:
+        members = starts.limit(0).select(*keys, "node", component.alias("component"))
+    for before, pointers, moved in reversed(rounds):
+        loops = moved.filter("father = son").select(*keys, F.col("son").alias("node")).distinct()
+        own = loops.select(*keys, "node", component.alias("component"))
+        members = members.withColumn("first", F.lit(1)).union(own.withColumn("first", F.lit(2)))
+        members = members.groupBy(*keys, "node").agg(F.min_by("component", "first").alias("component"))
+        members, some = materialize(members, "members")
+        if not some:
+            continue
+        ends = moved.filter("from != father")
+        for end in ("father", "son"):
+            of = members.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("node").alias("__node"), F.col("component").alias(f"{end}_component"))
+            ends = ends.join(of, _same(keys, end, "__node")).drop("__node", *[f"__{k}" for k in keys])
+        leaving = ends.filter("father_component = son_component").select(*keys, F.col("from").alias("node")).distinct()
+        tree = exists_in(before, pointers, [*[(k, k) for k in keys], ("son", "node")])
+        inside = _marked_above(tree.select(*keys, F.col("son").alias("node"), F.col("father").alias("top")), leaving, keys)
+        tops = _renamed(members, keys, "node", "component")
+        below = pointers.join(tops, _same(keys, "top", "__node")).select(*keys, "node", F.col("__component").alias("component"))
+        members = members.union(exists_in(below, inside, [*keys, "node"]))
+
+    loops = plain.filter("father = son").select(*keys, F.col("father").alias("node")).distinct()
+    members = members.withColumn("first", F.lit(1)).union(loops.select(*keys, "node", component.alias("component")).withColumn("first", F.lit(2)))
+    members = members.groupBy(*keys, "node").agg(F.min_by("component", "first").alias("component"))
+    members, some = materialize(members, "members")
+    inside = plain
+    for end in ("father", "son"):
+        of = members.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("node").alias("__node"), F.col("component").alias(f"{end}_component"))
+        inside = inside.join(of, _same(keys, end, "__node")).drop("__node", *[f"__{k}" for k in keys])
+    inside = inside.filter("father_component = son_component").select(*keys, "father", "son", F.col("father_component").alias("component"))
+    inside, n = materialize(inside, "core") if some else (inside, 0)
+    return reach, inside, n
 
 
 def _waves(
@@ -172,7 +387,6 @@ def _waves(
     advance: Callable[[DataFrame], DataFrame],
     keys: Sequence[str],
     label: str,
-    max_depth: int | None = None,
 ) -> DataFrame:
     """Breadth-first waves over nodes; a node keeps the row of the first wave that reached it.
 
@@ -181,11 +395,9 @@ def _waves(
     depth = 1
     frontier, rows = materialize(first.withColumn("depth", F.lit(depth)), label)
     settled = frontier
-    while rows and (max_depth is None or depth < max_depth):
+    while rows:
         seen, wave, found = settled, frontier, None
         for _ in range(ROUNDS_PER_JOB):
-            if depth == max_depth:
-                break
             depth += 1
             step = advance(wave).withColumn("depth", F.lit(depth))
             wave = not_exists_in(step, seen, [*keys, "node"])
@@ -197,16 +409,34 @@ def _waves(
     return settled
 
 
-def _reached(edges: DataFrame, starts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Nodes below the start edges with the smallest number of edges walked to get there."""
-
-    def advance(wave: DataFrame) -> DataFrame:
-        above = _renamed(wave, keys, "node")
-        below = edges.join(above, _same(keys, "father", "__node"))
-        return below.select(*keys, F.col("son").alias("node")).distinct()
+def _shortened(core: DataFrame, ends: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The core with chains as one edge: ``father``, ``son``, ``length``, and ``closer``, the father of the chain's last edge.
 
-    first = starts.select(*keys, F.col("son").alias("node")).distinct()
-    return _waves(first, advance, keys, "reach")
+    Nodes with one edge in and one out are inside a chain unless they are in ``ends``. A walk that
+    enters a chain goes through all of it, once, so only its last edge can close a cycle.
+    """
+    out = core.groupBy(*keys, F.col("father").alias("node")).agg(
+        F.count(F.lit(1)).alias("n_out"), F.min("son").alias("top"), F.max(F.col("father") == F.col("son")).alias("loop")
+    )
+    into = core.groupBy(*[F.col(k).alias(f"__{k}") for k in keys], F.col("son").alias("__node")).agg(F.count(F.lit(1)).alias("n_in"))
+    inner = out.join(into, _same(keys, "node", "__node")).filter("n_out = 1 AND n_in = 1 AND NOT loop")
+    inner = not_exists_in(inner.select(*keys, "node", "top", F.lit(1).alias("len"), F.col("node").alias("closer")), ends, [*keys, "node"])
+    inner, rows = materialize(inner, "inner")
+    plain = core.select(*keys, "father", "son", "component", F.lit(1).alias("length"), F.col("father").alias("closer"))
+    if not rows:
+        return plain
+    chains = _doubled(inner, keys, rows, "closer")
+    begun = not_exists_in(plain, inner, [*[(k, k) for k in keys], ("father", "node")])
+    onward = _renamed(chains, keys, "node", "top", "len", "closer")
+    joined = begun.join(onward, _same(keys, "son", "__node"), "left").select(
+        *keys,
+        "father",
+        F.coalesce("__top", "son").alias("son"),
+        "component",
+        (F.col("length") + F.coalesce("__len", F.lit(0))).alias("length"),
+        F.coalesce("__closer", "closer").alias("closer"),
+    )
+    return materialize(joined, "shortened")[0]
 
 
 def find_cycle_edges(
@@ -221,12 +451,12 @@ def find_cycle_edges(
     ``roots`` marks the root edges. The result holds ``group``, ``father``, ``son``, the smallest
     level seen and whether the walk can go on behind the edge (``is_leaf``).
 
-    Only edges inside strongly connected components can close a cycle, so the tree-like bulk of
-    the graph is trimmed away first and only what lies above a cycle is walked from the roots.
-    Inside the components, walks are kept as (set of visited nodes, current node), which merges
-    the walks that differ only in their order. An edge is settled by the first wave that closes
-    it, or when its father turns out to dominate its son (no walk gets to the son without the
-    father, so none closes it). A component is left as soon as all its edges are settled.
+    Only edges inside strongly connected components can close a cycle. How far from a root a
+    component is entered comes from the shortest ways down. Inside the components chains are one
+    edge, and walks are kept as (set of visited nodes, current node), which merges the walks that
+    differ only in their order. An edge is settled by the first wave that closes it, or when its
+    father turns out to dominate its son (no walk gets to the son without the father, so none
+    closes it). A component is left as soon as all its edges are settled.
     """
     keys = [f"g{i}" for i in range(len(group))]
     rows = edges.filter(all_of([F.col(c).isNotNull() for c in [*group, father, son]])).select(
@@ -237,11 +467,13 @@ def find_cycle_edges(
     )
     pairs = rows.groupBy(*keys, "father", "son").agg(F.max("is_root").alias("is_root"))
     pairs, _ = materialize(pairs, "edges")
-    # Edges above a cycle; everything else, the bulk of the graph, is done with here.
-    above, _ = _trim(pairs, keys, "son", "father")
+    # Edges above others; the leaves, the bulk of the graph, are done with here.
+    above, _ = _trim(pairs, keys, ("son", "father"))
     links = above.select(*keys, "father", "son")
     starts = above.filter("is_root").select(*keys, "father", "son")
-    core, rows_left = _cyclic_core(links, keys)
+    first = starts.select(*keys, F.col("son").alias("node"), F.lit(None).cast("string").alias("ancestor")).distinct()
+    first, _ = materialize(first, "starts")
+    reach, core, rows_left = _reach_and_cycles(links, first, keys)
     if not rows_left:
         return core.limit(0).select(
             *[F.col(k).alias(g) for g, k in zip(group, keys)],
@@ -251,7 +483,6 @@ def find_cycle_edges(
             F.lit(True).alias("is_leaf"),
         )
 
-    reach = _reached(links, starts, keys)
     # A walk enters the core along a reached edge from outside, or by a root edge inside it. The
     # way from the root to such an edge shares no node with what can be reached behind it, or both
     # would belong to one component, so the walk inside the core need not know it.
@@ -277,18 +508,18 @@ def find_cycle_edges(
         F.lit(1).alias("depth"),
     )
     closing = root_inside.filter("father = son").select(
-        *keys, "father", "son", F.lit(1).alias("level")
+        *keys, F.col("father").alias("closer"), "son", F.lit(1).alias("level"), F.lit(1).alias("length")
     )
-    walks = walk_from_entry.union(first_step)
-    starts_inside = walk_from_entry.select(*keys, F.col("at").alias("node")).union(
-        root_inside.select(*keys, F.col("father").alias("node"))
-    )
-    starts_inside, _ = materialize(starts_inside.distinct(), "starts")
-    edge = [*keys, "father", "son"]
+    walks, _ = materialize(walk_from_entry.union(first_step), "first-walks")
+    fathers = root_inside.select(*keys, F.col("father").alias("node"))
+    begin = walks.filter("size(seen) = 1").select(*keys, F.col("at").alias("node"))
+    starts_inside = begin.union(fathers).distinct()
     entered = exists_in(core, starts_inside, [*[(k, k) for k in keys], ("father", "node")])
-    unsettled, open_edges = materialize(
-        not_exists_in(exists_in(core, entered, [*keys, "component"]), closing, edge), "unsettled"
-    )
+    core = exists_in(core, entered, [*keys, "component"])
+    ends = walks.select(*keys, F.col("at").alias("node")).union(starts_inside)
+    core = _shortened(core, ends, keys)
+    edge = [*keys, "closer", "son"]
+    unsettled, open_edges = materialize(not_exists_in(core, closing, edge), "unsettled")
     found, tested = [closing], False
     onward, before, wave = 1, 0, 0
     while onward and open_edges:
@@ -298,15 +529,16 @@ def find_cycle_edges(
         inside = exists_in(core, unsettled, [*keys, "component"])
         step = inside.join(at, _same(keys, "father", "__at")).select(
             *keys,
-            "father",
+            "closer",
             "son",
             "seen",
-            (F.col("depth") + 1).alias("depth"),
+            "length",
+            (F.col("depth") + F.col("length")).alias("depth"),
             F.array_contains("seen", F.col("son")).alias("closes"),
         )
         step, onward = materialize(step, "walks", ~F.col("closes"))
         found.append(
-            step.filter("closes").select(*keys, "father", "son", F.col("depth").alias("level"))
+            step.filter("closes").select(*keys, "closer", "son", F.col("depth").alias("level"), "length")
         )
         walks = step.filter("NOT closes").select(
             *keys,
@@ -318,14 +550,14 @@ def find_cycle_edges(
         growing, before = onward > before, onward
         if not growing:  # the walks run out by themselves
             continue
-        # Walks start at different depths, so an edge counts as settled once no walk of a smaller
-        # depth is left that might still close it.
+        # Walks differ in depth, so an edge counts as settled once no walk is left that is short
+        # enough to close it earlier.
         least = walks.agg(F.min("depth").alias("least")).scalar()
         closed_now = found[0].filter(F.lit(False))
         for part in found:
             closed_now = closed_now.union(part)
-        done = closed_now.groupBy(*edge).agg(F.min("level").alias("level")).filter(
-            F.coalesce(F.col("level") <= least + 1, F.lit(True))
+        done = closed_now.groupBy(*edge).agg(F.min("level").alias("level"), F.max("length").alias("length")).filter(
+            F.coalesce(F.col("level") <= least + F.col("length"), F.lit(True))
         )
         unsettled, open_edges = materialize(not_exists_in(unsettled, done, edge), "unsettled")
         if open_edges and onward and wave >= WAVES_BEFORE_DOMINATORS and not tested:
@@ -336,7 +568,7 @@ def find_cycle_edges(
     closed = found[0]
     for part in found[1:]:
         closed = closed.union(part)
-    closed = closed.groupBy(*keys, "father", "son").agg(F.min("level").alias("level"))
+    closed = closed.groupBy(*keys, F.col("closer").alias("father"), "son").agg(F.min("level").alias("level"))
     fan_out = pairs.groupBy(
         *[F.col(k).alias(f"__{k}") for k in keys], F.col("father").alias("__node")
     ).agg(F.count(F.lit(1)).alias("__out"))
@@ -344,7 +576,7 @@ def find_cycle_edges(
         *[F.col(k).alias(g) for g, k in zip(group, keys)],
         F.col("father").alias(father),
         F.col("son").alias(son),
-        "level",
+        F.col("level").cast("int").alias("level"),
         (F.coalesce(F.col("__out"), F.lit(0)) <= 1).alias("is_leaf"),
     )
 
@@ -398,44 +630,37 @@ def flagged_ancestor(
     """Nearest flagged ancestor of every node that has one.
 
     ``label`` is non-null on edges whose father is flagged and names the ancestor to report; ties
-    give the smallest. The search runs downwards from the flagged fathers: a node is settled in
-    the round that first reaches it, so every node is visited once and cycles do no harm (on a
-    cycle a node may be its own ancestor). ``wanted`` (one column of nodes) asks for those only: the
-    edges above them, up to the first flagged father, are found first, and no other is walked.
-    Returns site columns, ``son``, ``ancestor`` and ``distance``.
+    give the smallest. Sons of such edges are starts, and everybody else's ancestor is that of the
+    nearest start above (on a cycle a node may be its own ancestor); see :func:`_nearest`.
+    ``wanted`` (one column of nodes) asks for those only: other leaves are cut first. ``max_depth``
+    keeps the ancestors so near. Returns site columns, ``son``, ``ancestor`` and ``distance``.
     """
     keys = [f"g{i}" for i in range(len(site))]
     links = edges.select(
         *[F.col(s).alias(k) for s, k in zip(site, keys)],
         F.col(father).alias("father"),
-        F.col(son).alias("node"),
+        F.col(son).alias("son"),
         label.alias("ancestor"),
-    ).filter(all_of([F.col(k).isNotNull() for k in keys] + [F.col("node").isNotNull()]))
+    ).filter(all_of([F.col(k).isNotNull() for k in keys] + [F.col("son").isNotNull()]))
     links, _ = materialize(links, "links")
-    asked = None
-    if wanted is not None:
-        asked = wanted.select(F.col(wanted.columns[0]).alias("node")).distinct()
-        climb = links.filter(F.col("ancestor").isNull()).drop("ancestor")
-
-        def ascend(wave: DataFrame) -> DataFrame:
-            up = climb.join(_renamed(wave, keys, "node"), _same(keys, "node", "__node"))
-            return up.select(*keys, F.col("father").alias("node")).distinct()
-
-        start = exists_in(links, asked, ["node"]).select(*keys, "node").distinct()
-        reached = _waves(start, ascend, keys, "climb", max_depth)
-        links, _ = materialize(exists_in(links, reached, [*keys, "node"]), "links_above")
-
-    def advance(wave: DataFrame) -> DataFrame:
-        above = _renamed(wave, keys, "node", "ancestor")
-        below = links.drop("ancestor").join(above, _same(keys, "father", "__node"))
-        return below.groupBy(*keys, "node").agg(F.min("__ancestor").alias("ancestor"))
-
-    first = (
+    starts = (
         links.filter(F.col("ancestor").isNotNull())
-        .groupBy(*keys, "node")
+        .groupBy(*keys, F.col("son").alias("node"))
         .agg(F.min("ancestor").alias("ancestor"))
     )
-    settled = _waves(first, advance, keys, "ancestor", max_depth)
+    asked = None if wanted is None else wanted.select(F.col(wanted.columns[0]).alias("node")).distinct()
+    if max_depth == 1:
+        settled = starts.withColumn("depth", F.lit(1))
+    else:
+        starts, _ = materialize(starts, "starts")
+        ways = links.filter(F.col("father").isNotNull()).select(*keys, "father", "son")
+        if asked is not None:
+            useful = flag_exists(ways, ways, [*[(k, k) for k in keys], ("son", "father")], "__leads")
+            useful = flag_exists(useful, asked, [("son", "node")], "__asked")
+            ways = useful.filter("__leads OR __asked").drop("__leads", "__asked")
+        settled = _nearest(ways, starts, keys)
+        if max_depth is not None:
+            settled = settled.filter(F.col("depth") <= max_depth)
     if asked is not None:
         settled = exists_in(settled, asked, ["node"])
     return settled.select(

@@ -172,3 +172,60 @@ def test_cycles_of_a_complete_graph_are_settled_early(spark, entries):
     inner = {(f"n{a}", f"n{b}") for a in nodes for b in nodes if a != b and not (entries == 1 and a == 0)}
     assert set(found) == inner
     assert found["n3", "n0"] == 3 and found["n3", "n4"] == 4
+
+
+def chain(n, prefix="n"):
+    return [("g", f"{prefix}{k}", f"{prefix}{k + 1}", False) for k in range(n)]
+
+
+def test_cycle_of_a_thousand_edges_takes_few_jobs(spark, monkeypatch):
+    jobs = []
+    write = graph.materialize
+    monkeypatch.setattr(graph, "materialize", lambda df, label, counted=None: jobs.append(label) or write(df, label, counted))
+    # One long cycle, and a chain as long that ends in a short one.
+    edges = [("g", "root", "n0", True), *chain(999), ("g", "n999", "n0", False)]
+    edges += [("g", "root", "m0", True), *chain(1000, "m"), ("g", "m1000", "m998", False)]
+    table = spark.createDataFrame(edges, "grp string, father string, son string, is_root boolean")
+    found = graph.find_cycle_edges(table, F.col("is_root"), "father", "son", ["grp"])
+    assert rows(found) == [("g", "m1000", "m998", 1002, True), ("g", "n999", "n0", 1001, True)]
+    assert len(jobs) < 40
+
+
+def test_ancestor_over_a_thousand_edges_takes_few_jobs(spark, monkeypatch):
+    jobs = []
+    write = graph.materialize
+    monkeypatch.setattr(graph, "materialize", lambda df, label, counted=None: jobs.append(label) or write(df, label, counted))
+    edges = [("g", "top", "n0", True), *chain(1000), ("g", "n500", "x", False), ("g", "n3", "x", False)]
+    table = spark.createDataFrame(edges, "grp string, father string, son string, flagged boolean")
+    found = graph.flagged_ancestor(table, "father", "son", ["grp"], F.when(F.col("flagged"), F.col("father")))
+    distance = {r["son"]: r["distance"] for r in found.collect()}
+    assert len(distance) == 1002 and distance["n1000"] == 1001 and distance["x"] == 5
+    assert len(jobs) < 15
+
+
+@pytest.mark.parametrize("seed", range(4, 7))
+def test_cycle_levels_match_a_breadth_first_search(spark, seed):
+    """Level of an edge: the least number of edges of a simple path from a root edge that it closes."""
+    edges = random_edges(seed, nodes=12, count=17)
+    roots = {"n0", "n1", "n2"}
+    below = {}
+    for g, f, s in edges:
+        below.setdefault((g, f), set()).add(s)
+    best = {}
+
+    def walk(g, path):
+        for son in below.get((g, path[-1]), ()):
+            if son in path:
+                best[g, path[-1], son] = min(best.get((g, path[-1], son), 99), len(path))
+            else:
+                walk(g, [*path, son])
+
+    for g, f, s in edges:
+        if f in roots:
+            if s == f:
+                best[g, f, s] = 1
+            else:
+                walk(g, [f, s])
+    df = spark.createDataFrame(edges, EDGE)
+    got = {(r["g"], r["f"], r["s"]): r["level"] for r in graph.find_cycle_edges(df, F.col("f").isin(*roots), "f", "s", ["g"]).collect()}
+    assert got == best
