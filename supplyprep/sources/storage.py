@@ -9,11 +9,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+_SCOPES: list[str] = []
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -35,7 +38,7 @@ def work_folder(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path in the work folder that no other run uses."""
-    return f"{work_folder(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    return "/".join([work_folder(spark), spark.sparkContext.applicationId, *_SCOPES, f"{label}-{uuid.uuid4().hex}"])
 
 
 def materialize(
@@ -68,6 +71,21 @@ def remove_folder(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+@contextmanager
+def work_scope(spark: SparkSession, label: str) -> Iterator[None]:
+    """Work tables written inside are deleted at the end, also after a failure.
+
+    For whole runs, whose results are tables of their own by then.
+    """
+    _SCOPES.append(f"{label}-{uuid.uuid4().hex}")
+    folder = "/".join([work_folder(spark), spark.sparkContext.applicationId, *_SCOPES])
+    try:
+        yield
+    finally:
+        _SCOPES.pop()
+        remove_folder(spark, folder)
+
+
 def remove_work_tables(spark: SparkSession) -> bool:
     """Delete what this application wrote by :func:`materialize`; for the end of a run.
 

@@ -1,8 +1,8 @@
-"""Write modes: full snapshots, weekly history, rolling backups and replaced slices.
+"""Write modes: full snapshots, bucketed tables, weekly history, rolling backups and replaced slices.
 
-A snapshot is a new version folder plus a one-row pointer table that names it. Readers follow the
-pointer, so a failed run leaves the previous snapshot in place and a job may read the data set
-that it replaces.
+A snapshot or bucket is a new folder, and a manifest that names all live folders makes it the
+current one. A failed run leaves the previous version in place, a job may read the data set that
+it replaces, and of two writers at the same time one fails.
 """
 
 from __future__ import annotations
@@ -10,25 +10,22 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from supplyprep.context import RunContext
 from supplyprep.functions.dates import calendar_week, year_start
-from supplyprep.sources.storage import remove_folder
+from supplyprep.sources.manifest import commit, expire, live_parts
+
+#: Part name of a table that is one folder.
+WHOLE = ""
 
 
 def current_version(spark: SparkSession, base: str) -> str | None:
     """Folder of the snapshot that readers see now, or nothing before the first write."""
-    try:
-        row = spark.read.schema("seq long, path string").json(f"{base}/_pointer").agg(
-            F.max_by("path", "seq").alias("path")
-        )
-    except AnalysisException:
-        return None
-    return row.first()["path"]
+    _, parts = live_parts(spark, base)
+    return f"{base}/{parts[WHOLE]}" if WHOLE in parts else None
 
 
 def read_snapshot(spark: SparkSession, base: str) -> DataFrame:
@@ -38,44 +35,24 @@ def read_snapshot(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def overwrite_snapshot(df: DataFrame, base: str, ctx: RunContext) -> str:
-    """Full refresh: write a new version folder, then point to it."""
+def overwrite_snapshot(df: DataFrame, base: str, ctx: RunContext, since: int | None = None) -> str:
+    """Full refresh: write a new version folder, then make it the live one.
+
+    ``since`` is the version that ``df`` was made from, by default the one there is now; if another
+    writer is faster, the write fails and the other's version stays.
+    """
     spark = df.sparkSession
-    path = f"{base}/v={ctx.version}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    pointers = spark.read.schema("seq long, path string")
-    try:
-        last = pointers.json(f"{base}/_pointer").agg(F.max("seq").alias("seq")).first()["seq"]
-    except AnalysisException:
-        last = None
-    row = spark.range(1).select(
-        F.lit((last or 0) + 1).cast("long").alias("seq"), F.lit(path).alias("path")
-    )
-    row.coalesce(1).write.mode("append").json(f"{base}/_pointer")
-    return path
+    if since is None:
+        since, _ = live_parts(spark, base)
+    folder = f"v={ctx.version}-{uuid.uuid4().hex}"
+    df.write.parquet(f"{base}/{folder}")
+    commit(spark, base, since, {WHOLE: folder})
+    return f"{base}/{folder}"
 
 
 def expire_snapshots(spark: SparkSession, base: str, keep: int = 3) -> int:
-    """Delete all but the newest ``keep`` versions of a snapshot; says how many went.
-
-    Readers of an older version must be done. The pointer rows of what is kept are written anew
-    first, so the pointer stays short and a run that fails in between loses nothing.
-    """
-    if keep < 1:
-        raise ValueError("the current version stays")
-    pointer = f"{base}/_pointer"
-    found = spark.read.schema("seq long, path string").json(pointer).distinct().orderBy("seq")
-    rows = [(r["seq"], r["path"]) for r in found.collect()]
-    old, current = rows[:-keep], rows[-keep:]
-    if not old:
-        return 0
-    spark.createDataFrame(current, "seq long, path string").coalesce(1).write.mode("append").json(pointer)
-    named = spark.read.schema("seq long").json(pointer).select("seq", F.col("_metadata.file_path").alias("file"))
-    for row in named.filter(F.col("seq") <= old[-1][0]).select("file").distinct().collect():
-        remove_folder(spark, row["file"])
-    for path in {path for _, path in old} - {path for _, path in current}:
-        remove_folder(spark, path)
-    return len(old)
+    """Delete all but the newest ``keep`` versions of a snapshot or bucketed table; says how many went."""
+    return expire(spark, base, keep)
 
 
 def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
@@ -83,20 +60,13 @@ def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
     return df.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
 
 
-def _bucket_folders(spark: SparkSession, base: str) -> tuple[dict[int, str], int]:
-    """The folder that each bucket is read from now, and the number of the last write."""
-    try:
-        rows = spark.read.schema("seq long, bucket int, path string").json(f"{base}/_pointer")
-        found = rows.groupBy("bucket").agg(F.max_by("path", "seq").alias("path"), F.max("seq").alias("seq")).collect()
-    except AnalysisException:
-        return {}, 0
-    return {r["bucket"]: r["path"] for r in found}, max((r["seq"] for r in found), default=0)
-
-
-def read_buckets(spark: SparkSession, base: str, schema: StructType | None = None, only: Sequence[int] | None = None) -> DataFrame:
+def read_buckets(
+    spark: SparkSession, base: str, schema: StructType | None = None, only: Sequence[int] | None = None, version: int | None = None
+) -> DataFrame:
     """The rows of a bucketed table, or of some buckets of it; ``schema`` is needed where none is written yet."""
-    folders, _ = _bucket_folders(spark, base)
-    paths = [path for bucket, path in sorted(folders.items()) if only is None or bucket in only]
+    _, parts = live_parts(spark, base, version)
+    wanted = parts if only is None else {str(b) for b in only} & parts.keys()
+    paths = [f"{base}/{parts[bucket]}" for bucket in sorted(wanted)]
     if paths:
         return spark.read.parquet(*paths)
     if schema is None:
@@ -104,20 +74,17 @@ def read_buckets(spark: SparkSession, base: str, schema: StructType | None = Non
     return spark.createDataFrame([], schema)
 
 
-def write_buckets(df: DataFrame, base: str, ctx: RunContext) -> None:
+def write_buckets(df: DataFrame, base: str, ctx: RunContext, since: int | None = None) -> None:
     """Replace the buckets that ``df`` (with the column ``bucket``) has rows of; the others stay.
 
-    New folders are written first and then named in one step, as with :func:`overwrite_snapshot`.
+    ``since``: as with :func:`overwrite_snapshot`.
     """
     spark = df.sparkSession
-    path = f"{base}/v={ctx.version}-{uuid.uuid4().hex}"
-    df.write.partitionBy("bucket").parquet(path)
-    _, last = _bucket_folders(spark, base)
-    touched = spark.read.parquet(path).select("bucket").distinct()
-    rows = touched.select(
-        F.lit(last + 1).cast("long").alias("seq"), "bucket", F.concat(F.lit(f"{path}/bucket="), "bucket").alias("path")
-    )
-    rows.coalesce(1).write.mode("append").json(f"{base}/_pointer")
+    since, parts = live_parts(spark, base, since)
+    folder = f"v={ctx.version}-{uuid.uuid4().hex}"
+    df.write.partitionBy("bucket").parquet(f"{base}/{folder}")
+    touched = spark.read.parquet(f"{base}/{folder}").select("bucket").distinct().collect()  # at most the number of buckets
+    commit(spark, base, since, parts | {str(r["bucket"]): f"{folder}/bucket={r['bucket']}" for r in touched})
 
 
 def append(*parts: DataFrame) -> DataFrame:

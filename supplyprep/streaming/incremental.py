@@ -20,10 +20,13 @@ from supplyprep.context import RunContext
 from supplyprep.operators.groups import keep_latest
 from supplyprep.operators.rows import upsert
 from supplyprep.sources.storage import staged
+from supplyprep.sources.manifest import expire, live_parts
 from supplyprep.sources.writers import read_buckets, with_bucket, write_buckets
 
 #: Parts of a target table; as many as keep one part to some hundred megabytes.
 BUCKETS = 64
+#: Versions of a target table that stay; what only older ones name is removed after each batch.
+KEPT_VERSIONS = 10
 
 
 def file_stream(
@@ -55,8 +58,11 @@ def _merge(
     new = staged(with_bucket(rows, keys, buckets), "arrived")
     touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]
     if touched:
-        old = read_buckets(rows.sparkSession, target, rows.schema, touched)
-        write_buckets(with_bucket(merge(old, new.drop("bucket")), keys, buckets), target, ctx)
+        spark = rows.sparkSession
+        version, _ = live_parts(spark, target)
+        old = read_buckets(spark, target, rows.schema, touched, version)
+        write_buckets(with_bucket(merge(old, new.drop("bucket")), keys, buckets), target, ctx, version)
+        expire(spark, target, KEPT_VERSIONS)
 
 
 def stream_upsert(

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import os
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
 from pathlib import Path
 
@@ -10,7 +12,7 @@ from conftest import rows
 from supplyprep.context import RunContext
 from supplyprep.plans import runs
 from supplyprep.schemas import INPUTS, OUTPUTS, table
-from supplyprep.sources import readers, storage, writers
+from supplyprep.sources import manifest, readers, storage, writers
 from supplyprep.streaming import incremental
 
 CTX = RunContext(run_ts=datetime(2024, 5, 16, 8))
@@ -138,3 +140,84 @@ def test_marks_move_on(spark, tmp_path):
         runs.store_mark(spark, out, "delivery", mark, CTX)
     runs.store_mark(spark, out, "other", "1", CTX)
     assert runs.stored_mark(spark, out, "delivery") == "9"
+
+
+def test_expiry_of_a_bucketed_table_loses_nothing(spark, tmp_path):
+    base = tmp_path / "buckets"
+    rows = spark.range(100).withColumn("v", F.lit(0))
+    writers.write_buckets(writers.with_bucket(rows, ["id"], 8), str(base), CTX)
+    for k in (1, 2, 3, 4):
+        some = writers.with_bucket(rows, ["id"], 8).filter(f"bucket = {k % 2}").withColumn("v", F.lit(k))
+        writers.write_buckets(some, str(base), CTX)
+    before = sorted(map(tuple, writers.read_buckets(spark, str(base)).collect()))
+    assert writers.expire_snapshots(spark, str(base), keep=1) == 4
+    assert sorted(map(tuple, writers.read_buckets(spark, str(base)).collect())) == before and len(before) == 100
+    # Two folders of the first write were replaced, and the second and third write wholly.
+    assert len(list(base.glob("v=*/bucket=*"))) == 8 and len(list(base.glob("v=*"))) == 3
+    assert writers.expire_snapshots(spark, str(base), keep=1) == 0
+
+
+def test_one_of_two_writers_fails(spark, tmp_path):
+    base = str(tmp_path / "table")
+    writers.overwrite_snapshot(spark.range(3), base, CTX)
+    since, _ = manifest.live_parts(spark, base)
+    writers.overwrite_snapshot(spark.range(4), base, CTX, since)
+    with pytest.raises(manifest.ConcurrentWrite):
+        writers.overwrite_snapshot(spark.range(5), base, CTX, since)
+    assert writers.read_snapshot(spark, base).count() == 4
+    with pytest.raises(manifest.ConcurrentWrite):
+        writers.write_buckets(writers.with_bucket(spark.range(5), ["id"], 2), base, CTX, since)
+    assert not [p for p in (tmp_path / "table" / "_manifest").iterdir() if not p.name.strip(".").startswith("0")]
+
+
+def test_writers_in_threads_lose_no_row(spark, tmp_path):
+    """Writers that start from the same version: those that succeed are all there, the others know."""
+    base = str(tmp_path / "table")
+    writers.write_buckets(writers.with_bucket(spark.range(8), ["id"], 4).withColumn("who", F.lit(-1)), base, CTX)
+
+    def write(who):
+        version, _ = manifest.live_parts(spark, base)
+        rows = writers.with_bucket(spark.range(8), ["id"], 4).filter(f"bucket = {who % 4}").withColumn("who", F.lit(who))
+        try:
+            writers.write_buckets(rows, base, CTX, version)
+            return who
+        except manifest.ConcurrentWrite:
+            return None
+
+    with ThreadPoolExecutor(4) as pool:
+        done = {who for who in pool.map(write, range(4)) if who is not None}
+    assert done
+    assert {r["who"] for r in writers.read_buckets(spark, base).select("who").distinct().collect()} - {-1} <= done
+    assert writers.read_buckets(spark, base).count() == 8
+    assert len(manifest.versions(spark, base)) == 1 + len(done)
+
+
+def test_folders_of_failed_writes_go_when_they_are_old(spark, tmp_path):
+    base = tmp_path / "table"
+    writers.overwrite_snapshot(spark.range(3), str(base), CTX)
+    spark.range(9).write.parquet(str(base / "v=failed"))
+    assert manifest.expire(spark, str(base), keep=1) == 0 and (base / "v=failed").exists()
+    os.utime(base / "v=failed", (0, 0))
+    manifest.expire(spark, str(base), keep=1)
+    assert not (base / "v=failed").exists() and writers.read_snapshot(spark, str(base)).count() == 3
+
+
+def test_stream_leaves_no_replaced_buckets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(incremental, "KEPT_VERSIONS", 1)
+    drop, target, checkpoint = (str(tmp_path / n) for n in ("drop", "target", "checkpoint"))
+    schema = "k string, ts int"
+    for ts in range(4):
+        spark.createDataFrame([("a", ts), ("b", ts)], schema).coalesce(1).write.mode("append").parquet(drop)
+        stream = incremental.file_stream(spark, drop, spark.createDataFrame([], schema).schema)
+        incremental.stream_latest(stream, target, checkpoint, ["k"], ["ts"], CTX, buckets=2).awaitTermination()
+    assert rows(writers.read_buckets(spark, target), "k", "ts") == [("a", 3), ("b", 3)]
+    assert len(list(Path(target).glob("v=*/bucket=*"))) <= 2
+
+
+def test_work_tables_of_a_scope_are_removed(spark):
+    with storage.work_scope(spark, "run"):
+        inner = storage.new_path(spark, "t")
+        spark.range(3).write.parquet(inner)
+    assert not Path(inner).exists()
+    outer, _ = storage.materialize(spark.range(3), "t")
+    assert outer.count() == 3
