@@ -4,14 +4,21 @@ from __future__ import annotations
 
 import re
 
+from datetime import datetime
+
 import pytest
 
 from supplyprep.catalog import queries
+from supplyprep.catalog.supply import StandIn
+from supplyprep.catalog.tables import Tables
+from supplyprep.context import RunContext
+from supplyprep.plans import supply
 
 # Queries that write tables or walk graphs while their plan is built are covered by their results.
 SLOW = {
     "q_bom",
     "q_bom_init",
+    "q_run_supply",
     "q_cycle_edges",
     "q_cycle_removed",
     "q_flagged_ancestor",
@@ -41,3 +48,37 @@ def test_filter_and_columns_reach_the_scan(spark, data):
     receipts = [l for l in plan.splitlines() if "FileScan" in l and "l_returnflag" in l]
     assert any("EqualTo(l_returnflag,R)" in l for l in receipts)
     assert all("l_extendedprice" not in l for l in plan.splitlines() if "ReadSchema" in l)
+
+
+def way_up(plan: str, leaf: str) -> list[str]:
+    """The operators above the leaf that holds ``leaf``, nearest first, by the plan's indentation."""
+    lines = plan.splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    at = next(i for i, line in enumerate(lines) if leaf in line)
+    out, now = [], depth(lines[at])
+    for line in reversed(lines[:at]):
+        if depth(line) < now:
+            now = depth(line)
+            out.append(re.sub(r"^[ :+-]*(\*\(\d+\) )?", "", line).split(" ")[0].split("(")[0])
+    return out
+
+
+@pytest.mark.parametrize("bu", ["NB", "DT"])
+@pytest.mark.parametrize("kind", ["inventory", "fg", "wip"])
+def test_snapshots_are_summed_before_lookups(spark, data, tmp_path, bu, kind):
+    """A snapshot is shuffled once, as partial sums, and meets no join before that."""
+    inputs = StandIn(Tables(spark, data)).inputs
+    name = f"{kind}_{bu.lower()}"
+    getattr(inputs, name).write.parquet(str(tmp_path / "snapshot"))
+    setattr(inputs, name, spark.read.parquet(str(tmp_path / "snapshot")))
+    ctx = RunContext(run_ts=datetime(2024, 5, 16, 8))
+    built = {
+        "inventory": lambda: supply.inventory_supply(inputs, bu),
+        "fg": lambda: supply.finished_goods_supply(inputs, bu, ctx),
+        "wip": lambda: supply.wip_supply(inputs, bu, ctx),
+    }[kind]()
+    plan = plan_of(built)
+    assert plan.count(str(tmp_path)) == 1
+    above = way_up(plan, str(tmp_path))
+    first = [step for step in above if step in ("HashAggregate", "Exchange") or "Join" in step]
+    assert first[:3] == ["HashAggregate", "Exchange", "HashAggregate"]
