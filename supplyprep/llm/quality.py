@@ -191,16 +191,16 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     return model
 
 
-def score(docs: DataFrame, model: Ranking, text: str = "text", key: str = "doc_id", scored: str = "score", predicted: str = "predicted") -> DataFrame:
-    """All columns of ``docs`` plus held_out, ``scored`` and ``predicted``.
+def score(docs: DataFrame, model: Ranking, text: str = "text", key: str = "doc_id", scored: str = "score", predicted: str = "predicted", held: str = "held_out") -> DataFrame:
+    """All columns of ``docs`` plus ``held``, ``scored`` and ``predicted``.
 
     Null texts are empty ones and have a score as well; every row stays. A null key is not held
     out. Columns of ``docs`` with the names of new ones are replaced.
     """
-    added = ["held_out", scored, predicted]
+    added = [held, scored, predicted]
     source = docs.drop(*added)
     work = source.withColumn("__held", held_out(source[key])).withColumn("__bytes", text_bytes(source[text]))
-    schema = StructType(source.schema.fields[:]).add("held_out", BooleanType(), False).add(scored, DoubleType(), False).add(predicted, IntegerType(), False)
+    schema = StructType(source.schema.fields[:]).add(held, BooleanType(), False).add(scored, DoubleType(), False).add(predicted, IntegerType(), False)
     names = [f.name for f in schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

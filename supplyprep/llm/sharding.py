@@ -1,7 +1,9 @@
 """Training shards by a two-pass external shuffle.
 
 Pass one scatters the rows into buckets of about ``bucket_bytes`` by a seeded hash of the key and
-the text, so neither a hot key nor a hot source fills a bucket. Pass two takes each bucket, puts
+the text, so neither a hot key nor a hot source fills a bucket. Rows that are equal in both would:
+where the counts show a bucket far above the mean, the rows are written with a number of their own
+and those of such buckets are scattered again by key, text and number. Pass two takes each bucket, puts
 its rows in a fixed order, applies a Fisher-Yates shuffle seeded by the bucket, and writes them.
 Buckets one after the other are one random order of all rows; shard s holds the places from
 s * n / shards to (s + 1) * n / shards of it. So the counts of two shards differ by one at most
@@ -21,20 +23,42 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType
 
-from supplyprep.llm.common import map_arrow, new_path, text_bytes, text_or_empty
+from supplyprep.llm.common import map_arrow, new_path, staged, text_bytes, text_or_empty
 
 LAW = "rows"
+#: A bucket with more rows than so many times the mean, and so many more, is scattered again.
+FULL, SLACK = 1.5, 50
 
 
 def _scatter_key(key: str, text: str, seed: int) -> Column:
     return F.xxhash64(F.lit(seed), F.col(key), F.col(text))
 
 
+def scattered(source: DataFrame, n_buckets: int, seed: int, key: str, text: str) -> tuple[DataFrame, dict[int, int]]:
+    """``source`` with its scatter hash ``__h`` and ``__bucket``, and the rows of each bucket.
+
+    One number per bucket goes to the driver: 100 TB in buckets of 256 MB make 3 MB of counts.
+    """
+    bucket = F.pmod("__h", F.lit(n_buckets)).cast("int")
+    scatter = source.withColumn("__h", _scatter_key(key, text, seed)).withColumn("__bucket", bucket)
+    counts = dict(scatter.groupBy("__bucket").count().collect())
+    mean = sum(counts.values()) / n_buckets
+    full = [b for b, n in counts.items() if n > FULL * mean + SLACK]
+    if not full:
+        return scatter, counts
+    # The number must be the same whenever it is read, so it is written.
+    numbered = staged(scatter.withColumn("__copy", F.monotonically_increasing_id()), "numbered")
+    again = F.xxhash64(F.lit(seed), "__h", "__copy")
+    scatter = numbered.withColumn("__h", F.when(F.col("__bucket").isin(full), again).otherwise(F.col("__h")))
+    scatter = scatter.drop("__copy").withColumn("__bucket", bucket)
+    return scatter, dict(scatter.groupBy("__bucket").count().collect())
+
+
 def write_shards(docs: DataFrame, n_shards: int = 16, seed: int = 17, key: str = "doc_id", text: str = "text", bucket_bytes: int = 16 << 20, path: str | None = None) -> str:
     """Write all rows of ``docs`` with ``shard`` and ``slot``; returns the table's path.
 
-    Null keys and texts are rows like others. Fully equal rows follow each other before the
-    shuffle, so which of them comes first does not matter. No rows: an empty table. Columns of
+    Null keys and texts are rows like others. Rows equal in key and text may hold any share of the
+    table; which of them comes first does not matter. No rows: an empty table. Columns of
     ``docs`` named shard or slot are replaced.
     """
     spark = docs.sparkSession
@@ -42,10 +66,7 @@ def write_shards(docs: DataFrame, n_shards: int = 16, seed: int = 17, key: str =
     source = docs.drop("shard", "slot")
     total = source.agg(F.sum(F.octet_length(text_bytes(source[text])) + 64).alias("n")).first()["n"] or 0
     n_buckets = max(1, -(-total // bucket_bytes))
-    scatter = source.withColumn("__h", _scatter_key(key, text, seed))
-    scatter = scatter.withColumn("__bucket", F.pmod("__h", F.lit(n_buckets)).cast("int"))
-    # One number per bucket of bucket_bytes: 100 TB in buckets of 256 MB make 3 MB of counts.
-    counts = dict(scatter.groupBy("__bucket").count().collect())
+    scatter, counts = scattered(source, n_buckets, seed, key, text)
     firsts = np.concatenate([[0], np.cumsum([counts.get(b, 0) for b in range(n_buckets)])])
     bounds = np.array([s * int(firsts[-1]) // n_shards for s in range(n_shards + 1)])
     shared = spark.sparkContext.broadcast((firsts, bounds))

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from supplyprep.llm import decontaminate, pii, quality, secret_scan, sharding
 
@@ -211,3 +212,24 @@ def test_shard_order_depends_on_the_seed_alone(spark, llm_docs, none):
     texts = {r["doc_id"]: r["text"].encode() for r in llm_docs.collect()}
     assert all(r["size"] == len(texts[r["doc_id"]]) + 1 and r["text_crc32"] == zlib.crc32(texts[r["doc_id"]]) and r["law"] == "rows" and r["grown_shard"] is None for r in digest.collect())
     assert sharding.read_shards(spark, sharding.write_shards(none)).count() == 0
+
+
+def test_a_third_of_equal_rows_is_spread(spark, llm_docs):
+    plain = llm_docs.select("doc_id", "text")
+    n = plain.count()
+    equal = spark.range(n // 2).selectExpr("cast(null AS long) AS doc_id", "'' AS text")
+    table = plain.unionByName(equal).repartition(4)
+    _, counts = sharding.scattered(table, 8, 17, "doc_id", "text")
+    sizes = sorted(counts.values())
+    assert sum(sizes) == n + n // 2 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    rows = sharding.read_shards(spark, sharding.write_shards(table, 4, bucket_bytes=100_000)).collect()
+    assert len(rows) == n + n // 2
+    by_shard = [sorted(r["slot"] for r in rows if r["shard"] == s) for s in range(4)]
+    assert all(slots == list(range(len(slots))) for slots in by_shard)
+
+
+def test_quality_stage_keeps_columns_of_any_name(spark, llm_docs, data):
+    labels = spark.read.parquet(f"{data}/labels.parquet")
+    docs = llm_docs.select("doc_id", "text", F.lit("own").alias("held_out"))
+    found = quality.score(docs, quality.train(docs, labels), scored="__s", predicted="__p", held="__h")
+    assert {r["held_out"] for r in found.select("held_out").distinct().collect()} == {"own"}
