@@ -21,7 +21,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches the cut; the ranking is learned from the labels of these documents."""
     model = quality.train(docs, read_table(spark, sf_dir, "labels"))
-    scored = quality.score(docs, model, scored="__score", predicted="__good")
+    scored = quality.score(docs, model, scored="__score", predicted="__good", held="__held")
     return scored.where(F.col("__good") == 1).select(*docs.columns)
 
 
