@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from supplyprep.catalog.registry import query
 from supplyprep.catalog.tables import RUN, Tables, qty
+from supplyprep.context import RunContext
 from supplyprep.plans import netting
 from supplyprep.plans.open_po import open_po
 from supplyprep.plans.runs import run_receipts
@@ -285,6 +288,15 @@ bal AS (
     SELECT item, site, bu, q, NULL AS r FROM gi UNION ALL SELECT item, site, bu, 0, r FROM gr) GROUP BY ALL)"""
 
 
+SUPPLIER_SQL = """coalesce(
+  (SELECT max(code) FROM sh WHERE sh.item = b.item AND upper(sh.bu) = b.bu AND siteid = b.site),
+  (SELECT max(code) FROM sh WHERE sh.item = b.item AND sh.bu IN ('ThinkNB', 'ThinkDT') AND b.bu = 'THINK' AND siteid = b.site),
+  (SELECT max(code) FROM sh WHERE sh.item = b.item AND sh.bu = 'ALL' AND siteid = b.site),
+  (SELECT max(code) FROM sh WHERE sh.item = b.item AND upper(sh.bu) = b.bu AND siteid = 'ODM'),
+  (SELECT max(code) FROM sh WHERE sh.item = b.item AND sh.bu IN ('ThinkNB', 'ThinkDT') AND b.bu = 'THINK' AND siteid = 'ODM'),
+  (SELECT max(code) FROM sh WHERE sh.item = b.item AND sh.bu = 'ALL' AND siteid = 'ODM'))"""
+
+
 def share_list(t: Tables) -> DataFrame:
     return t.lineitem.filter("l_returnflag = 'A'").select(
         F.col("l_partkey").cast("string").alias("item"),
@@ -299,7 +311,8 @@ def share_list(t: Tables) -> DataFrame:
     )
 
 
-def balance(t: Tables) -> DataFrame:
+def ledger_feeds(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Issues and receipts of the ledger, made from order lines."""
     notices = t.lineitem.filter("l_returnflag = 'N'").select(
         F.col("l_orderkey").cast("string").alias("verur"),
         F.col("l_partkey").cast("string").alias("matnr"),
@@ -317,8 +330,12 @@ def balance(t: Tables) -> DataFrame:
         receipt_date.alias("receipt_date"),
         F.when(F.col("l_linenumber") == 5, "ERROR").otherwise("OK").alias("status"),
     )
+    return notices, received
+
+
+def balance(t: Tables) -> DataFrame:
     # The run day is a Thursday, so the cut-off is that day of the week before the next one.
-    rows = netting.ledger(notices, received, share_list(t), F.to_date(F.lit("2001-08-02")))
+    rows = netting.ledger(*ledger_feeds(t), share_list(t), F.to_date(F.lit("2001-08-02")))
     return netting.ledger_balance(rows)
 
 
@@ -336,13 +353,7 @@ def q_gi_gr(t: Tables) -> DataFrame:
 @query(
     "q_attribute_supplier",
     f"""WITH {LEDGER_SQL}
-SELECT item, site, bu, coalesce(
-  (SELECT max(code) FROM sh WHERE sh.item = b.item AND upper(sh.bu) = b.bu AND siteid = b.site),
-  (SELECT max(code) FROM sh WHERE sh.item = b.item AND sh.bu IN ('ThinkNB', 'ThinkDT') AND b.bu = 'THINK' AND siteid = b.site),
-  (SELECT max(code) FROM sh WHERE sh.item = b.item AND sh.bu = 'ALL' AND siteid = b.site),
-  (SELECT max(code) FROM sh WHERE sh.item = b.item AND upper(sh.bu) = b.bu AND siteid = 'ODM'),
-  (SELECT max(code) FROM sh WHERE sh.item = b.item AND sh.bu IN ('ThinkNB', 'ThinkDT') AND b.bu = 'THINK' AND siteid = 'ODM'),
-  (SELECT max(code) FROM sh WHERE sh.item = b.item AND sh.bu = 'ALL' AND siteid = 'ODM')) AS supplierid
+SELECT item, site, bu, {SUPPLIER_SQL} AS supplierid
 FROM bal b""",
 )
 def q_attribute_supplier(t: Tables) -> DataFrame:
@@ -434,6 +445,42 @@ def q_run_receipts(t: Tables) -> DataFrame:
     return facts.select(*columns, F.col("shipqty").cast("double").alias("shipqty"))
 
 
+#: A run on a Tuesday counts movements before the Thursday that follows the same day of last week.
+LEDGER_RUN = RunContext(run_ts=datetime(2000, 5, 16, 6, 0))
+CUT_SQL = "(DATE '2000-05-09' + CAST((4 - isodow(DATE '2000-05-09') + 6) % 7 + 1 AS INTEGER))"
+RUN_LEDGER_SQL = LEDGER_SQL.replace("DATE '2001-08-02'", CUT_SQL)
+
+
+@query(
+    "q_run_ledger",
+    f"""WITH {RUN_LEDGER_SQL}
+SELECT item, site, bu, CAST(qty AS DOUBLE) AS qty, CAST(qty_gi AS DOUBLE) AS qty_gi, CAST(qty_gr AS DOUBLE) AS qty_gr,
+  {SUPPLIER_SQL} AS supplierid
+FROM bal b""",
+)
+def q_run_ledger(t: Tables) -> DataFrame:
+    """The ledger part of a run over named sources, up to the cut-off that the run's clock gives."""
+    out, feed = new_path(t.spark, "run"), new_path(t.spark, "feed")
+    sales, deliveries, component = ship_inputs(t)
+    notices, received = ledger_feeds(t)
+    tables = {
+        "so": sales.limit(0),
+        "delivery": deliveries.limit(0),
+        "component": component.limit(0),
+        "share": share_list(t),
+        "ledger_asn": notices,
+        "ledger_gr": received,
+    }
+    sources = {}
+    for name, table in tables.items():
+        table.write.parquet(f"{feed}/{name}")
+        sources[name] = Source(table.schema, f"{feed}/{name}")
+    run_receipts(t.spark, sources, out, LEDGER_RUN)
+    found = writers.read_snapshot(t.spark, f"{out}/ledger_balance")
+    sums = [F.col(c).cast("double").alias(c) for c in ("qty", "qty_gi", "qty_gr")]
+    return found.select("item", "site", "bu", *sums, "supplierid")
+
+
 LATEST_SQL = """SELECT user_id, event_id, event_type FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
 

@@ -239,6 +239,30 @@ def q_delimited(t: Tables) -> DataFrame:
     return readers.read_delimited(t.spark, {"drop": readers.Source(schema, path)}, "drop")
 
 
+@query(
+    "q_quarantine",
+    """SELECT CASE WHEN p_size IN (7, 9) THEN 'rejected' ELSE 'kept' END AS state, count(*) AS n,
+  CAST(sum(p_partkey) AS BIGINT) AS keys, CAST(sum(CASE WHEN p_size NOT IN (7, 9) THEN p_retailprice END) AS DOUBLE) AS price
+FROM part GROUP BY 1
+UNION ALL SELECT 'counted', count(*), count(*) FILTER (p_size IN (7, 9)), NULL FROM part""",
+)
+def q_quarantine(t: Tables) -> DataFrame:
+    """A drop with values that are no numbers and lines that end early: what is kept, set aside and counted."""
+    drop, landing = new_path(t.spark, "drop"), new_path(t.spark, "landing")
+    price = F.when(F.col("p_size") == 7, F.lit("n/a")).otherwise(F.col("p_retailprice").cast("string"))
+    line = F.concat_ws("|", F.col("p_partkey").cast("string"), "p_brand", price)
+    short = F.concat_ws("|", F.col("p_partkey").cast("string"), "p_brand")
+    t.part.select(F.when(F.col("p_size") == 9, short).otherwise(line).alias("value")).write.text(drop)
+    schema = T.StructType().add("code", T.LongType()).add("brand", T.StringType()).add("price", T.DoubleType())
+    load = readers.load_delimited(t.spark, {"drop": readers.Source(schema, drop)}, "drop", landing, most_rejected=0.5)
+    kept = load.rows.select(F.lit("kept").alias("state"), "code", "price")
+    code = F.split("line", "[|]").getItem(0).cast("long")
+    aside = load.rejected.select(F.lit("rejected").alias("state"), code.alias("code"), F.lit(None).cast("double").alias("price"))
+    sums = kept.unionByName(aside).groupBy("state").agg(F.count(F.lit(1)).alias("n"), F.sum("code").alias("keys"), F.sum("price").alias("price"))
+    counted = t.spark.range(1).select(F.lit("counted"), F.lit(load.lines).cast("long"), F.lit(load.n_rejected).cast("long"), F.lit(None).cast("double"))
+    return sums.union(counted)
+
+
 @query(
     "q_project",
     """SELECT CAST(n_nationkey AS INTEGER) AS nation, n_name AS site, 'SCC' AS source,

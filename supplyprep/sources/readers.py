@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,10 +86,47 @@ def read_delimited(
     typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields]
     if not keep_corrupt:
         return texts.filter(~bad).select(*typed)
-    line = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*[f.name for f in fields])))
+    sep = {"sep": source.options.get("sep", "|")}
+    line = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*[f.name for f in fields]), sep))
     return texts.select(*typed, F.when(bad, line).alias(CORRUPT))
 
 
+class TooManyRejected(RuntimeError):
+    """More lines of a drop do not fit than the load allows; they lie in its quarantine."""
+
+
+@dataclass(frozen=True)
+class Load:
+    """What one pass over a text drop gave: the rows that fit, the lines that do not, and their numbers."""
+
+    rows: DataFrame
+    rejected: DataFrame
+    lines: int
+    n_rejected: int
+
+
+def load_delimited(
+    spark: SparkSession, sources: Mapping[str, Source], name: str, landing: str, most_rejected: float = 0.0
+) -> Load:
+    """Read a site text drop once: rows that fit and lines that do not are written apart and counted.
+
+    ``landing`` is a folder that outlives the run: rejected lines stay there (put together again from
+    their fields where just a value does not fit) until somebody has looked at them. If their share is above ``most_rejected`` the load fails, after
+    both were written. An empty drop has no rows and no rejected lines.
+    """
+    typed = read_delimited(spark, sources, name, keep_corrupt=True)
+    marked = typed.withColumn("rejected", F.col(CORRUPT).isNotNull())
+    path, seen = f"{landing}/{name}-{uuid.uuid4().hex}", Observation()
+    counted = marked.observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if(F.col("rejected")).alias("rejected"))
+    counted.write.partitionBy("rejected").parquet(path)
+    lines, rejected = seen.get["lines"], seen.get["rejected"]
+    if rejected > most_rejected * lines:
+        raise TooManyRejected(f"{rejected} of {lines} lines of {name} do not fit, see {path}/rejected=true")
+    written = spark.read.schema(marked.schema).parquet(path)
+    rows = written.filter(~F.col("rejected")).drop(CORRUPT, "rejected")
+    return Load(rows, written.filter("rejected").select(F.col(CORRUPT).alias("line")), lines, rejected)
+
+
 def configured_sites(
     conf: DataFrame,
     kind: str,

@@ -221,3 +221,19 @@ def test_work_tables_of_a_scope_are_removed(spark):
     assert not Path(inner).exists()
     outer, _ = storage.materialize(spark.range(3), "t")
     assert outer.count() == 3
+
+
+def test_drop_with_too_many_bad_lines_fails_but_keeps_them(spark, tmp_path):
+    (tmp_path / "drop.txt").write_text("a|1.5|2024-01-02\nb|oops|2024-01-04\nc|3\n\nd|4|2024-01-05\n")
+    source = {"feed": readers.Source(table("code qty:q day:d"), str(tmp_path / "drop.txt"))}
+    landing = str(tmp_path / "landing")
+    with pytest.raises(readers.TooManyRejected, match="2 of 4 lines of feed"):
+        readers.load_delimited(spark, source, "feed", landing, most_rejected=0.3)
+    assert len(list((tmp_path / "landing").glob("*/rejected=true/*.parquet"))) == 1
+    load = readers.load_delimited(spark, source, "feed", landing, most_rejected=0.5)
+    assert (load.lines, load.n_rejected) == (4, 2)
+    assert rows(load.rows, "code") == [("a",), ("d",)]
+    assert rows(load.rejected) == [("b|oops|2024-01-04",), ("c|3",)]
+    (tmp_path / "drop.txt").write_text("")
+    empty = readers.load_delimited(spark, source, "feed", landing)
+    assert (empty.lines, empty.n_rejected, empty.rows.count()) == (0, 0, 0)
