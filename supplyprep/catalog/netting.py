@@ -524,3 +524,49 @@ def q_stream_upsert(t: Tables) -> DataFrame:
             RUN,
         ).awaitTermination()
     return writers.read_buckets(t.spark, target).drop("ts")
+
+
+@query(
+    "q_stream_match",
+    """SELECT l_orderkey AS deliveryno, l_linenumber AS deliveryline, l_partkey AS item, l_suppkey AS supplier,
+  CAST(l_shipdate AS DATE) AS shipdate, o_custkey AS soldto, CAST(o_orderdate AS DATE) AS ordered
+FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey AND o_orderstatus IN ('F', 'O')
+  AND o_orderdate BETWEEN l_shipdate - INTERVAL 900 DAY AND l_shipdate + INTERVAL 30 DAY
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) = 1""",
+)
+def q_stream_match(t: Tables) -> DataFrame:
+    """Delivery lines that arrive before their orders, both as streams, merged into one table.
+
+    The last drop moves both clocks on, so that lines without an order are given out as well.
+    """
+    lines, heads, target, checkpoint = (new_path(t.spark, n) for n in ("lines", "heads", "fact", "checkpoint"))
+    deliveries = t.lineitem.select(
+        F.col("l_orderkey").alias("deliveryno"), F.col("l_linenumber").alias("deliveryline"),
+        F.col("l_partkey").alias("item"), F.col("l_suppkey").alias("supplier"), F.col("l_shipdate").cast("timestamp").alias("shipped"),
+    )
+    orders = t.orders.filter("o_orderstatus IN ('F', 'O')").select(
+        F.col("o_orderkey").alias("orderno"), F.col("o_custkey").alias("soldto"), F.col("o_orderdate").cast("timestamp").alias("ordered")
+    )
+    later = F.to_timestamp(F.lit("2031-01-01")).alias("at")
+    one = t.spark.range(1)
+    last_line = one.select(*[F.lit(-1).cast(deliveries.schema[c].dataType).alias(c) for c in deliveries.columns[:4]], later.alias("shipped"))
+    last_head = one.select(*[F.lit(-2).cast(orders.schema[c].dataType).alias(c) for c in orders.columns[:2]], later.alias("ordered"))
+    drops = [(deliveries, orders.limit(0)), (deliveries.limit(0), orders), (last_line, last_head)]
+    for arrived, ordered in drops:
+        arrived.write.mode("append").parquet(lines)
+        ordered.write.mode("append").parquet(heads)
+        matched = incremental.stream_matched(
+            incremental.file_stream(t.spark, lines, deliveries.schema),
+            incremental.file_stream(t.spark, heads, orders.schema),
+            [("deliveryno", "orderno")],
+            "shipped",
+            "ordered",
+            before="900 DAYS",
+            after="30 DAYS",
+        )
+        incremental.stream_upsert(
+            matched, target, checkpoint, ["deliveryno", "deliveryline"], ["shipped", "item", "supplier"],
+            ["item", "supplier", "shipped", "soldto", "ordered"], RUN,
+        ).awaitTermination()
+    facts = writers.read_buckets(t.spark, target).filter("deliveryno >= 0")
+    return facts.select("deliveryno", "deliveryline", "item", "supplier", F.to_date("shipped").alias("shipdate"), "soldto", F.to_date("ordered").alias("ordered"))

@@ -1,6 +1,7 @@
 """Structured Streaming forms of the two incremental steps.
 
-Both take files as they arrive, process what is there (``availableNow``) and keep the result in a
+Rows whose partners come by another stream are matched first (``stream_matched``), in either order of
+arrival. All take files as they arrive, process what is there (``availableNow``) and keep the result in a
 table that is cut into buckets by key: a batch reads and rewrites only the buckets of the keys it
 brings. The stream checkpoint takes the place of a stored last run time. A batch that is repeated
 after a failure gives the same table, since a newer row of a key always wins, also over a row that
@@ -65,6 +66,37 @@ def _merge(
         expire(spark, target, KEPT_VERSIONS)
 
 
+def stream_matched(
+    rows: DataFrame,
+    partners: DataFrame,
+    on: Sequence[tuple[str, str]],
+    time: str,
+    partner_time: str,
+    before: str,
+    after: str = "0 seconds",
+    delay: str = "1 day",
+) -> DataFrame:
+    """A stream of ``rows`` with the columns of their partner from another stream, whichever arrives first.
+
+    Partners have equal keys (``on``: pairs of columns, none null) and a time from ``before`` before the row's own to
+    ``after`` after it. A row waits for its partners in the state of the stream. It is given out once
+    for each partner, or without one as soon as both streams are ``delay`` past the last moment at
+    which a partner might still come; what is later than that is late and dropped. So the state
+    is bounded by the rows of that span, whatever the length of the streams. A row or partner
+    without a time never matches: give it one, or leave it out, before.
+    """
+    left = rows.withWatermark(time, delay)
+    names = {c: f"__p_{c}" for c in partners.columns}
+    right = partners.withWatermark(partner_time, delay).withColumnsRenamed(names)
+    at, other = F.col(time), F.col(names[partner_time])
+    met = (other >= at - F.expr(f"INTERVAL {before}")) & (other <= at + F.expr(f"INTERVAL {after}"))
+    for own, theirs in on:
+        met = met & (F.col(own) == F.col(names[theirs]))
+    joined = left.join(right, met, "leftOuter")
+    added = [c for c in partners.columns if c not in rows.columns]
+    return joined.select(*rows.columns, *[F.col(names[c]).alias(c) for c in added])
+
+
 def stream_upsert(
     stream: DataFrame,
     target: str,

@@ -24,6 +24,7 @@ SLOW = {
     "q_flagged_ancestor",
     "q_source_map",
     "q_stream_latest",
+    "q_stream_match",
     "q_stream_upsert",
     "q_supply_all",
     "q_weekly_history",
