@@ -1,10 +1,12 @@
 """Format-preserving pseudonyms for personal data.
 
 Validated numbers and dates are permuted within their format by a keyed Feistel network: card
-numbers that pass the Luhn check become card numbers that pass it, telephone numbers keep their
-country code and punctuation, addresses of four octets stay such addresses, a calendar date
-becomes another one written alike, and the name of a mail address keeps its pattern of letters and
-digits. Equal values become equal pseudonyms in every document, whatever their punctuation, and
+numbers that pass the Luhn check become card numbers that pass it, bank account numbers (IBAN) keep
+their country and get check digits that fit, telephone numbers keep their country code, trunk digit
+and punctuation, addresses of four octets stay such addresses, a calendar date becomes another one
+written alike, and the name of a mail address keeps its pattern of letters and digits. A date with
+slashes is month/day/year where that is a date, else day/month/year; days up to 12 stay so, so
+that a pseudonym is read as its value was. Equal values become equal pseudonyms in every document, whatever their punctuation, and
 the key turns them back. Numbers that fail their check are left alone.
 
 One pass over the texts, no shuffle; the key travels with the task.
@@ -24,16 +26,24 @@ from pyspark.sql.types import LongType, StructType
 
 from supplyprep.llm.common import bounded_slices, map_arrow
 
-KINDS = ("mail", "card", "phone", "address", "social", "date")
+KINDS = ("mail", "card", "phone", "address", "social", "date", "iban")
+
+# The country calling codes of one and two digits; all others have three.
+COUNTRY_CODES = (
+    "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+    "81 82 84 86 90 91 92 93 94 95 98"
+).split()
 ROUNDS = 8
 _FIRST_DAY, _LAST_DAY = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
 
 _MAIL = r"(?P<mail>[^\W_][\w.+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})"
 _NUMBERS = (
-    r"(?P<address>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d))"
+    r"(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w))"
+    r"|(?P<address>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d))"
     r"|(?P<date>(?<![\w/.-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w/-]|\.\d))"
     r"|(?P<social>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
-    r"|(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\w)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\w))"
+    r"|(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\w)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\w)"
+    r"|(?<![\w+.-])[2-9]\d{2}(?P<gap>[-. ])\d{3}(?P=gap)\d{4}(?![\w-]|\.\d)|(?<![\w+.-])0\d{1,4}[ /-]\d{5,8}(?![\w-]|\.\d))"
     r"|(?P<card>(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d))"
 )
 _BOTH, _NUMBER = re.compile(f"{_MAIL}|{_NUMBERS}", re.ASCII), re.compile(_NUMBERS, re.ASCII)
@@ -77,6 +87,14 @@ class Feistel:
         return value
 
 
+def _day(year: int, month: int, day: int) -> date | None:
+    try:
+        found = date(year, month, day)
+    except ValueError:
+        return None
+    return found if _FIRST_DAY <= found.toordinal() <= _LAST_DAY else None
+
+
 # --- formats -------------------------------------------------------------------------------
 
 
@@ -86,6 +104,11 @@ def luhn_digit(digits: str) -> str:
     return str(-total % 10)
 
 
+def _iban_rest(plain: str) -> int:
+    """What an account number leaves modulo 97; 1 if its check digits fit."""
+    return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97
+
+
 def _refill(shape: str, digits: str) -> str:
     """``shape`` with its digits replaced in order."""
     new = iter(digits)
@@ -112,12 +135,46 @@ class Pseudonyms:
         return _refill(found, body + luhn_digit(body))
 
     def phone(self, found: str) -> str | None:
-        code = re.match(r"\+\d{1,3}(?=\D)", found)
-        head = code[0] if code else ""
-        digits = re.sub(r"\D", "", found[len(head) :])
+        head = ""
+        if found[0] == "+":
+            digits = re.sub(r"\D", "", found)
+            size = next((n for n in (1, 2) if digits[:n] in COUNTRY_CODES), 3)
+            end = [m.end() for m in _DIGITS.finditer(found)][size - 1]
+            head = found[:end]
+        rest = found[len(head) :]
+        digits = re.sub(r"\D", "", rest)
         if not 6 <= len(digits) <= 14:
             return None
-        return head + _refill(found[len(head) :], self._digits("phone", digits))
+        return head + _refill(rest, self._subscriber(digits))
+
+    def _subscriber(self, digits: str) -> str:
+        """Another number of as many digits; a first digit 0 or 1 stays, any other becomes one of 2 to 9."""
+        if digits[0] in "01":
+            return digits[0] + self._digits("phone", digits[1:])
+        low = 2 * 10 ** (len(digits) - 1)
+        return str(low + self.feistel("phone", 4 * low).permute(int(digits) - low, self.back))
+
+    def iban(self, found: str) -> str | None:
+        plain = found.replace(" ", "")
+        if not 15 <= len(plain) <= 34 or _iban_rest(plain) != 1:
+            return None
+        country, account, new = plain[:2], plain[4:], ""
+        for at in range(0, len(account), 15):  # parts whose numbers a permutation takes
+            part = account[at : at + 15]
+            kinds = [(c, "A", 26) if c.isalpha() else (c, "0", 10) for c in part]
+            size, value = 1, 0
+            for c, zero, base in kinds:
+                size, value = size * base, value * base + ord(c) - ord(zero)
+            shape = "".join("A" if c.isalpha() else "9" for c in part)
+            value = self.feistel(f"iban|{country}|{at}|{shape}", size).permute(value, self.back)
+            chosen = []
+            for _, zero, base in reversed(kinds):
+                value, digit = divmod(value, base)
+                chosen.append(chr(ord(zero) + digit))
+            new += "".join(reversed(chosen))
+        new = f"{country}{98 - _iban_rest(f'{country}00{new}'):02d}{new}"
+        letters = iter(new)
+        return "".join(c if c == " " else next(letters) for c in found)
 
     def address(self, found: str) -> str | None:
         parts = found.split(".")
@@ -138,15 +195,21 @@ class Pseudonyms:
         return f"{area + (area >= 666):03d}-{group + 1:02d}-{serial + 1:04d}"
 
     def date(self, found: str) -> str | None:
-        numbers = [int(n) for n in re.split(r"\D", found)]
-        try:
-            day = date(*numbers) if found[4] == "-" else date(numbers[2], numbers[1], numbers[0]) if found[2] == "." else date(numbers[2], numbers[0], numbers[1])
-        except ValueError:
-            return None
-        if not _FIRST_DAY <= day.toordinal() <= _LAST_DAY:
+        a, b, c = (int(n) for n in re.split(r"\D", found))
+        if found[4] == "-":
+            day, form = _day(a, b, c), "%Y-%m-%d"
+        elif found[2] == ".":
+            day, form = _day(c, b, a), "%d.%m.%Y"
+        else:
+            day, form = _day(c, a, b), "%m/%d/%Y"
+            if day is None:
+                day, form = _day(c, b, a), "%d/%m/%Y"
+        if day is None:
             return None
-        new = date.fromordinal(_FIRST_DAY + self.feistel("date", _LAST_DAY - _FIRST_DAY + 1).permute(day.toordinal() - _FIRST_DAY, self.back))
-        return new.strftime("%Y-%m-%d" if found[4] == "-" else "%d.%m.%Y" if found[2] == "." else "%m/%d/%Y")
+        network, new = self.feistel("date", _LAST_DAY - _FIRST_DAY + 1), day
+        while new is day or (new.day > 12) != (day.day > 12):
+            new = date.fromordinal(_FIRST_DAY + network.permute(new.toordinal() - _FIRST_DAY, self.back))
+        return new.strftime(form)
 
     def mail(self, found: str) -> str | None:
         name, host = found.split("@", 1)
@@ -171,7 +234,7 @@ class Pseudonyms:
         counts = dict.fromkeys(KINDS, 0)
 
         def one(match: re.Match) -> str:
-            kind = match.lastgroup
+            kind = next(k for k in KINDS if match.groupdict().get(k) is not None)
             new = getattr(self, kind)(match[0])
             if new is None:
                 return match[0]

@@ -171,7 +171,7 @@ def test_formats_and_links():
     text = "card 4111 1111 1111 1111 and 4111111111111111, tel +1 (017) 555-7713; ip 10.0.0.1. born 1987-02-28, 02/29/2020, 31.12.1999, ssn 123-45-6789 a.b-C9@x.org"
     new, counts = maker.replace(text)
     assert back.replace(new)[0] == text and new != text
-    assert counts == {"mail": 1, "card": 2, "phone": 1, "address": 1, "social": 1, "date": 3}
+    assert counts == {"mail": 1, "card": 2, "phone": 1, "address": 1, "social": 1, "date": 3, "iban": 0}
     cards = re.findall(r"\d(?: ?\d){15}", new)
     assert cards[0].replace(" ", "") == cards[1] != "4111111111111111" and pii.luhn_digit(cards[1][:-1]) == cards[1][-1]
     assert pii.Pseudonyms(b"other").replace(text)[0] != new
@@ -233,3 +233,33 @@ def test_quality_stage_keeps_columns_of_any_name(spark, llm_docs, data):
     docs = llm_docs.select("doc_id", "text", F.lit("own").alias("held_out"))
     found = quality.score(docs, quality.train(docs, labels), scored="__s", predicted="__p", held="__h")
     assert {r["held_out"] for r in found.select("held_out").distinct().collect()} == {"own"}
+
+
+def test_formats_of_several_countries():
+    maker, back = pii.Pseudonyms(b"k"), pii.Pseudonyms(b"k", back=True)
+    values = ["31/12/1999", "05/04/1990", "05.04.1990", "555-123-4567", "030 1234567", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "+49301234567", "+49 30 1234567", "(555) 123-4567", "+358 40 123 4567"]
+    for value in values:
+        new, counts = maker.replace(f"see {value}, please")
+        assert sum(counts.values()) == 1 and value not in new, value
+        assert back.replace(new)[0] == f"see {value}, please", value
+        assert re.sub(r"\d", "9", new)[: len("see ")] == "see " and len(new) == len(f"see {value}, please")
+    digits = lambda text: re.sub(r"\D", "", maker.replace(text)[0])
+    assert digits("+49301234567") == digits("+49 30 1234567") and digits("+49301234567").startswith("49")
+    assert digits("555-123-4567") == digits("(555) 123-4567") == digits("+1 555 123 4567")[1:]
+    iban = maker.replace("DE89 3704 0044 0532 0130 00")[0]
+    assert iban.replace(" ", "") == maker.replace("DE89370400440532013000")[0] and pii._iban_rest(iban.replace(" ", "")) == 1
+    year = lambda text: maker.replace(text)[0]
+    assert year("31/12/1999") == year("31.12.1999").replace(".", "/") and year("12/31/1999").split("/")[::2] == [year("31.12.1999").split(".")[1], year("31.12.1999").split(".")[2]]
+    for left in ("DE89 3704 0044 0532 0130 01", "45/13/1999", "1234-567", "version 2-3-4", "0 1 2 3"):
+        assert maker.replace(left)[0] == left, left
+
+
+def test_every_date_goes_and_comes_back():
+    maker, back = pii.Pseudonyms(b"k"), pii.Pseudonyms(b"k", back=True)
+    seen = set()
+    for day in range(pii._FIRST_DAY, pii._LAST_DAY, 97):
+        text = pii.date.fromordinal(day).strftime("%d/%m/%Y")
+        new = maker.replace(text)[0]
+        assert back.replace(new)[0] == text
+        seen.add(new)
+    assert len(seen) == len(range(pii._FIRST_DAY, pii._LAST_DAY, 97))
