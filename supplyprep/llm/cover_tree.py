@@ -12,13 +12,16 @@ linked as a whole, and its links are counted from the nodes' sizes; any other pa
 pairs of their children. What is left are single vectors, decided by their cosine in double
 precision.
 
-On Spark, equal vectors are first folded into one row. The upper levels of the tree are fitted to
-a bounded sample (``sample`` vectors); every vector goes to the cell of its nearest upper centre,
-and cells are cut into blocks of at most ``block`` vectors, each with a cover tree of its own. The
-covering radii of the cells are taken over all vectors, so pairs of cells can be pruned before any
-block moves. Each remaining pair of blocks is one traversal; a tight group of copies is cut into
-blocks like any cell, and its links are counted, not listed. Links that leave a block are a
-spanning forest, from which the components are found.
+On Spark, equal vectors are first folded into one row. The upper tree is grown over a bounded sample
+(``sample`` vectors): a node is cut by centres of half the radius, again and again, as long as its
+share of all vectors is above a sixteenth of ``block``. The nodes that are left are cells; every vector goes to the
+cell with the nearest centre, and the covering radii are taken over all vectors. Neighbouring cells
+share a block of at most ``block`` vectors; a cell that holds more, such as a tight group of copies,
+is cut into several, and its links are counted, not listed. A vector is sent to another block only
+if that holds a cell which it can reach: the centre is no further than the distance plus the cell's
+radius, and so is the border half-way between that centre and the vector's own. Two blocks meet in
+one traversal, with those vectors that reach each other's cells. Links that leave it are a spanning
+forest, from which the components are found.
 """
 
 from __future__ import annotations
@@ -39,6 +42,10 @@ from supplyprep.llm.components import connected_components
 SLACK = 1e-4
 TOP_RADIUS = 2.0
 LEVELS = 7
+#: Vectors that are compared with all centres at a time.
+STRIP = 512
+#: Cells that a block is made for: small cells have small radii and are pruned.
+CELLS = 16
 
 
 # --- trees -------------------------------------------------------------------------------
@@ -318,22 +325,27 @@ def unit_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     return map_arrow(source, run, f"`{key}` {key_type}, dim int, unit binary, mark binary")
 
 
-def _top(sample: np.ndarray, most: int) -> np.ndarray:
-    """Centres of the finest level of the sample's nested nets that has at most ``most`` of them."""
-    centres, radius = np.array([0]), TOP_RADIUS
+def leaf_centres(sample: np.ndarray, share: float, most: float) -> np.ndarray:
+    """Centres of the sample's nested nets, neighbours side by side: a node that stands for more than ``most`` vectors, ``share`` for each of its own, is cut further."""
+    groups, radius = [np.arange(len(sample))], TOP_RADIUS
+    points = sample.astype(np.float32)
     for _ in range(LEVELS):
         radius /= 2
-        found, _ = net(np.concatenate([sample[centres], np.delete(sample, centres, axis=0)]).astype(np.float32), radius)
-        place = np.concatenate([centres, np.delete(np.arange(len(sample)), centres)])
-        if len(found) > most:
-            break
-        centres = place[found]
-    return sample[centres]
+        following = []
+        for rows in groups:
+            if len(rows) == 1 or len(rows) * share <= most:
+                following.append(rows)
+                continue
+            centres, owner = net(points[rows], radius)
+            for k, centre in enumerate(centres):
+                part = np.flatnonzero(owner == k)
+                following.append(rows[np.concatenate([[centre], part[part != centre]])])
+        groups = following
+    return sample[[rows[0] for rows in groups]]
 
 
-def _cells(distinct: DataFrame, tops: dict[int, np.ndarray]) -> DataFrame:
-    """``distinct`` with the cell of the nearest upper centre and the distance to it; cells of other dimensions have other numbers."""
-    shift = {dim: sum(len(tops[d]) for d in sorted(tops) if d < dim) for dim in tops}
+def _cells(distinct: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
+    """``distinct`` with the cell of the nearest centre of its dimension and the distance to it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -342,77 +354,145 @@ def _cells(distinct: DataFrame, tops: dict[int, np.ndarray]) -> DataFrame:
             cell, far = np.zeros(len(dims), dtype=np.int32), np.zeros(len(dims))
             for dim in np.unique(dims):
                 which = np.flatnonzero(dims == dim)
-                cosine = np.frombuffer(b"".join(units[i] for i in which)).reshape(-1, dim) @ tops[dim].T
-                best = cosine.argmax(axis=1)
-                cell[which], far[which] = shift[dim] + best, _distance(cosine[np.arange(len(which)), best])
+                for at in range(0, len(which), STRIP):
+                    rows = which[at : at + STRIP]
+                    cosine = np.frombuffer(b"".join(units[i] for i in rows)).reshape(-1, dim) @ centres[dim].T
+                    best = cosine.argmax(axis=1)
+                    cell[rows], far[rows] = best, _distance(cosine[np.arange(len(rows)), best])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(far)], names=[*batch.schema.names, "cell", "far"])
 
     return map_arrow(distinct, run, "rep long, dim int, unit binary, copies long, cell int, far double")
 
 
-def _blocks(placed: DataFrame, counts: dict[int, int]) -> DataFrame:
-    """One row per block: its cell and number in it, and the ids, copies and unit vectors of its rows."""
+@dataclass
+class Layout:
+    """The cells of one dimension: covering radius (-inf: empty), and the first cell and number of parts of each block."""
+
+    centres: np.ndarray
+    far: np.ndarray
+    first: np.ndarray
+    parts: np.ndarray
+    shift: int  # number of the first block among those of all dimensions
+
+    @staticmethod
+    def of(centres: np.ndarray, count: np.ndarray, far: np.ndarray, block: int, shift: int) -> Layout:
+        first, held = [0], 0
+        for cell, n in enumerate(count.tolist()):
+            if held and held + n > block:
+                first.append(cell)
+                held = 0
+            held += n
+        total = np.add.reduceat(count, first)
+        return Layout(centres, far, np.array(first), np.maximum(1, -(-total // block)), shift)
+
+    def meetings(self, units: np.ndarray, reps: np.ndarray, cell: np.ndarray, reach: float) -> tuple[np.ndarray, ...]:
+        """For each row and pair of block parts it goes to: row, first block and part, second block and part, side."""
+        cosine = units @ self.centres.T
+        own = np.searchsorted(self.first, cell, side="right") - 1
+        near = _distance(cosine) <= reach + self.far[None, :] + SLACK
+        # Whatever lies in another cell is on the far side of the border half-way between the centres.
+        near &= cosine[np.arange(len(cell)), cell][:, None] - cosine <= (reach + SLACK) * _distance(self.centres[cell] @ self.centres.T) + SLACK
+        near[np.arange(len(cell)), cell] = True
+        row, other = np.nonzero(np.logical_or.reduceat(near, self.first, axis=1))
+        n = self.parts[other]
+        row, other = np.repeat(row, n), np.repeat(other, n)
+        part = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        mine, mine_part = own[row], (reps % self.parts[own])[row]
+        side = (other < mine) | ((other == mine) & (part < mine_part))
+        pick = lambda x, y: np.where(side, x, y).astype(np.int32)
+        return row, pick(other, mine) + np.int32(self.shift), pick(part, mine_part), pick(mine, other) + np.int32(self.shift), pick(mine_part, part), side
+
+
+def _meetings(placed: DataFrame, layouts: dict[int, Layout], reach: float) -> DataFrame:
+    """One row per vector and pair of block parts that it goes to."""
+    pair = ("a", "part_a", "b", "part_b", "side")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+        for batch in batches:
+            dims = batch.column(1).to_numpy()
+            for dim in np.unique(dims):
+                which = np.flatnonzero(dims == dim)
+                for at in range(0, len(which), STRIP):
+                    some = batch.take(pa.array(which[at : at + STRIP]))
+                    units = np.frombuffer(b"".join(some.column(2).to_pylist())).reshape(-1, dim)
+                    row, *found = layouts[dim].meetings(units, some.column(0).to_numpy(), some.column(4).to_numpy(), reach)
+                    ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=some.num_rows))]).astype(np.int32)
+                    met = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(f) for f in found], names=list(pair)))
+                    yield pa.RecordBatch.from_arrays([*some.columns[:4], met], names=[*some.schema.names[:4], "met"])
+
+    listed = map_arrow(placed, run, "rep long, dim int, unit binary, copies long, met array<struct<a:int, part_a:int, b:int, part_b:int, side:boolean>>")
+    return listed.select("rep", "dim", "unit", "copies", F.explode("met").alias("met")).select(*[F.col(f"met.{c}") for c in pair], "rep", "dim", "unit", "copies")
+
+
+def vector_meetings(distinct: DataFrame, least: float, sample: int = 4096, block: int = 6000) -> DataFrame | None:
+    """The vectors of (rep, dim, unit, copies) with the pairs of block parts they go to; without vectors None.
+
+    The sample is shared by the vector lengths; each gets one row at least.
+    """
+    dims = {r["dim"]: r["n"] for r in distinct.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).orderBy("dim").limit(1001).collect()}
+    if len(dims) > 1000:
+        raise ValueError("more than 1000 different vector lengths")
+    if not dims:
+        return None
+    centres = {}
+    for dim, n in dims.items():
+        most = max(1, sample * n // sum(dims.values()))
+        rows = least_by_hash(distinct.where(F.col("dim") == dim).select("unit"), F.xxhash64("unit"), n, most)
+        units = np.stack([np.frombuffer(r["unit"]) for r in rows])
+        centres[dim] = leaf_centres(units, n / len(units), block / CELLS)
+    placed = staged(_cells(distinct, centres), "cells")
+    count, far = {d: np.zeros(len(c), dtype=np.int64) for d, c in centres.items()}, {d: np.full(len(c), -np.inf) for d, c in centres.items()}
+    for r in placed.groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far")).collect():  # no more than the sample
+        count[r["dim"]][r["cell"]], far[r["dim"]][r["cell"]] = r["n"], r["far"]
+    layouts, shift = {}, 0
+    for dim in dims:
+        layouts[dim] = Layout.of(centres[dim], count[dim], far[dim], block, shift)
+        shift += len(layouts[dim].first)
+    return _meetings(placed, layouts, float(np.sqrt(2 - 2 * least)))
+
+
+def _pair_links(meetings: DataFrame, least: float) -> DataFrame:
+    """Link counts (id, n) and spanning links (id, other) of the vectors that meet; the rows of a pair follow each other, the first side first."""
+
+    def links(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        dim, middle = held[0][6], sum(not h[4] for h in held)
+        same = held[0][0:2] == held[0][2:4]
+        if not middle or (not same and middle == len(held)):
+            return
 
-        def closed() -> pa.RecordBatch:
-            cell, part, dim = held[0][4], held[0][5], held[0][1]
-            return pa.RecordBatch.from_pydict(
-                {
-                    "cell": pa.array([cell], pa.int32()), "part": pa.array([part], pa.int32()), "dim": pa.array([dim], pa.int32()),
-                    "ids": pa.array([np.array([h[0] for h in held], dtype=np.int64).tobytes()]), "copies": pa.array([np.array([h[3] for h in held], dtype=np.int64).tobytes()]), "units": pa.array([b"".join(h[2] for h in held)]),
-                }
-            )
+        def side(rows: list[tuple]) -> tuple[Tree, np.ndarray, np.ndarray, np.ndarray]:
+            units = np.frombuffer(b"".join(h[7] for h in rows)).reshape(-1, dim)
+            tree = grow(units.astype(np.float32))
+            return tree, units[tree.order], np.array([h[8] for h in rows])[tree.order], np.array([h[5] for h in rows])[tree.order]
+
+        a, exact_a, copies_a, ids = side(held[:middle])
+        if same:
+            n, _, x, y = traverse(a, a, exact_a, exact_a, copies_a, copies_a, least, True)
+        else:
+            b, exact_b, copies_b, other = side(held[middle:])
+            links_a, links_b, x, y = traverse(a, b, exact_a, exact_b, copies_a, copies_b, least, False)
+            ids, n = np.concatenate([ids, other]), np.concatenate([links_a, links_b])
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.nulls(len(some), pa.int64()), pa.array(n[some])], names=["id", "other", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(ids[x]), pa.array(ids[y]), pa.nulls(len(x), pa.int64())], names=["id", "other", "n"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held and row[4:6] != held[0][4:6]:
-                    yield closed()
+                if held and row[:4] != held[0][:4]:
+                    yield from links(held)
                     held = []
                 held.append(row)
         if held:
-            yield closed()
-
-    n_parts = F.element_at(F.create_map(*[x for cell, n in counts.items() for x in (F.lit(cell), F.lit(n))]), F.col("cell"))
-    parts = placed.select("rep", "dim", "unit", "copies", "cell", F.pmod(F.xxhash64("rep"), n_parts).cast("int").alias("part"))
-    dealt = parts.repartition("cell", "part").sortWithinPartitions("cell", "part", "rep")
-    return map_arrow(dealt, run, "cell int, part int, dim int, ids binary, copies binary, units binary")
+            yield from links(held)
 
+    key = ["a", "part_a", "b", "part_b"]
+    dealt = meetings.repartition(*key).sortWithinPartitions(*key, "side", "rep")
+    return map_arrow(dealt.select(*key, "side", "rep", "dim", "unit", "copies"), run, "id long, other long, n long")
 
-def _pair_links(pairs: DataFrame, least: float) -> DataFrame:
-    """Per pair of blocks: link counts (id, n) and spanning links (id, other)."""
 
-    def load(row: dict, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return np.frombuffer(row[f"ids_{side}"], dtype=np.int64), np.frombuffer(row[f"copies_{side}"], dtype=np.int64), np.frombuffer(row[f"units_{side}"]).reshape(-1, row["dim"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = tree = own = None
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                if row["ids_a"] != first:  # rows of one deal share their first block
-                    ids, copies, units = load(row, "a")
-                    first, tree = row["ids_a"], grow(units.astype(np.float32))
-                    own = (units[tree.order], copies[tree.order], ids[tree.order])
-                if row["same"]:
-                    links, _, x, y = traverse(tree, tree, own[0], own[0], own[1], own[1], least, True)
-                    both, n = own[2], links
-                else:
-                    ids, copies, units = load(row, "b")
-                    other = grow(units.astype(np.float32))
-                    that = (units[other.order], copies[other.order], ids[other.order])
-                    links_a, links_b, x, y = traverse(tree, other, own[0], that[0], own[1], that[1], least, False)
-                    both, n = np.concatenate([own[2], that[2]]), np.concatenate([links_a, links_b])
-                some = np.flatnonzero(n)
-                counted = pa.array(both[some]), pa.nulls(len(some), pa.int64()), pa.array(n[some])
-                yield pa.RecordBatch.from_arrays(list(counted), names=["id", "other", "n"])
-                yield pa.RecordBatch.from_arrays([pa.array(both[x]), pa.array(both[y]), pa.nulls(len(x), pa.int64())], names=["id", "other", "n"])
-
-    return map_arrow(pairs, run, "id long, other long, n long")
-
-
-def near_duplicate_vectors(vectors: DataFrame, least: float = 0.95, key: str = "vec_id", vector: str = "embedding", sample: int = 4096, most_cells: int = 64, block: int = 6000) -> DataFrame:
+def near_duplicate_vectors(vectors: DataFrame, least: float = 0.95, key: str = "vec_id", vector: str = "embedding", sample: int = 4096, block: int = 6000) -> DataFrame:
     """One row per row of ``vectors``: key, n_links, component_id, kept.
 
     Two rows are linked if the cosine of their vectors is at least ``least``; rows with equal
@@ -429,32 +509,8 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.95, key: str = "
     folded = valid.groupBy("mark").agg(F.min(key).alias("first"), F.count(F.lit(1)).alias("copies"), F.first("unit").alias("unit"), F.first("dim").alias("dim"))
     # Nodes are numbered by a hash of the vector, so rows without a key have one, too.
     folded = staged(folded.withColumn("rep", F.xxhash64("mark")), "distinct-vectors")
-    dims = {r["dim"]: r["n"] for r in folded.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).orderBy("dim").limit(1001).collect()}
-    if len(dims) > 1000:
-        raise ValueError("more than 1000 different vector lengths")
-    tops = {}
-    for dim, n in dims.items():
-        rows = least_by_hash(folded.where(F.col("dim") == dim).select("unit"), F.xxhash64("unit"), n, sample)
-        tops[dim] = _top(np.stack([np.frombuffer(r["unit"]) for r in rows]), most_cells)
-    nothing = spark.createDataFrame([], "id long, other long, n long")
-    found = nothing
-    if dims:
-        placed = staged(_cells(folded.select("rep", "dim", "unit", "copies"), tops), "cells")
-        cells = {r["cell"]: r for r in placed.groupBy("cell", "dim").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far")).collect()}  # most_cells rows a dimension
-        counts = {c: max(1, -(-r["n"] // block)) for c, r in cells.items()}
-        centre = {c: _centre_of(c, r["dim"], tops) for c, r in cells.items()}
-        reach = np.sqrt(2 - 2 * least) + 1e-9
-        near = [(c, d) for c in cells for d in cells if cells[c]["dim"] == cells[d]["dim"] and c <= d and float(_distance(np.array(centre[c] @ centre[d]))) <= reach + cells[c]["far"] + cells[d]["far"]]
-        blocks = staged(_blocks(placed, counts), "blocks")
-        # Each block is sent to the pairs it is part of; a pair is named by both blocks.
-        links = spark.createDataFrame([(c, d, counts[c], counts[d]) for c, d in near], "c int, d int, nc int, nd int")
-        sides = blocks.join(F.broadcast(links), F.col("cell") == F.col("c")).select("c", "d", F.col("part").alias("i"), F.explode(F.sequence(F.when(F.col("c") == F.col("d"), F.col("part")).otherwise(F.lit(0)), F.col("nd") - 1)).alias("j"), "dim", "ids", "copies", "units")
-        others = blocks.select(F.col("cell").alias("d"), F.col("part").alias("j"), F.col("ids").alias("ids_b"), F.col("copies").alias("copies_b"), F.col("units").alias("units_b"))
-        pairs = sides.withColumnsRenamed({"ids": "ids_a", "copies": "copies_a", "units": "units_a"}).join(others, ["d", "j"])
-        same = (F.col("c") == F.col("d")) & (F.col("i") == F.col("j"))
-        pairs = pairs.select("dim", same.alias("same"), "ids_a", "copies_a", "units_a", *[F.when(~same, F.col(x)).alias(x) for x in ("ids_b", "copies_b", "units_b")], F.xxhash64("c", "d", "i", F.floor(F.col("j") / 8)).alias("deal"))
-        # Up to eight pairs of one block go to one task, which grows that block's tree once.
-        found = staged(_pair_links(pairs.repartition("deal").sortWithinPartitions("deal"), least), "vector-links")
+    meetings = vector_meetings(folded.select("rep", "dim", "unit", "copies"), least, sample, block)
+    found = staged(_pair_links(meetings, least), "vector-links") if meetings else spark.createDataFrame([], "id long, other long, n long")
     counted = found.where("other is null").groupBy("id").agg(F.sum("n").alias("n"))
     components = connected_components(found.where("other is not null"), "id", "other")
     named = folded.select("mark", "rep", "first", "copies").join(counted.withColumnRenamed("id", "rep"), "rep", "left").join(components.withColumnRenamed("node", "rep"), "rep", "left")
@@ -467,10 +523,6 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.95, key: str = "
     return joined.select(key, F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col(key) == component, F.lit(False)).alias("kept"))
 
 
-def _centre_of(cell: int, dim: int, tops: dict[int, np.ndarray]) -> np.ndarray:
-    return tops[dim][cell - sum(len(tops[d]) for d in sorted(tops) if d < dim)]
-
-
 SQL = """
 WITH RECURSIVE v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings

@@ -68,7 +68,7 @@ def test_tables(spark):
     rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
     odd = [(900, None), (901, [0.0] * 16), (902, [float("nan")] * 16), (903, [1.0, None]), (904, []), (905, [1.0, 2.0]), (906, [2.0, 4.0]), (907, rows[0][1]), (907, rows[0][1]), (None, [5.0, 10.0]), (908, [1e-200, 2e-200]), (909, [float("inf")] * 2)]
     table = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>").selectExpr("*", "1 AS mark", "'x' AS unit", "2 AS label")
-    found = cover_tree.near_duplicate_vectors(table, 0.95, sample=60, most_cells=5, block=40).collect()
+    found = cover_tree.near_duplicate_vectors(table, 0.95, sample=60, block=40).collect()
     assert len(found) == len(rows) + len(odd)
     links = x @ x.T >= 0.95
     np.fill_diagonal(links, False)
@@ -90,3 +90,37 @@ def test_tables(spark):
         label = new
     assert [got[i]["component_id"] for i in range(240)] == label.tolist()
     assert cover_tree.near_duplicate_vectors(table.limit(0)).count() == 0
+
+
+def counted_pairs(spark, x, **options):
+    rows = [(i, x.shape[1], r.tobytes(), 1) for i, r in enumerate(x)]
+    met = cover_tree.vector_meetings(spark.createDataFrame(rows, "rep long, dim int, unit binary, copies long"), 0.95, **options)
+    return met.select("a", "part_a", "b", "part_b").distinct().count(), met.count()
+
+
+def test_tight_groups_meet_in_few_pairs(spark):
+    rng = np.random.default_rng(5)
+    x = np.repeat(rng.normal(size=(300, 32)), 20, axis=0) + rng.normal(scale=0.002, size=(6000, 32))
+    x = rng.permutation(x / np.linalg.norm(x, axis=1)[:, None])
+    pairs, sent = counted_pairs(spark, x, block=100)
+    assert pairs < 183 and sent < 2 * len(x)  # of 1,830 pairs of 60 blocks
+
+
+def test_far_vectors_are_sent_where_they_reach(spark):
+    x = np.random.default_rng(6).normal(size=(6000, 4))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    pairs, sent = counted_pairs(spark, x, block=300)
+    assert sent < len(x) * 20 * 0.7  # each vector to all 20 blocks would be 20
+
+
+@pytest.mark.parametrize("dim", [3, 8])
+def test_every_link_meets(spark, dim):
+    x = np.random.default_rng(dim).normal(size=(900, dim))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[::7] = x[0] + 1e-3 * x[::7]  # a group larger than a block
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    table = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    links = x @ x.T >= 0.95
+    np.fill_diagonal(links, False)
+    got = {r["vec_id"]: r["n_links"] for r in cover_tree.near_duplicate_vectors(table, 0.95, sample=100, block=50).collect()}
+    assert [got[i] for i in range(900)] == links.sum(axis=1).tolist()
