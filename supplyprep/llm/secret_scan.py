@@ -2,19 +2,22 @@
 
 Base findings follow three patterns and always stay. A candidate is any long run of characters
 that keys are written in, of mixed kinds; the network reads it with the text around it and says
-how likely it is a secret. It is trained in numpy on labelled findings: runs that an assignment or
-access-key pattern takes are secrets, other candidates are not. At most ``most`` findings of each
-label are used, those whose windows have the smallest hashes over the whole corpus; all rows are
-scanned for them. A quarter of them is held back to calibrate the scores and to set the threshold:
-it finds at least ``recall`` of the held-back secrets with the fewest false findings, in the middle
-of the scores for which that holds.
-
-Scanning is one pass without a shuffle. What the driver gets is the bounded sample of windows.
+how likely it is a secret. It is trained in numpy on labelled findings: pieces that touch a base
+finding of any kind are secrets, other candidates are not. At most ``most`` findings of each label
+fit the weights and calibrate the scores, those whose windows have the smallest hashes over the
+whole corpus. A quarter of all labelled findings is held back; all of these set the threshold: it
+finds at least ``recall`` of the held-back secrets, in their own and in other surroundings, with the
+fewest false findings, in the middle of the scores for which that holds.
+
+Scanning is one pass without a shuffle. What the driver gets is the bounded sample of windows, and
+counts of scores in cells. A candidate that reaches beyond the base findings it touches is read as
+well; its finding is added to theirs.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,7 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
-from supplyprep.llm.common import bounded_slices, least_by_hash, map_arrow, materialize, text_or_empty
+from supplyprep.llm.common import bounded_slices, least_by_hash, map_arrow, materialize, staged, text_or_empty
+from supplyprep.llm.quality import at_rank
 
 # The base patterns, and the least length of what each has to match.
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -38,7 +42,7 @@ _ASSIGN = re.compile(ASSIGN, re.IGNORECASE | re.ASCII)
 _WORDS = re.compile(r"passw|secret|token|api_?key", re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(ACCESS)
 _HEX = re.compile(f"[0-9a-f]{{{HEX_LENGTH},}}")
-_RUN = re.compile(r"[A-Za-z0-9+/_=.-]{16,}")
+_RUN = re.compile(r"[A-Za-z0-9+/_=.-]{12,}")
 _MIXED = re.compile(r"[0-9]|[a-z].*[A-Z]", re.DOTALL)
 
 SIDE, BODY = 24, 64
@@ -61,12 +65,12 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    """All runs of key characters of 16 or more that hold a digit or change from small to capital letters."""
+    """All runs of key characters of 12 or more that hold a digit or change from small to capital letters."""
     return [m.span() for m in _RUN.finditer(text) if _MIXED.search(m[0])]
 
 
 def windows(text: str, start: int, end: int) -> list[str]:
-    """The candidate with its surroundings, NUL-padded to one length; a long one in several pieces."""
+    """The candidate with its surroundings, NUL-padded to one length; a long one in several pieces of ``BODY`` characters."""
     out = []
     for at in range(start, end, BODY):
         stop = min(end, at + BODY)
@@ -75,8 +79,26 @@ def windows(text: str, start: int, end: int) -> list[str]:
     return out
 
 
-def _is_secret(start: int, end: int, spans: list[tuple[str, int, int]]) -> bool:
-    return any(kind != "hex" and s < end and start < e for kind, s, e in spans)
+class Taken:
+    """The characters that base findings take, as runs that neither touch nor overlap."""
+
+    def __init__(self, spans: list[tuple[str, int, int]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for _, start, end in spans:  # by start
+            if self.ends and start <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def touches(self, start: int, end: int) -> bool:
+        i = bisect_right(self.ends, start)
+        return i < len(self.ends) and self.starts[i] < end
+
+    def covers(self, start: int, end: int) -> bool:
+        i = bisect_right(self.ends, start)
+        return i < len(self.ends) and self.starts[i] <= start and end <= self.ends[i]
 
 
 # --- network -------------------------------------------------------------------------------
@@ -158,8 +180,8 @@ class Network:
                     p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         return self
 
-    def calibrate(self, texts: list[str], labels: np.ndarray, recall: float) -> Network:
-        """Fit slope and shift on held-back findings by Newton steps, then take the threshold of the wanted recall."""
+    def calibrate(self, texts: list[str], labels: np.ndarray) -> Network:
+        """Fit slope and shift on held-back findings by Newton steps."""
         x = self.logits(texts)
         design = np.stack([x, np.ones_like(x)], axis=1)
         theta = np.array([1.0, 0.0])
@@ -168,12 +190,6 @@ class Network:
             hess = (design * (p * (1 - p))[:, None]).T @ design + 0.01 * np.eye(2)
             theta -= np.linalg.solve(hess, design.T @ (p - labels) + 0.01 * (theta - [1.0, 0.0]))
         self.slope, self.shift = float(max(theta[0], 1e-3)), float(theta[1])
-        logits = self.slope * x + self.shift
-        hits = np.sort(logits[labels > 0])
-        least = hits[int(np.floor((1 - recall) * len(hits)))]
-        # Any threshold between the others below and that secret finds as much and no more: take the middle.
-        below = logits[(labels == 0) & (logits < least)]
-        self.threshold = float(1 / (1 + np.exp(-np.clip((least + below.max()) / 2 if len(below) else least, -30, 30))))
         return self
 
 
@@ -181,7 +197,7 @@ class Network:
 
 
 def labelled_windows(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(window, label) of every candidate of every text."""
+    """(window, label) of every piece of every candidate of every text; it is a secret if it touches a base finding."""
     source = docs.select(text_or_empty(docs[text]).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,48 +205,76 @@ def labelled_windows(docs: DataFrame, text: str = "text") -> DataFrame:
             found, labels = [], []
             for t in batch.column(0).to_pylist():
                 runs = candidates(t)
-                spans = base_spans(t) if runs else []
+                taken = Taken(base_spans(t) if runs else [])
                 for start, end in runs:
-                    pieces = windows(t, start, end)
-                    found += pieces
-                    labels += [int(_is_secret(start, end, spans))] * len(pieces)
+                    found += windows(t, start, end)
+                    labels += [int(taken.touches(at, min(end, at + BODY))) for at in range(start, end, BODY)]
             if found:
                 yield pa.RecordBatch.from_pydict({"window": found, "label": pa.array(labels, pa.int32())})
 
     return map_arrow(source, run, "window string, label int")
 
 
+def moved(secret: str, other: str) -> str:
+    """The window of a secret in the surroundings of another one, so that the key itself counts, too."""
+    return other[:SIDE] + secret[SIDE : SIDE + BODY] + other[SIDE + BODY :]
+
+
 def train(docs: DataFrame, text: str = "text", most: int = 3000, recall: float = 0.98, seed: int = 7) -> Network:
-    """A network trained on at most ``most`` distinct labelled findings of each label.
+    """A network trained on at most ``most`` distinct labelled findings of each label; its threshold is of all that are held back.
 
-    Without findings of both labels the network adds nothing.
+    Without findings of both labels in both parts the network adds nothing.
     """
     found, n = materialize(labelled_windows(docs, text).groupBy("window").agg(F.max("label").alias("label")), "labelled-windows", F.col("label") == 1)
     mark, held = F.xxhash64("window"), (F.pmod(F.xxhash64("window", F.lit(1)), F.lit(4)) == 0).alias("held")
     of = {1: n, 0: found.count() - n}
     rows = [r for label in (0, 1) for r in least_by_hash(found.where(F.col("label") == label).select("*", held), mark, of[label], most)]
-    labels, held, texts = np.array([r["label"] for r in rows]), np.array([r["held"] for r in rows], dtype=bool), [r["window"] for r in rows]
+    labels, part, texts = np.array([r["label"] for r in rows]), np.array([r["held"] for r in rows], dtype=bool), [r["window"] for r in rows]
     network = Network.fresh(seed)
-    if not all(((labels == k) & (held == h)).any() for k in (0, 1) for h in (False, True)):
+    if not all(((labels == k) & (part == h)).any() for k in (0, 1) for h in (False, True)):
         return network
 
-    def shown(part: np.ndarray) -> tuple[list[str], np.ndarray]:
-        """Findings of one part; each secret a second time in the surroundings of another candidate, so that the key itself counts, too."""
-        secrets = [t for t, p, k in zip(texts, part, labels, strict=True) if p and k]
-        others = [t for t, p, k in zip(texts, part, labels, strict=True) if p and not k]
-        moved = [o[:SIDE] + t[SIDE : SIDE + BODY] + o[SIDE + BODY :] for t, o in zip(secrets, others * (len(secrets) // len(others) + 1), strict=False)]
-        return secrets + moved + others, np.array([1] * (len(secrets) + len(moved)) + [0] * len(others))
+    def shown(chosen: np.ndarray) -> tuple[list[str], np.ndarray]:
+        """Findings of one part; each secret a second time in the surroundings of another candidate."""
+        secrets = [t for t, p, k in zip(texts, chosen, labels, strict=True) if p and k]
+        others = [t for t, p, k in zip(texts, chosen, labels, strict=True) if p and not k]
+        again = [moved(t, o) for t, o in zip(secrets, others * (len(secrets) // len(others) + 1), strict=False)]
+        return secrets + again + others, np.array([1] * (len(secrets) + len(again)) + [0] * len(others))
+
+    network.fit(*shown(~part)).calibrate(*shown(part))
+    others = [t for t, p, k in zip(texts, part, labels, strict=True) if p and not k]
+    logits = staged(held_logits(found.where(held), network, others), "held-logits")
+    hits = logits.where("label = 1").select("logit")
+    least, _ = at_rank(hits, "logit", int(np.floor((1 - recall) * hits.count())))
+    # Any threshold between the others below and that secret finds as much and no more: take the middle.
+    below = logits.where((F.col("label") == 0) & (F.col("logit") < least)).agg(F.max("logit")).first()[0]
+    cut = least if below is None else (least + below) / 2
+    network.threshold = float(1 / (1 + np.exp(-np.clip(cut, -30, 30))))
+    return network
+
+
+def held_logits(held: DataFrame, network: Network, others: list[str]) -> DataFrame:
+    """(label, logit) of every held-back window; a secret also in the surroundings of one of ``others``, which its hash chooses."""
+    source = held.select("window", "label", F.pmod(F.xxhash64("window", F.lit(2)), F.lit(len(others))).cast("int").alias("other"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, labels, other = (c.to_pylist() for c in batch.columns)
+            again = [moved(t, others[o]) for t, k, o in zip(texts, labels, other, strict=True) if k]
+            logits = network.slope * network.logits(texts + again) + network.shift
+            yield pa.RecordBatch.from_arrays([pa.array(labels + [1] * len(again), pa.int32()), pa.array(logits)], names=["label", "logit"])
 
-    return network.fit(*shown(~held)).calibrate(*shown(held), recall)
+    return map_arrow(source, run, "label int, logit double")
 
 
 def spans_of(texts: list[str], network: Network) -> list[list[tuple[str, int, int, float]]]:
-    """All spans of each text: the base ones, score 1, and the candidates beside them that the network takes."""
+    """All spans of each text: the base ones, score 1, and the candidates that reach beyond them and that the network takes."""
     base = [base_spans(t) for t in texts]
     tried, pieces = [], []
     for i, t in enumerate(texts):
+        taken = Taken(base[i])
         for start, end in candidates(t):
-            if not any(s < end and start < e for _, s, e in base[i]):
+            if not taken.covers(start, end):
                 for piece in windows(t, start, end):
                     tried.append((i, start, end))
                     pieces.append(piece)

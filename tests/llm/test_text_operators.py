@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -144,6 +145,80 @@ def test_network_learns_and_keeps_recall(spark):
     assert all(r["text"] == plain[r["doc_id"] - 120] or "[hex]" in r["text"] for r in rows if r["doc_id"] >= 120)
 
 
+def reference_spans(text):
+    """The base findings by their definition, one character at a time."""
+    found = []
+    flat, key = text, set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
+
+    def run(at, letters):
+        end = at
+        while end < len(flat) and flat[end] in letters:
+            end += 1
+        return end
+
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in flat)
+    at = 0
+    while at < len(flat):
+        word = next((w for w in ("password", "passwd", "secret", "token", "api_key", "apikey") if lower.startswith(w, at)), None)
+        end = at + len(word) if word else 0
+        if word:
+            end += flat[end : end + 1] in ("'", '"') and flat[end : end + 1] != ""
+            end = run(end, " ")
+            if flat[end : end + 1] in (":", "="):
+                value = run(end + 1, " ")
+                value += flat[value : value + 1] in ("'", '"') and flat[value : value + 1] != ""
+                stop = run(value, key)
+                if stop > value:
+                    if stop - value >= 12:
+                        found.append((at, 0, "assign", stop))
+                    at = stop
+                    continue
+        at += 1
+    for kind, first, letters, least in (("access", "AKIA", set("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 18), ("hex", "", set("0123456789abcdef"), 16)):
+        at = 0
+        while at < len(flat):
+            stop = run(at + len(first), letters) if flat.startswith(first, at) else at
+            if stop > at + len(first):
+                if stop - at >= least:
+                    found.append((at, 1 if first else 2, kind, stop))
+                at = stop
+            else:
+                at += 1
+    return [(kind, start, stop) for start, _, kind, stop in sorted(found)]
+
+
+def test_base_spans_by_definition(llm_docs):
+    rng = np.random.default_rng(8)
+    parts = ["password", "Passwd", "SECRET", "token", "api_key", "apikey", '"', "'", " ", "  ", ":", "=", "AKIA", "0123456789abcdef", "ABCDEF0123456789", "abc", "Zz9+/", "\n", "é", "ſecret", "-", "=="]
+    texts = ["".join(rng.choice(parts, rng.integers(1, 14))) for _ in range(4000)] + [r["text"] for r in llm_docs.collect() if r["text"]]
+    assert all(secret_scan.base_spans(t) == reference_spans(t) for t in texts)
+    assert sum(len(reference_spans(t)) for t in texts) > 500
+
+
+def test_network_beyond_the_base_patterns(spark):
+    """Keys that no base pattern takes: what share is found, and that mail names and words stay."""
+    rng = np.random.default_rng(11)
+    key = lambda n: "".join(rng.choice(list("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789"), n))
+    word = lambda: "".join(rng.choice(list("abcdefghilmnoprstu"), rng.integers(4, 9)))
+    mail = lambda: f"{word()}.{word()}{rng.integers(1, 99)}@{word()}.example"
+    docs = [f"{word()} {word()} token: {key(rng.integers(12, 44))} {word()}" for _ in range(400)] + [f"{word()} write to {mail()} or {word()}-{word()}-{rng.integers(10, 99)} {word()}" for _ in range(600)]
+    network = secret_scan.train(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"))
+    hits = lambda t: [s for s in secret_scan.spans_of([t], network)[0] if s[0] == "network"]
+    bare = [f"{word()} {word()} {key(rng.integers(14, 40))} {word()} {word()}" for _ in range(200)]
+    bare = [t for t in bare if not secret_scan.base_spans(t) and secret_scan.candidates(t)]
+    assert len(bare) > 150 and sum(bool(hits(t)) for t in bare) >= 0.9 * len(bare)
+    plain = [f"{word()} ask {mail()} for {word()}-{word()}-{rng.integers(10, 99)}" for _ in range(200)]
+    assert sum(bool(hits(t)) for t in plain) <= 0.05 * len(plain)
+    longer = f"see {key(20)}0123456789abcdef{key(20)} here"  # only the middle is a base finding
+    every = replace(network, threshold=0.0)  # takes all that is read
+    assert [(k, s, e) for k, s, e, _ in secret_scan.spans_of([longer], every)[0]] == [("network", 4, 60), ("hex", 24, 40)]
+    assert [k for k, *_ in secret_scan.spans_of(["see 0123456789abcdef here"], every)[0]] == ["hex"]
+    taken = secret_scan.Taken([("hex", 2, 5), ("assign", 4, 8), ("hex", 8, 9), ("hex", 12, 14)])
+    assert (taken.starts, taken.ends) == ([2, 12], [9, 14])
+    assert taken.covers(2, 9) and not taken.covers(2, 10) and not taken.covers(1, 9) and not taken.covers(9, 12)
+    assert taken.touches(8, 12) and not taken.touches(9, 12) and not taken.touches(0, 2)
+
+
 def test_secret_tables(edge, none):
     network = secret_scan.train(edge)
     assert network.threshold > 1  # no labelled secrets: nothing is added
