@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from supplyprep.sources.storage import materialize, new_path, staged
 
-__all__ = ["bounded_slices", "least_by_hash", "map_arrow", "materialize", "new_path", "read_table", "small_side", "staged", "text_bytes", "text_or_empty"]
+__all__ = ["bounded_slices", "least_by_hash", "map_arrow", "materialize", "new_path", "read_table", "row_identity", "small_side", "staged", "text_bytes", "text_or_empty"]
 
 #: Bytes of rows that are sent to a Python worker at a time; Spark's own limit counts rows only.
 ARROW_BYTES = 4 << 20
@@ -55,6 +55,11 @@ def text_or_empty(text: str | Column = "text") -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def row_identity(key: str, text: str) -> Column:
+    """128 bits that stand for a row's key and text; null and empty texts are the same."""
+    return F.struct(F.xxhash64(F.col(key), text_or_empty(text)).alias("low"), F.xxhash64(text_or_empty(text), F.lit(1), F.col(key)).alias("high"))
+
+
 def text_bytes(text: str | Column = "text") -> Column:
     """UTF-8 bytes of a text."""
     return text_or_empty(text).cast("binary")

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from supplyprep.llm.common import materialize, small_side, staged, text_or_empty
+from supplyprep.llm.common import materialize, row_identity, small_side, staged, text_or_empty
 
 WORDS = 5
 SHARE = 0.8
@@ -49,11 +49,6 @@ def item_shingles(items: DataFrame, key: str = "item_id", text: str = "text", sh
     return rows.select("item", key, "width", "n", "sketch", F.posexplode("grams").alias("place", "gram")).select("item", key, "width", "n", "gram", (F.col("place") < F.col("sketch")).alias("sketched"))
 
 
-def _document(key: str, text: str) -> Column:
-    """Identifier of a document: rows with equal key and text are one."""
-    return F.xxhash64(F.col(key), text_or_empty(text))
-
-
 def _pairs(docs: DataFrame, items: DataFrame, key: str, text: str, item_key: str, item_text: str, share: float, width: int) -> DataFrame:
     """(doc, key, item, item_key, n, n_shared) of every document and item that it contains to ``share`` or more."""
     grams, n_grams = materialize(item_shingles(items, item_key, item_text, share, width), "item-shingles")
@@ -61,7 +56,7 @@ def _pairs(docs: DataFrame, items: DataFrame, key: str, text: str, item_key: str
     if not widths:
         widths = [width]
     wanted = grams.select("gram").distinct()
-    rows = docs.select(F.col(key), _document(key, text).alias("doc"), F.transform(words(text), lambda w: F.xxhash64(w)).alias("h"))
+    rows = docs.select(F.col(key), row_identity(key, text).alias("doc"), F.transform(words(text), lambda w: F.xxhash64(w)).alias("h"))
     rows = rows.select(key, "doc", F.explode(F.concat(*[_shingles(F.col("h"), w) for w in widths])).alias("gram"))
     found = staged(rows.join(small_side(wanted, n_grams), "gram").distinct(), "shared-shingles")
     candidates = found.join(small_side(grams.where("sketched"), n_grams), "gram").select("doc", key, "item", item_key, "n").distinct()
@@ -91,7 +86,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", te
     """
     pairs = _pairs(docs, items, key, text, item_key, item_text, SHARE, WORDS)
     hit, n = materialize(pairs.select(F.col("doc").alias("__hit")).distinct(), "contaminated")
-    return docs.withColumn("__doc", _document(key, text)).join(small_side(hit, n), F.col("__doc") == F.col("__hit"), "left_anti").drop("__doc")
+    return docs.withColumn("__doc", row_identity(key, text)).join(small_side(hit, n), F.col("__doc") == F.col("__hit"), "left_anti").drop("__doc")
 
 
 SQL = r"""

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from supplyprep.llm.common import bounded_slices, buffer_of, map_arrow, materialize, offsets_of, small_side, staged, text_bytes, text_or_empty
+from supplyprep.llm.common import bounded_slices, buffer_of, map_arrow, materialize, offsets_of, row_identity, small_side, staged, text_bytes
 from supplyprep.llm.components import connected_components
 
 BITS = 64
@@ -208,9 +208,10 @@ def keep_one_per_component(docs: DataFrame, shingle: int = 4, distance: int = 4,
     """The first row, by key and then by text hash, of every component, with all columns.
 
     Rows without a key come last. Of rows equal in key and text one stays, the smallest by all
-    columns.
+    columns (columns that cannot be ordered, maps, by their JSON text). Null and empty texts are one
+    group. No rows: no rows.
     """
-    row = F.xxhash64(F.col(key), text_or_empty(text))
+    row = row_identity(key, text)
     rows = docs.select(F.struct(F.col(key).isNull().alias("unnamed"), F.col(key).alias("key"), row.alias("row")).alias("at"), F.col(text).alias("text"))
     found = simhash_components(rows, shingle, distance, "text", "at")
     at = F.col("at.row").alias("__row")
@@ -225,5 +226,8 @@ def keep_one_per_component(docs: DataFrame, shingle: int = 4, distance: int = 4,
     repeated = small_side(repeated, n_repeated)
     single = kept.join(repeated, same, "left_anti").select(*docs.columns)
     # Combines on the map side, so that a hot row is one row of each task.
-    one = marked.join(repeated, same, "left_semi").groupBy("__at").agg(F.min(F.struct(*docs.columns)).alias("__one")).select("__one.*")
+    rows = marked.join(repeated, same, "left_semi").groupBy("__at")
+    maps = [f.name for f in docs.schema.fields if "map<" in f.dataType.simpleString()]
+    order = F.struct(*[F.to_json(F.struct(c)).alias(c) if c in maps else F.col(c) for c in docs.columns])
+    one = rows.agg((F.min_by(F.struct(*docs.columns), order) if maps else F.min(order)).alias("__one")).select("__one.*")
     return single.unionByName(one)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import duckdb
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from supplyprep.llm import queries
@@ -29,6 +30,22 @@ def test_stages_take_effect(spark, data):
         assert coder.decode(np.array(row["token_ids"])) == texts[row["doc_id"]].encode()
 
 
+def test_stages_take_odd_rows_and_empty_tables(spark, data, edge, none):
+    odd = edge.withColumn("n_chars", F.length("text").cast("long")).withColumn("source", F.lit("own source"))
+    for docs in (odd, none.select("*", *[F.lit("x").alias(c) for c in odd.columns if c not in ("doc_id", "text", "n_chars")], F.lit(1).cast("long").alias("n_chars"))):
+        columns, given = docs.columns, {(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()}
+        for name, stage in corpus_pipeline.STAGES[1:-1]:
+            docs = staged(stage(spark, docs, data), name)
+            assert docs.columns == columns, name
+            assert {(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()} <= given, name
+        last = corpus_pipeline.STAGES[-1][1](spark, docs, data).collect()
+        assert len(last) == docs.count() and all(r["exact"] for r in last)
+        assert all(r["n_tokens"] == 0 for r in last if r["doc_id"] == 2)
+    good = staged(corpus_pipeline.keep_good(spark, odd, data), "good")
+    assert good.columns == odd.columns and good.exceptAll(odd).count() == 0
+    assert corpus_pipeline.keep_good(spark, none, data).count() == 0
+
+
 def test_every_operator_has_a_query():
     assert sorted(int(name[2:].split("_")[0]) for name in queries.queries()) == list(range(1, 14))
 

@@ -98,6 +98,12 @@ def test_repeated_rows_become_one(spark):
     assert sorted((r["doc_id"] or 0, r["source"]) for r in kept.collect()) == [(0, "e"), (1, "a"), (3, "d")]
 
 
+def test_repeated_rows_with_maps_become_one(spark):
+    table = spark.createDataFrame([(1, "a b c d e f", {"k": 2}), (1, "a b c d e f", {"k": 1}), (2, "quite other words in here", None)], "doc_id long, text string, extra map<string,int>")
+    kept = simhash.keep_one_per_component(table)
+    assert sorted((r["doc_id"], r["extra"]) for r in kept.collect()) == [(1, {"k": 1}), (2, None)]
+
+
 def test_one_row_of_each_component_stays(edge, none):
     kept = simhash.keep_one_per_component(edge)
     assert kept.columns == edge.columns
