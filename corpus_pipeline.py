@@ -1,7 +1,9 @@
 """The corpus pipeline: documents through quality, near copies, benchmark leaks, secrets and token ids.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the
-columns of ``documents``. Between two stages the rows are written and read again.
+columns of ``documents``. Between two stages the rows are written and read again. In every stage a
+null text counts as an empty one and stays null, a null or repeated doc_id is a key like others, no
+rows give no rows, and further columns, whatever their names, are passed on by all but the last.
 """
 
 from __future__ import annotations
@@ -19,19 +21,26 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score reaches the cut; the ranking is learned from the labels of these documents."""
+    """Documents whose quality score reaches the cut; the ranking is learned from the labels of these documents.
+
+    Equal texts have equal scores, so they stay or go together. Without labels of both kinds all
+    documents have the same score.
+    """
     model = quality.train(docs, read_table(spark, sf_dir, "labels"))
     scored = quality.score(docs, model, scored="__score", predicted="__good", held="__held")
     return scored.where(F.col("__good") == 1).select(*docs.columns)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group whose fingerprints are linked by 4 bits or fewer."""
+    """The first document of each group whose fingerprints are linked by 4 bits or fewer.
+
+    Null, empty and blank texts are one group. Of rows equal in doc_id and text one stays.
+    """
     return simhash.keep_one_per_component(docs, shingle=4, distance=4)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
+    """Documents that contain no benchmark item. Items without words are in no document; rows go by doc_id and text."""
     return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
@@ -43,7 +52,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and whether they decode to its very bytes."""
+    """Token ids of every document, and whether they decode to its very bytes. A null or empty text has no ids."""
     coded = byte_bpe.code_round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     exact = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     return coded.select("doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", exact.alias("exact"))
