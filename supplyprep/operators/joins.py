@@ -209,38 +209,64 @@ def canonical_prefix(
     )
 
 
+def grams_of(text: Column, width: Column) -> Column:
+    """The distinct substrings of one width; none of a shorter text."""
+    starts = F.sequence(F.lit(1), F.length(text) - width + 1)
+    cut = F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, width)))
+    return F.when(F.length(text) >= width, cut).otherwise(F.array().cast("array<string>"))
+
+
+def alias_signatures(words: DataFrame) -> DataFrame:
+    """(alias, width, gram) of every alias in ``__alias``: the substring by which texts find it.
+
+    The width is the largest power of two that is not above the alias length. Of the alias's
+    substrings of that width the one that fewest aliases have is taken, so that what many codes have
+    in common does not lead to all of them.
+    """
+    alias = F.col("__alias")
+    named = words.select(alias).distinct()
+    wide = named.withColumn("__width", F.pow(F.lit(2), F.floor(F.log2(F.length(alias)))).cast("int"))
+    grams = wide.select("__alias", "__width", F.explode(grams_of(alias, F.col("__width"))).alias("__gram"))
+    shared = grams.groupBy(F.col("__gram").alias("__shared")).agg(F.count(F.lit(1)).alias("__n"))
+    rarest = F.min(F.struct("__n", "__gram"))["__gram"].alias("__gram")
+    return (
+        grams.join(shared, F.col("__gram") == F.col("__shared"))
+        .groupBy("__alias", "__width")
+        .agg(rarest)
+    )
+
+
 def contained_best(
     df: DataFrame, text: Column | str, aliases: DataFrame, alias: str, value: str, out: str
 ) -> DataFrame:
     """Largest ``value`` among the aliases that occur inside the text (null where none does).
 
-    Every substring of an alias length is looked up by equality, so the join hashes on the
-    substring and never compares all texts with all aliases. Whole texts are searched.
+    A text meets an alias by equality of one substring, the alias's signature, and is then searched
+    for the whole alias; all texts are never compared with all aliases. A text is cut once for each
+    power of two among the signature widths, so the rows grow with the logarithm of the alias
+    length, not with the number of different lengths. Whole texts are searched.
     """
     words = aliases.filter(F.length(alias) > 0).select(
         F.col(alias).alias("__alias"), F.col(value).alias("__value")
-    ).distinct()
-    lengths = words.agg(F.collect_set(F.length("__alias")).alias("l")).scalar()
+    )
+    values = words.groupBy("__alias").agg(F.max("__value").alias("__value"))
+    signed = alias_signatures(words).join(
+        values.withColumnRenamed("__alias", "__named"), F.col("__alias") == F.col("__named")
+    )
+    length = F.length("__alias")
+    widths = words.agg(
+        F.collect_set(F.pow(F.lit(2), F.floor(F.log2(length))).cast("int")).alias("w")
+    ).scalar()
     keyed = df.withColumn("__text", as_column(text))
     grams = (
         keyed.select("__text")
         .distinct()
-        .withColumn("__k", F.explode(lengths))
-        .filter(F.length("__text") >= F.col("__k"))
-        .select(
-            "__text",
-            F.explode(
-                F.array_distinct(
-                    F.transform(
-                        F.sequence(F.lit(1), F.length("__text") - F.col("__k") + 1),
-                        lambda i: F.substring(F.col("__text"), i, F.col("__k")),
-                    )
-                )
-            ).alias("__gram"),
-        )
+        .withColumn("__k", F.explode(widths))
+        .select("__text", F.explode(grams_of(F.col("__text"), F.col("__k"))).alias("__piece"))
     )
     best = (
-        grams.join(words, F.col("__gram") == F.col("__alias"))
+        grams.join(signed.select("__alias", "__value", "__gram"), F.col("__piece") == F.col("__gram"))
+        .filter(F.contains("__text", "__alias"))
         .groupBy(F.col("__text").alias("__btext"))
         .agg(F.max("__value").alias("__best"))
     )

@@ -127,6 +127,27 @@ def test_contained_best_finds_every_alias(spark):
         assert best == (max(hits) if hits else None)
 
 
+def test_contained_best_searches_many_lengths_by_few_widths(spark):
+    rng = random.Random(5)
+    words = sorted({"HUB-" + "".join(rng.choice("0123") for _ in range(n)) for n in range(1, 30) for _ in range(3)})
+    texts = ["x" * rng.randint(0, 3) + rng.choice(words) + rng.choice(["", "0", " HUB-"]) for _ in range(150)] + ["", None, "HUB-", words[-1]]
+    df = spark.createDataFrame([(t, n) for n, t in enumerate(texts)], "t string, n int")
+    ref = spark.createDataFrame([(w, w[::-1]) for w in [*words, ""]] + [(words[0], "zz"), (None, "zzz")], "w string, v string")
+    worth = {w: w[::-1] for w in words} | {words[0]: "zz"}
+    found = {r["n"]: r["best"] for r in joins.contained_best(df, "t", ref, "w", "v", "best").collect()}
+    assert found == {n: max((v for w, v in worth.items() if t is not None and w in t), default=None) for n, t in enumerate(texts)}
+    signed = joins.alias_signatures(ref.select(F.col("w").alias("__alias")).filter("length(w) > 0")).collect()
+    assert sorted(r["__alias"] for r in signed) == words
+    assert {r["__width"] for r in signed} == {4, 8, 16, 32}
+    assert all(len(r["__gram"]) == r["__width"] and r["__gram"] in r["__alias"] for r in signed)
+
+
+def test_contained_best_without_aliases_or_texts(spark):
+    df, ref = spark.createDataFrame([("a",), (None,)], "t string"), spark.createDataFrame([("a",)], "w string")
+    assert rows(joins.contained_best(df, "t", ref.limit(0), "w", "w", "best")) == [("a", None), (None, None)]
+    assert rows(joins.contained_best(df.limit(0), "t", ref, "w", "w", "best")) == []
+
+
 def test_canonical_prefix_prefers_the_shortest_and_changes_once(spark):
     dim = spark.createDataFrame([("ABCDEFG",), ("ABCDEFGHIJ",), ("KNOWN",)], "code string")
     df = spark.createDataFrame(
