@@ -217,21 +217,20 @@ def grams_of(text: Column, width: Column) -> Column:
 
 
 def alias_signatures(words: DataFrame) -> DataFrame:
-    """(alias, width, gram) of every alias in ``__alias``: the substring by which texts find it.
+    """All columns of the rows of distinct ``__alias`` with width and gram: the substring by which texts find each.
 
     The width is the largest power of two that is not above the alias length. Of the alias's
     substrings of that width the one that fewest aliases have is taken, so that what many codes have
     in common does not lead to all of them.
     """
     alias = F.col("__alias")
-    named = words.select(alias).distinct()
-    wide = named.withColumn("__width", F.pow(F.lit(2), F.floor(F.log2(F.length(alias)))).cast("int"))
-    grams = wide.select("__alias", "__width", F.explode(grams_of(alias, F.col("__width"))).alias("__gram"))
+    wide = words.withColumn("__width", F.pow(F.lit(2), F.floor(F.log2(F.length(alias)))).cast("int"))
+    grams = wide.select("*", F.explode(grams_of(alias, F.col("__width"))).alias("__gram"))
     shared = grams.groupBy(F.col("__gram").alias("__shared")).agg(F.count(F.lit(1)).alias("__n"))
     rarest = F.min(F.struct("__n", "__gram"))["__gram"].alias("__gram")
     return (
         grams.join(shared, F.col("__gram") == F.col("__shared"))
-        .groupBy("__alias", "__width")
+        .groupBy(*wide.columns)
         .agg(rarest)
     )
 
@@ -249,10 +248,7 @@ def contained_best(
     words = aliases.filter(F.length(alias) > 0).select(
         F.col(alias).alias("__alias"), F.col(value).alias("__value")
     )
-    values = words.groupBy("__alias").agg(F.max("__value").alias("__value"))
-    signed = alias_signatures(words).join(
-        values.withColumnRenamed("__alias", "__named"), F.col("__alias") == F.col("__named")
-    )
+    signed = alias_signatures(words.groupBy("__alias").agg(F.max("__value").alias("__value")))
     length = F.length("__alias")
     widths = words.agg(
         F.collect_set(F.pow(F.lit(2), F.floor(F.log2(length))).cast("int")).alias("w")
@@ -265,7 +261,7 @@ def contained_best(
         .select("__text", F.explode(grams_of(F.col("__text"), F.col("__k"))).alias("__piece"))
     )
     best = (
-        grams.join(signed.select("__alias", "__value", "__gram"), F.col("__piece") == F.col("__gram"))
+        grams.join(signed, F.col("__piece") == F.col("__gram"))
         .filter(F.contains("__text", "__alias"))
         .groupBy(F.col("__text").alias("__btext"))
         .agg(F.max("__value").alias("__best"))
