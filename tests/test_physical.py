@@ -12,6 +12,7 @@ from supplyprep.catalog import queries
 from supplyprep.catalog.supply import StandIn
 from supplyprep.catalog.tables import Tables
 from supplyprep.context import RunContext
+from supplyprep.operators import joins
 from supplyprep.plans import supply
 
 # Queries that write tables or walk graphs while their plan is built are covered by their results.
@@ -83,3 +84,19 @@ def test_snapshots_are_summed_before_lookups(spark, data, tmp_path, bu, kind):
     above = way_up(plan, str(tmp_path))
     first = [step for step in above if step in ("HashAggregate", "Exchange") or "Join" in step]
     assert first[:3] == ["HashAggregate", "Exchange", "HashAggregate"]
+
+
+def test_rows_of_a_few_texts_are_not_gathered_by_text(spark):
+    """The table of found aliases is small, so the rows stay where they are."""
+    rows = spark.range(40_000).selectExpr("id", "IF(id % 2 = 0, 'L215', 'CQlaibao') AS site", "repeat('x', 50) AS more")
+    aliases = spark.createDataFrame([("UBX", "a"), ("CQ", "b")], "alias string, name string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "50000")
+    try:
+        found = joins.contained_best(rows, "site", aliases, "alias", "name", "found")
+        plan = plan_of(found)
+        assert found.groupBy("site", "found").count().count() == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan.split("Initial Plan")[-1]
+    assert {r["found"] for r in found.filter("site = 'CQlaibao'").select("found").distinct().collect()} == {"b"}
