@@ -167,3 +167,18 @@ def test_dedup_subset_leaves_other_rows(spark):
     df = spark.createDataFrame([("w", 1, "a"), ("w", 1, "b"), ("x", 1, "a"), (None, 1, "a"), (None, 1, "a")], "s string, k int, v string")
     out = groups.dedup_subset(df, F.col("s") == "w", ["s", "k"], ["v"])
     assert rows(out) == [("w", 1, "a"), ("x", 1, "a"), (None, 1, "a"), (None, 1, "a")]
+
+
+def test_flag_one_of_looks_each_row_up_once(spark):
+    df = spark.createDataFrame(
+        [(1, "a", "x", "1"), (2, "a", "y", None), (3, "b", "x", "1"), (4, None, "x", "1"), (5, "b", None, "1"), (6, "a", "x", None)],
+        "id int, kind string, item string, site string",
+    )
+    wide = spark.createDataFrame([("x", "1"), ("x", "1"), ("x", None), ("y", "")], "i string, s string")
+    narrow = spark.createDataFrame([("x",), (None,), ("z",)], "i string")
+    lookups = [("w", wide, [("item", "i"), ("site", "s")], "kind = 'a'"), ("n", narrow, [("item", "i")], "kind IN ('b', 'c')")]
+    found = joins.flag_one_of(df, lookups)
+    assert found.columns == [*df.columns, "w", "n"]
+    assert rows(found, "id", "w", "n") == [
+        (1, True, False), (2, False, False), (3, False, True), (4, False, False), (5, False, False), (6, False, False)
+    ]
