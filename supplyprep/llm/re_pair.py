@@ -31,6 +31,10 @@ from supplyprep.llm.tokens import ByteLevelBpe
 
 MAGIC = b"RPG1"
 _HEAD = struct.Struct("<4sIIII")
+#: Hash cells by which pairs are looked up.
+_MIXER, _CELL_BITS = np.uint64(0x9E3779B97F4A7C15), 18
+#: Above every pair of two symbols.
+_NO_PAIR = np.uint64(2**64 - 1)
 
 
 @lru_cache(maxsize=2)
@@ -41,6 +45,32 @@ def _coder(content: bytes) -> ByteLevelBpe:
 # --- grammar -------------------------------------------------------------------------------------
 
 
+def _places(known: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    """Index of each pair in the sorted ``known``, -1 if it is not there.
+
+    A hash leads to the index; pairs whose cell another known pair took are searched for.
+    """
+    def cells(pairs: np.ndarray) -> np.ndarray:
+        return ((pairs * _MIXER) >> np.uint64(64 - _CELL_BITS)).astype(np.int64)
+
+    if len(pair) < 1 << 14:
+        place = np.minimum(np.searchsorted(known, pair), len(known) - 1)
+        return np.where(known[place] == pair, place, -1)
+    slot, own = np.full(1 << _CELL_BITS, -1, dtype=np.int32), cells(known)
+    slot[own] = np.arange(len(known), dtype=np.int32)
+    cell = cells(pair)
+    place = slot[cell].astype(np.int64)
+    place[known[place] != pair] = -1
+    hidden = np.flatnonzero(slot[own] != np.arange(len(known)))
+    if len(hidden):
+        shared = np.zeros(1 << _CELL_BITS, dtype=bool)
+        shared[own[hidden]] = True
+        look = np.flatnonzero(shared[cell] & (place < 0))
+        found = np.minimum(np.searchsorted(known, pair[look]), len(known) - 1)
+        place[look] = np.where(known[found] == pair[look], found, -1)
+    return place
+
+
 def compress(ids: np.ndarray, starts: np.ndarray, first_rule: int, rounds: int | None = None, least: int = 8) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair over one shard, until no pair is seen ``least`` times; ``rounds`` may end it earlier.
 
@@ -54,44 +84,56 @@ def compress(ids: np.ndarray, starts: np.ndarray, first_rule: int, rounds: int |
     opens[starts] = True
     rules = [np.zeros((0, 2), dtype=np.uint32)]
     n_rules, step = 0, 0
-    while len(symbols) > 1 and (rounds is None or step < rounds):
+    # Where pairs begin that may be frequent. Pairs of earlier symbols only get fewer, so what was too
+    # rare once stays so; beside them only pairs with a new symbol are counted in the next round.
+    maybe = np.flatnonzero(~opens[1:-1])
+    while len(maybe) and (rounds is None or step < rounds):
         step += 1
-        free = ~opens[1:-1]
+        left, right = symbols[maybe], symbols[maybe + 1]
+        pair = (left.astype(np.uint64) << np.uint64(32)) | right
+        counted = len(pair)
         # In a run of one symbol every second pair counts.
-        twins = np.flatnonzero((symbols[:-1] == symbols[1:]) & free)
+        twins = np.flatnonzero(left == right)
         if len(twins):
-            fresh = np.concatenate([[True], np.diff(twins) > 1])
+            fresh = np.concatenate([[True], np.diff(maybe[twins]) > 1])
             run = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
-            free[twins[(np.arange(len(twins)) - run) % 2 == 1]] = False
-        at = np.flatnonzero(free)
-        pair = (symbols[at].astype(np.uint64) << np.uint64(32)) | symbols[at + 1]
-        ordered = np.sort(pair)
-        edges = np.concatenate([[0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1, [len(ordered)]]) if len(ordered) else np.zeros(1, dtype=np.int64)
+            second = twins[(np.arange(len(twins)) - run) % 2 == 1]
+            pair[second] = _NO_PAIR
+            twins, counted = maybe[second], counted - len(second)
+        ordered = np.sort(pair)[:counted]
+        edges = np.concatenate([[0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1, [len(ordered)]])
         counts = np.diff(edges)
         frequent = counts >= least
         if not frequent.any():
             break
         known, counts = ordered[edges[:-1][frequent]], counts[frequent]
-        place = np.minimum(np.searchsorted(known, pair), len(known) - 1)
-        same = known[place] == pair
-        at, place = at[same], place[same]
+        place = _places(known, pair)
+        same = np.flatnonzero(place >= 0)
+        at, place = maybe[same], place[same]
         # Where pairs overlap, the more frequent one is replaced. The most frequent one of all keeps
         # every place; one that is left with too few is counted again in the next round.
         order = np.empty(len(known), dtype=np.int64)
         order[np.argsort(counts, kind="stable")] = np.arange(len(known))
-        weight = np.full(len(symbols) + 1, -1, dtype=np.int64)
-        weight[at + 1] = order[place]
-        own = weight[at + 1]
-        wins = (own > weight[at]) & (own > weight[np.minimum(at + 2, len(symbols))])
-        at, place = at[wins], place[wins]
+        own, apart = order[place], np.diff(at) > 1
+        wins = np.ones(len(at), dtype=bool)
+        wins[1:] &= apart | (own[1:] > own[:-1])
+        wins[:-1] &= apart | (own[:-1] > own[1:])
+        wins = np.flatnonzero(wins)
+        met, at, place = at, at[wins], place[wins]
         enough = np.bincount(place, minlength=len(known)) >= least
         number = (first_rule + n_rules + np.cumsum(enough) - 1).astype(np.uint32)
-        taken = enough[place]
+        taken = np.flatnonzero(enough[place])
         at, place = at[taken], place[taken]
         symbols[at] = number[place]
+        alive = np.zeros(len(symbols), dtype=bool)
+        for begin in (met, twins, at, at[at > 0] - 1):
+            alive[begin] = True
+        # The symbol behind a new one goes; the pair that began there begins at the new one.
         keep = np.ones(len(symbols), dtype=bool)
         keep[at + 1] = False
-        symbols, opens = symbols[keep], np.append(opens[:-1][keep], True)
+        kept = np.flatnonzero(keep)
+        symbols, opens, alive = symbols[kept], np.append(opens[kept], True), alive[kept]
+        maybe = np.flatnonzero(alive[:-1] & ~opens[1:-1])
         pairs = known[enough]
         rules.append(np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32))
         n_rules += len(pairs)

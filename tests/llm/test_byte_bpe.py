@@ -145,3 +145,30 @@ def test_token_files(spark, edge, none):
     assert keys == sorted(keys)
     assert [r["start"] for r in rows] == [sum(r["n_tokens"] for r in rows[:k]) for k in range(len(rows))]
     assert re_pair.token_rows(spark, re_pair.write_token_files(none, WHOLE)).count() == 0
+
+
+def test_re_pair_sorts_only_pairs_that_may_be_frequent(monkeypatch):
+    """A pair too rare in one round is not looked at again; what is left has no frequent pair."""
+    rng = np.random.default_rng(3)
+    rare, phrase = rng.integers(0, 50_000, 40_000), rng.integers(0, 50_000, 64)
+    ids = np.concatenate([rare, np.tile(phrase, 200), np.zeros(1000, dtype=int)]).astype(np.uint32)
+    starts, sorted_pairs, sort = np.array([0, 7, 7, len(ids)]), [], np.sort
+    monkeypatch.setattr(np, "sort", lambda values, *a, **k: sorted_pairs.append(len(values)) or sort(values, *a, **k))
+    symbols, where, rules = re_pair.compress(ids, starts, 50_000)
+    monkeypatch.undo()
+    assert len(sorted_pairs) > 5 and sum(sorted_pairs) < 2 * len(ids)
+    assert np.array_equal(re_pair.expand(symbols, rules, 50_000), ids)
+    assert len(re_pair.expand(symbols[: where[1]], rules, 50_000)) == 7
+    pairs = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
+    apart = pairs[symbols[:-1] != symbols[1:]]
+    assert np.unique(apart, return_counts=True)[1].max() < 8
+
+
+def test_hash_look_up_of_pairs_finds_what_a_search_finds():
+    rng = np.random.default_rng(4)
+    known = np.unique(rng.integers(0, 1 << 40, 60_000).astype(np.uint64))
+    pair = np.concatenate([rng.choice(known, 30_000), rng.integers(0, 1 << 40, 30_000).astype(np.uint64)])
+    place = re_pair._places(known, pair)
+    there = np.isin(pair, known)
+    assert ((place >= 0) == there).all() and (known[place[there]] == pair[there]).all()
+    assert (re_pair._places(known, pair[:100]) == place[:100]).all()
