@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from supplyprep.functions.clean import fallback, join_text, pad_line
 from supplyprep.functions.dates import parse_mixed_date
 from supplyprep.operators.groups import keep_latest, signed_sum
 from supplyprep.operators.joins import exists_in
-from supplyprep.operators.rows import Lookup, fill_cascade, upsert
+from supplyprep.operators.rows import Lookup, fill_cascade, holds, upsert
 from supplyprep.plans import rules
 from supplyprep.sources.readers import net_change_window
 
@@ -296,29 +298,44 @@ def ship_changes(
 
     Of several changes of a line the newest counts.
     """
+    rows = _ship_lines(sales, deliveries, component, [kind], low, high).drop(f"__is_{kind}")
+    return keep_latest(rows, SHIP_KEYS, ["__changed"]).drop("__changed")
+
+
+def _ship_lines(
+    sales: DataFrame,
+    deliveries: DataFrame,
+    component: DataFrame,
+    kinds: Sequence[str],
+    low: Column | None,
+    high: Column | None,
+) -> DataFrame:
+    """Changed delivery lines of any of the component classes, with a flag ``__is_`` for each class."""
     moved = deliveries.filter(F.col("vbtyp").isin(rules.DELIVERY_TYPE, rules.RETURN_TYPE))
     if low is not None and high is not None:
         moved = net_change_window(moved, "sys_last_modified_date", low, high)
-    orders = sales.filter(
-        F.col("auart").isin(*rules.SHIP_ORDER_TYPES[kind])
-        & F.col("werks").isin(*rules.SHIP_PLANTS)
+    flags = [f"__is_{kind}" for kind in kinds]
+    listed = component.groupBy(F.col("component").alias("__component")).agg(
+        *[F.bool_or(holds(F.col("hier5_code").isin(*rules.SHIP_CLASSES[k]))).alias(f) for k, f in zip(kinds, flags)]
     )
-    listed = component.filter(F.col("hier5_code").isin(*rules.SHIP_CLASSES[kind]))
-    orders = exists_in(orders, listed, [("matnr", "component")]).select(
+    wanted = [holds(F.col("auart").isin(*rules.SHIP_ORDER_TYPES[k]) & F.col(f)).alias(f) for k, f in zip(kinds, flags)]
+    orders = sales.filter(F.col("werks").isin(*rules.SHIP_PLANTS)).join(listed, F.col("matnr") == F.col("__component"))
+    orders = orders.select(
         F.col("vbeln").alias("__order"),
         F.col("posnr").alias("__line"),
         "werks",
         "kwmeng",
         "auart",
         "sold2_kunnr",
-    )
+        *wanted,
+    ).filter(reduce(or_, map(F.col, flags)))
     quantity = F.when(F.col("vbtyp") == rules.RETURN_TYPE, -F.col("lfimg")).otherwise(
         F.col("lfimg")
     )
     lines = moved.drop("werks").join(
         orders, (F.col("vbgel") == F.col("__order")) & (F.col("vgpos") == F.col("__line"))
     )
-    rows = lines.select(
+    return lines.select(
         "werks",
         F.col("vbeln").alias("deliveryno"),
         F.col("posnr").alias("deliveryline"),
@@ -332,8 +349,38 @@ def ship_changes(
         F.col("sold2_kunnr").alias("soldto"),
         F.col("sys_ent_state").alias("state"),
         F.col("sys_last_modified_date").alias("__changed"),
+        *flags,
     )
-    return keep_latest(rows, SHIP_KEYS, ["__changed"]).drop("__changed")
+
+
+def ship_fact_merge(
+    fact: DataFrame,
+    sales: DataFrame,
+    deliveries: DataFrame,
+    component: DataFrame,
+    low: Column | None = None,
+    high: Column | None = None,
+    kinds: Sequence[str] = tuple(rules.SHIP_ORDER_TYPES),
+) -> DataFrame:
+    """Merge the changes of several component classes, as :func:`ship_changes` and :func:`ship_fact_upsert` would one by one.
+
+    Deliveries meet their orders once. A new line that changed in several classes is inserted from the first of them
+    and updated from the last; lines without a key are inserted from each.
+    """
+    rows = _ship_lines(sales, deliveries, component, kinds, low, high)
+    rest = [c for c in rows.columns if c not in SHIP_KEYS and not c.startswith("__")]
+    newest = F.struct(F.col("__changed").isNull().alias("__missing"), "__changed", *rest)
+    found = rows.groupBy(*SHIP_KEYS).agg(*[F.max(F.when(F.col(f"__is_{k}"), newest)).alias(k) for k in kinds])
+    columns = [F.col(k) for k in kinds]
+    keyed = F.col(SHIP_KEYS[0]).isNotNull() & F.col(SHIP_KEYS[1]).isNotNull()
+
+    def merged(source: DataFrame, first: Column, last: Column) -> DataFrame:
+        picked = {c: (last if c in SHIP_UPDATED else first)[c] for c in rest}
+        return source.select(*[picked.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in fact.schema.fields])
+
+    changes = merged(found.filter(keyed), F.coalesce(*columns), F.coalesce(*reversed(columns)))
+    loose = found.filter(~keyed).select(*SHIP_KEYS, F.explode(F.array_compact(F.array(*columns))).alias("__row"))
+    return ship_fact_upsert(fact, changes).unionByName(merged(loose, F.col("__row"), F.col("__row")))
 
 
 def ship_fact_upsert(fact: DataFrame, changes: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from supplyprep.context import RunContext
-from supplyprep.plans import netting, supply
+from supplyprep.plans import netting, rules, supply
 from supplyprep.plans.bom import Dimensions, build_bom, correct_source
 from supplyprep.plans.bom_init import build_bom_init, conform_feed
 from supplyprep.plans.common import shape_like
@@ -364,3 +364,25 @@ def test_rows_do_not_depend_on_partitions(spark):
         edges, _ = build_bom_init(feed.repartition(n), feed.limit(0), conf(spark, ("QUANTA", "SCC", "N")), subs, component)
         results.append(rows(edges, "father_item", "child_item", "ratio", "alternative_code"))
     assert results[0] == results[1] and len(results[0]) == 78
+
+
+def test_order_types_are_merged_at_once_as_one_by_one(spark):
+    """Lines of both types, of one, without a key, and known ones."""
+    sales = spark.createDataFrame(
+        [("A", "1", "D", 1, "YSSA", "H000", "c1"), ("A", "1", "T", 2, "YSSF", "H000", "c2"), ("B", "1", "D", 3, "YSSB", "H121", "c3"), ("C", "1", "T", 4, "YSSF", "H112", "c4"),
+         ("D", "1", "B", 5, "YSSA", "H000", "c5"), ("E", "1", "T", 6, "YSSB", "H000", "c6"), ("F", "1", None, 7, "YSSA", "H000", "c7")],
+        "vbeln string, posnr string, matnr string, kwmeng int, auart string, werks string, sold2_kunnr string",
+    )
+    lines = [(f"{order}{n}" if n else None, str(n), order, "1", "m", 10 * n + k, "JT"[k], "x", None, "S", 10 * n + k) for order in "ABCDEF" for n in range(3) for k in range(2)]
+    deliveries = spark.createDataFrame(
+        lines, "vbeln string, posnr string, vbgel string, vgpos string, matnr string, lfimg int, vbtyp string, werks string, wadat_ist date, sys_ent_state string, sys_last_modified_date long"
+    )
+    component = spark.createDataFrame([("D", "DISPLAY"), ("T", "TOUCH"), ("B", "DISPLAY"), ("B", "TOUCHPANEL"), (None, "TOUCH"), ("D", None)], "component string, hier5_code string")
+    fact = shape_like(spark.createDataFrame([("A1", "1", "old"), (None, "1", "old"), ("Z", "1", "old")], "deliveryno string, deliveryline string, state string"), OUTPUTS["ship_fact"])
+    for window in ((None, None), (F.lit(0), F.lit(10))):
+        expected = fact
+        for kind in rules.SHIP_ORDER_TYPES:
+            changes = netting.ship_changes(sales, deliveries, component, kind, *window)
+            expected = netting.ship_fact_upsert(expected, changes.select(*fact.columns))
+        found = netting.ship_fact_merge(fact, sales, deliveries, component, *window)
+        assert rows(found, *fact.columns) == rows(expected, *fact.columns)
