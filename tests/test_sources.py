@@ -237,3 +237,28 @@ def test_drop_with_too_many_bad_lines_fails_but_keeps_them(spark, tmp_path):
     (tmp_path / "drop.txt").write_text("")
     empty = readers.load_delimited(spark, source, "feed", landing)
     assert (empty.lines, empty.n_rejected, empty.rows.count()) == (0, 0, 0)
+
+
+def test_rows_and_partners_meet_whichever_comes_first(spark, tmp_path):
+    """Waiting rows are tables: no stage of a match keeps rows in a state store."""
+    at = lambda day: datetime(2024, 1, 1) + timedelta(days=day)
+    ours, theirs = "k string, n int, at timestamp", "key string, p int, met timestamp"
+    out, state = [], str(tmp_path / "state")
+    drops = [
+        ([("a", 1, at(10)), ("a", 2, at(30)), ("b", 3, at(10)), (None, 4, at(11)), ("z", 5, None)], []),
+        ([("c", 6, at(12))], [("a", 1, at(8)), ("a", 2, at(9)), ("b", 3, at(1)), ("c", 4, at(14)), (None, 5, at(11)), ("z", 6, None)]),
+        ([("a", 7, at(14)), ("a", 8, at(13)), ("late", 8, at(10))], [("b", 7, at(10)), ("d", 8, at(40))]),
+        ([("e", 9, at(60))], [("a", 9, at(30)), ("e", 10, at(60))]),
+        ([("e", 10, at(62))], [("f", 11, at(90))]),
+    ]
+    for number, (left, right) in enumerate(drops):
+        spark.createDataFrame(left, ours).write.mode("append").parquet(str(tmp_path / "rows"))
+        spark.createDataFrame(right, theirs).write.mode("append").parquet(str(tmp_path / "partners"))
+        streams = [incremental.file_stream(spark, str(tmp_path / n), spark.createDataFrame([], s).schema) for n, s in (("rows", ours), ("partners", theirs))]
+        matched = incremental.stream_matched(*streams, [("k", "key")], "at", "met", before="5 DAYS", after="2 DAYS", state=state)
+        assert matched.isStreaming and matched.columns == ["k", "n", "at", "key", "p", "met"]
+        found = spark.read.schema(matched.schema).parquet(f"{state}/matched/{number}")
+        out.append(sorted((r["n"], r["p"]) for r in found.select("n", F.coalesce("p", F.lit(0)).alias("p")).collect()))
+    # Both clocks end at day 13, 29, 59 and 61: 3 and 4 are due at once, two rows and a partner come too late.
+    assert out == [[], [(1, 1), (1, 2), (3, 0), (4, 0), (6, 4)], [(7, 2)], [(2, 9), (9, 10)], [(10, 10)]]
+    assert not (tmp_path / "state" / "checkpoint" / "state").exists()
