@@ -14,7 +14,6 @@ row number; memory goes by the shard, whatever the size of a partition.
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
@@ -59,9 +58,9 @@ def tokenized(docs: DataFrame, vocabulary: str, end: int, key: str = "doc_id", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = word_bpe_of(content.value)
-        last, row = struct.pack("<I", end), TaskContext.get().partitionId() << 40
+        row = TaskContext.get().partitionId() << 40
         for batch in bounded_slices(batches, "text"):
-            coded = [np.frombuffer(coder.encode(t) + last, dtype="<u4") for t in batch.column(1).to_pylist()]
+            coded = [np.append(ids, np.uint32(end)) for ids in coder.encode_all(batch.column(1).to_pylist())]
             marks = np.array([_min_hashes(ids) for ids in coded], dtype=np.int64)
             narrow = [ids.astype("<u2" if ids.max() < 1 << 16 else "<u4") for ids in coded]
             columns = [batch.column(0), pa.array([a.tobytes() for a in narrow], pa.binary()), pa.array([len(a) for a in coded], pa.int64())]

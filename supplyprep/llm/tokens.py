@@ -15,6 +15,8 @@ from collections.abc import Callable
 from functools import cached_property
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 from tokenizers.models import BPE
@@ -189,7 +191,8 @@ class WordBpe:
     ``content`` is a tokenizer file (JSON) that lower-cases and cuts text into
     ``'s|'t|'re|'ve|'m|'ll|'d|[letters]+|[digit]|[others]+``. No piece holds white space, so each
     distinct run between white space is cut and encoded once, by the library's model. Texts with
-    characters from U+0180 on, or with strings of added tokens, are given to the library whole.
+    characters from U+0180 on, or with strings of added tokens, are given to the library whole. Of
+    many texts Arrow lower-cases and cuts all at once, and each distinct word of them is looked up once.
     """
 
     def __init__(self, content: bytes, most_words: int = 250_000) -> None:
@@ -200,15 +203,37 @@ class WordBpe:
         # Dotted capital I becomes two characters in lower case; Python alone takes 1C to 1F as white space.
         self._other = re.compile("[^\\x00-\\x1b\\x20-\u012f\u0131-\u017f]").search
         self._map = dict(enumerate(byte_characters()))
+        self._pieces = _Cache(self._encode_piece, most_words)
         self._cache = _Cache(self._encode_word, most_words)
 
+    def _encode_piece(self, piece: str) -> bytes:
+        mapped = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self._map)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(mapped)])
+
     def _encode_word(self, word: str) -> bytes:
-        mapped = [piece.encode().decode("latin-1").translate(self._map) for piece in self.split(word)]
-        ids = [t.id for piece in mapped for t in self.model.tokenize(piece)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return b"".join(map(self._pieces.__getitem__, self.split(word)))
+
+    def _whole(self, text: str) -> bool:
+        return bool(self._other(text)) or any(a in text for a in self.added)
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers, without special tokens around it."""
-        if self._other(text) or any(a in text for a in self.added):
+        if self._whole(text):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         return b"".join(map(self._cache.__getitem__, text.lower().split()))
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text, as :meth:`encode` gives them."""
+        apart = {i: np.frombuffer(self.encode(t), dtype="<u4") for i, t in enumerate(texts) if self._whole(t)}
+        plain = pa.array(["" if i in apart else t for i, t in enumerate(texts)], pa.large_string())
+        words = pc.utf8_split_whitespace(pc.utf8_lower(plain))
+        found = words.flatten().dictionary_encode()
+        known = list(map(self._cache.__getitem__, found.dictionary.to_numpy(zero_copy_only=False).tolist()))
+        lengths = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
+        starts = np.cumsum(lengths) - lengths
+        word = found.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(lengths[word])])
+        at = np.repeat(starts[word] - ends[:-1], lengths[word]) + np.arange(ends[-1])
+        ids = np.frombuffer(b"".join(known), dtype="<u4")[at]
+        cuts = ends[words.offsets.to_numpy() - words.offsets[0].as_py()]
+        return [apart.get(i, ids[cuts[i] : cuts[i + 1]]) for i in range(len(texts))]

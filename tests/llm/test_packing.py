@@ -109,3 +109,16 @@ def test_scores_are_bm25():
     used[[3, 4]] = True
     scores = [score(3, other) for other in shard.neighbours(3, used)]
     assert len(scores) == 23 and all(a >= b - 1e-9 for a, b in zip(scores, scores[1:], strict=False))
+
+
+def test_many_texts_are_encoded_as_one_by_one_with_each_distinct_word_looked_up_once():
+    coder = WordBpe(open(VOCABULARY, "rb").read())
+    texts = ["The cat's 12 hats, the cat", "", " \x85a\xa0b\tthe ", "a\x1cb the", "İX Dž <|endoftext|>", "".join(map(chr, range(0x180))), " ".join(map(chr, range(0x180))), "the cat &&& ÉÀ"]
+    alone = [np.frombuffer(coder.encode(t), dtype="<u4").tolist() for t in texts]
+    assert [ids.tolist() for ids in coder.encode_all(texts)] == alone
+    assert [ids.tolist() for ids in coder.encode_all([])] == []
+    fresh, asked = WordBpe(coder.whole.to_str().encode(), most_words=0), []
+    make = fresh._cache.make
+    fresh._cache.make = lambda word: asked.append(word) or make(word)
+    fresh.encode_all(["the cat the cat"] * 3)
+    assert sorted(asked) == ["cat", "the"]
