@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from supplyprep.llm.common import bounded_slices, map_arrow, staged, text_or_empty
+from supplyprep.llm.common import ARROW_BYTES, bounded_slices, map_arrow, staged, text_or_empty
 from supplyprep.llm.tokens import WordBpe
 
 WINDOW = 4096
@@ -59,7 +59,7 @@ def tokenized(docs: DataFrame, vocabulary: str, end: int, key: str = "doc_id", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = word_bpe_of(content.value)
         row = TaskContext.get().partitionId() << 40
-        for batch in bounded_slices(batches, "text"):
+        for batch in bounded_slices(batches, "text", ARROW_BYTES):
             coded = [np.append(ids, np.uint32(end)) for ids in coder.encode_all(batch.column(1).to_pylist())]
             marks = np.array([_min_hashes(ids) for ids in coded], dtype=np.int64)
             narrow = [ids.astype("<u2" if ids.max() < 1 << 16 else "<u4") for ids in coded]

@@ -186,54 +186,58 @@ class ByteLevelBpe:
 
 
 class WordBpe:
-    """Encoder of a word-end BPE vocabulary (lower case, white space dropped), one distinct word at a time.
+    """Encoder of a word-end BPE vocabulary (lower case, white space dropped), one distinct piece at a time.
 
     ``content`` is a tokenizer file (JSON) that lower-cases and cuts text into
-    ``'s|'t|'re|'ve|'m|'ll|'d|[letters]+|[digit]|[others]+``. No piece holds white space, so each
-    distinct run between white space is cut and encoded once, by the library's model. Texts with
+    ``'s|'t|'re|'ve|'m|'ll|'d|[letters]+|[digit]|[others]+``. No piece holds white space. Texts with
     characters from U+0180 on, or with strings of added tokens, are given to the library whole. Of
-    many texts Arrow lower-cases and cuts all at once, and each distinct word of them is looked up once.
+    many texts Arrow lower-cases and cuts all at once into words, and the distinct words into pieces;
+    each distinct piece of them is looked up once, and encoded by the library's model if it is new.
     """
 
     def __init__(self, content: bytes, most_words: int = 250_000) -> None:
         self.whole = Tokenizer.from_str(content.decode())
         self.model = self.whole.model
-        self.split = re.compile(f"[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{_NUMBERS}]|[^{_BLANKS}{_LETTERS}{_NUMBERS}]+").findall
-        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values() if t.content]
+        # Letters are what is left between the pieces of any other kind.
+        apart = f"'(?:s|t|re|ve|m|ll|d)|[{_NUMBERS}]|[^{_BLANKS}{_LETTERS}{_NUMBERS}]+"
+        self.split = re.compile(f"[{_LETTERS}]+|{apart}").findall
+        self._apart = f"({apart})"
+        added = [re.escape(t.content) for t in self.whole.get_added_tokens_decoder().values() if t.content]
         # Dotted capital I becomes two characters in lower case; Python alone takes 1C to 1F as white space.
-        self._other = re.compile("[^\\x00-\\x1b\\x20-\u012f\u0131-\u017f]").search
+        self._for_library = "|".join(["[^\\x00-\\x1b\\x20-\u012f\u0131-\u017f]", *added])
+        self._whole = re.compile(self._for_library).search
         self._map = dict(enumerate(byte_characters()))
-        self._pieces = _Cache(self._encode_piece, most_words)
-        self._cache = _Cache(self._encode_word, most_words)
+        self._cache = _Cache(self._encode_piece, most_words)
 
     def _encode_piece(self, piece: str) -> bytes:
         mapped = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self._map)
-        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(mapped)])
-
-    def _encode_word(self, word: str) -> bytes:
-        return b"".join(map(self._pieces.__getitem__, self.split(word)))
-
-    def _whole(self, text: str) -> bool:
-        return bool(self._other(text)) or any(a in text for a in self.added)
+        ids = [t.id for t in self.model.tokenize(mapped)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers, without special tokens around it."""
         if self._whole(text):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        return b"".join(map(self._cache.__getitem__, text.lower().split()))
+        return b"".join(map(self._cache.__getitem__, self.split(text.lower())))
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as :meth:`encode` gives them."""
-        apart = {i: np.frombuffer(self.encode(t), dtype="<u4") for i, t in enumerate(texts) if self._whole(t)}
-        plain = pa.array(["" if i in apart else t for i, t in enumerate(texts)], pa.large_string())
-        words = pc.utf8_split_whitespace(pc.utf8_lower(plain))
+        given = pa.array(texts, pa.large_string())
+        whole = pc.match_substring_regex(given, self._for_library)
+        apart = {i: self.encode(texts[i]) for i in pc.indices_nonzero(whole).to_pylist()}
+        words = pc.utf8_split_whitespace(pc.utf8_lower(pc.if_else(whole, "", given)))
         found = words.flatten().dictionary_encode()
-        known = list(map(self._cache.__getitem__, found.dictionary.to_numpy(zero_copy_only=False).tolist()))
-        lengths = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
-        starts = np.cumsum(lengths) - lengths
-        word = found.indices.to_numpy()
-        ends = np.concatenate([[0], np.cumsum(lengths[word])])
-        at = np.repeat(starts[word] - ends[:-1], lengths[word]) + np.arange(ends[-1])
-        ids = np.frombuffer(b"".join(known), dtype="<u4")[at]
-        cuts = ends[words.offsets.to_numpy() - words.offsets[0].as_py()]
-        return [apart.get(i, ids[cuts[i] : cuts[i + 1]]) for i in range(len(texts))]
+        # No word holds a line end; the empty pieces that cutting leaves have no ids.
+        cut = pc.split_pattern(pc.replace_substring_regex(found.dictionary, self._apart, "\n\\1\n"), "\n")
+        pieces = cut.flatten().dictionary_encode()
+        known = pa.array(list(map(self._cache.__getitem__, pieces.dictionary.to_numpy(zero_copy_only=False).tolist())), pa.large_binary())
+        of_words = _joined(known.take(pieces.indices), cut)
+        of_texts = _joined(of_words.take(found.indices), words)
+        return [np.frombuffer(apart.get(i, ids), dtype="<u4") for i, ids in enumerate(of_texts.to_pylist())]
+
+
+def _joined(parts: pa.Array, lists: pa.ListArray) -> pa.Array:
+    """The ids of each list, ``parts`` being those of the lists' elements one after the other."""
+    starts = pc.subtract(lists.offsets, lists.offsets[0]).to_numpy()
+    offsets = np.frombuffer(parts.buffers()[1], dtype=np.int64)[starts + parts.offset]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(offsets), parts.buffers()[2]])

@@ -122,3 +122,19 @@ def test_many_texts_are_encoded_as_one_by_one_with_each_distinct_word_looked_up_
     fresh._cache.make = lambda word: asked.append(word) or make(word)
     fresh.encode_all(["the cat the cat"] * 3)
     assert sorted(asked) == ["cat", "the"]
+
+
+def test_words_that_differ_by_marks_share_their_pieces(library):
+    """Each distinct piece of many texts is encoded once, whatever marks stand around it in its words."""
+    coder, asked = WordBpe(open(VOCABULARY, "rb").read(), most_words=0), []
+    make = coder._cache.make
+    coder._cache.make = lambda piece: asked.append(piece) or make(piece)
+    texts = ["cat, cat. (Cat) cat's", "", "'cat' cat7cat,cat", "文 cat", "!'st ''s", "it's"]
+    chosen = random.Random(5)
+    low = "".join(map(chr, range(0x180))) + "''''  stmdlrve0123.,!?"
+    texts += ["".join(chosen.choice(low) for _ in range(40)) for _ in range(500)]
+    assert [ids.tolist() for ids in coder.encode_all(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    asked.clear()
+    coder.encode_all(texts[:3])
+    assert sorted(filter(None, asked)) == sorted(["cat", ",", ".", "(", ")", "'s", "'", "7"])
+    assert [ids.tolist() for ids in coder.encode_all(["文", "<|endoftext|>"])] == [library.encode(t, add_special_tokens=False).ids for t in ("文", "<|endoftext|>")]
