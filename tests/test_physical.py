@@ -99,6 +99,17 @@ def test_lookups_of_which_a_row_needs_one_share_a_join(spark, data, tmp_path, na
     assert sum("Join" in step for step in way_up(plan, str(tmp_path))) == JOINS[name]
 
 
+@pytest.mark.parametrize("name", ["fg_nb", "fg_dt", "wip_nb"])
+def test_sums_are_not_shuffled_again_for_their_rules(spark, data, tmp_path, name):
+    """Every rule keeps all keys of the sums apart, so there is nothing left to add up."""
+    inputs = StandIn(Tables(spark, data)).inputs
+    getattr(inputs, name).write.parquet(str(tmp_path / "snapshot"))
+    setattr(inputs, name, spark.read.parquet(str(tmp_path / "snapshot")))
+    build = supply.finished_goods_supply if name.startswith("fg") else supply.wip_supply
+    plan = plan_of(build(inputs, name[-2:].upper(), RunContext(run_ts=datetime(2024, 5, 16, 8))))
+    assert way_up(plan, str(tmp_path)).count("HashAggregate") == 2
+
+
 def test_rows_of_a_few_texts_are_not_gathered_by_text(spark):
     """The table of found aliases is small, so the rows stay where they are."""
     rows = spark.range(40_000).selectExpr("id", "IF(id % 2 = 0, 'L215', 'CQlaibao') AS site", "repeat('x', 50) AS more")

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from datetime import date, datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from supplyprep.catalog import supply as catalog_supply
+from supplyprep.catalog.tables import Tables
 from supplyprep.context import RunContext
 from supplyprep.plans import netting, rules, supply
 from supplyprep.plans.bom import Dimensions, build_bom, correct_source
@@ -16,6 +19,7 @@ from supplyprep.plans.bom_init import build_bom_init, conform_feed
 from supplyprep.plans.common import shape_like
 from supplyprep.plans.open_po import open_po
 from supplyprep.schemas import INPUTS, OUTPUTS
+from supplyprep.sources import storage
 
 CTX = RunContext(run_ts=datetime(2024, 5, 16, 8))
 CONF = "pdomain string, pname string, pvalue string, pattribute string, bom_source string, inv_source string, asn_source string, monitor_flag string"
@@ -386,3 +390,68 @@ def test_order_types_are_merged_at_once_as_one_by_one(spark):
             expected = netting.ship_fact_upsert(expected, changes.select(*fact.columns))
         found = netting.ship_fact_merge(fact, sales, deliveries, component, *window)
         assert rows(found, *fact.columns) == rows(expected, *fact.columns)
+
+
+@pytest.fixture
+def stand_in(spark, tmp_path):
+    """The stand-in snapshots over a few order lines, some of them twice, some without a part or a class."""
+    folder = str(tmp_path / "tables")
+    types = "element_at(array('SMALL', 'LARGE', 'PROMO', 'MEDIUM', 'STANDARD', 'ECONOMY'), CAST(id % 6 + 1 AS int))"
+    made = {
+        "part": spark.range(24).selectExpr(
+            "id AS p_partkey", "'n' AS p_name", "concat('Brand#', id % 5 + 5) AS p_brand",
+            f"IF(id = 23, NULL, {types}) AS p_type", "CAST(id * 2 AS int) AS p_size", "1D AS p_retailprice",
+        ),
+        "orders": spark.range(12).selectExpr(
+            "id AS o_orderkey", "id AS o_custkey", "element_at(array('F', 'O'), CAST(id % 2 + 1 AS int)) AS o_orderstatus",
+            "1D AS o_totalprice", "timestamp_ntz'2001-01-01' AS o_orderdate", "concat('p', id % 2) AS o_orderpriority",
+        ),
+        "lineitem": spark.range(600).selectExpr("id", "explode(IF(id % 7 = 0, array(1, 2), array(1))) AS copy").selectExpr(
+            "id % 12 AS l_orderkey", "IF(id = 5, NULL, id % 24) AS l_partkey", "id % 3 AS l_suppkey",
+            "CAST(id % 7 + 1 AS int) AS l_linenumber", "CAST((id * 7 + copy * 11) % 50 + 1 AS double) AS l_quantity",
+            "1D AS l_extendedprice", "0D AS l_discount", "(id % 3) * 0.04D AS l_tax",
+            "element_at(array('A', 'N', 'R'), CAST(id div 24 % 3 + 1 AS int)) AS l_returnflag",
+            "element_at(array('F', 'O'), CAST(id div 72 % 2 + 1 AS int)) AS l_linestatus",
+            "timestamp_ntz'2001-01-01' AS l_shipdate",
+        ),
+    }
+    for name, table in made.items():
+        table.write.parquet(f"{folder}/{name}.parquet")
+    return catalog_supply.StandIn(Tables(spark, folder), whole=True)
+
+
+def test_a_rule_for_rows_above_0_adds_up_only_those(spark, stand_in):
+    base = {"mfgsite": "L210", "lgort": "LOC2", "product": "P1", "itemclass": "MTM", "supplierid": "X"}
+    lines = [("X", 5, "u"), ("X", -9, "v"), ("7", 4, "u"), ("7", -1, "u"), ("8", -1, "u")]
+    table = make(spark, stand_in.goods("DT").schema, *[{**base, "orderid": o, "qty": Decimal(q), "biz_unit": u} for o, q, u in lines])
+    stand_in.inputs.fg_dt = table
+    found = supply.finished_goods_supply(stand_in.inputs, "DT", CTX)
+    # S26 takes all rows of the stock, whose sum is below 0; S24 and S28 those above 0.
+    assert rows(found, "rule_id", "orderid", F.col("z_inv").cast("int")) == [("S24", "X", 5), ("S28", "7", 4)]
+
+
+def test_slices_of_items_give_the_rows_of_the_whole(stand_in):
+    inputs = stand_in.inputs
+    for bu in ("NB", "DT"):
+        for build in (supply.inventory_supply, lambda i, b: supply.wip_supply(i, b, CTX), lambda i, b: supply.finished_goods_supply(i, b, CTX)):
+            parts = [build(supply.ItemSlice(inputs, n, 2), bu) for n in range(2)]
+            assert rows(parts[0].unionByName(parts[1])) == rows(build(inputs, bu))
+            assert all(part.limit(1).count() for part in parts)
+
+
+def test_the_supply_table_is_built_part_by_part(spark, stand_in, monkeypatch):
+    """What is returned only reads written tables; no work table of a part is left."""
+    slices = []
+    real = supply.staged_slices
+    monkeypatch.setattr(supply, "staged_slices", lambda spark, label, n, build: slices.append(n) or real(spark, label, n, build))
+    monkeypatch.setattr(supply, "SLICE_BYTES", 1)
+    monkeypatch.setattr(supply, "MOST_SLICES", 2)
+    with storage.work_scope(spark, "build"):
+        folder = Path(storage.new_path(spark, "any").removeprefix("file:")).parent
+        built = supply.build_supply(stand_in.inputs, CTX)
+        plan = built._jdf.queryExecution().executedPlan().toString()
+        left = sorted(path.name.split("-")[0] for path in folder.iterdir())
+        assert built.count() > 100
+    assert slices == [2] * 6
+    assert "Exchange" not in plan
+    assert left == ["stand_in_lines", "supply_goods", "supply_goods", "supply_hub", "supply_placed", "supply_wip", "supply_wip"]

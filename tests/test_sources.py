@@ -262,3 +262,30 @@ def test_rows_and_partners_meet_whichever_comes_first(spark, tmp_path):
     # Both clocks end at day 13, 29, 59 and 61: 3 and 4 are due at once, two rows and a partner come too late.
     assert out == [[], [(1, 1), (1, 2), (3, 0), (4, 0), (6, 4)], [(7, 2)], [(2, 9), (9, 10)], [(10, 10)]]
     assert not (tmp_path / "state" / "checkpoint" / "state").exists()
+
+
+def test_a_table_is_written_apart_from_the_work_tables_it_needs(spark):
+    kept = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, made = spark.conf.get(kept), []
+
+    def build():
+        work = storage.staged(spark.range(6).selectExpr("id % 3 AS k"), "work")
+        made.extend(work.inputFiles())
+        assert spark.conf.get(kept) == "true"
+        return work.groupBy("k").count()
+
+    table = storage.staged_apart(spark, "kept", build)
+    assert rows(table) == [(0, 2), (1, 2), (2, 2)]
+    assert made and not any(Path(name.removeprefix("file:")).exists() for name in made)
+    assert spark.conf.get(kept) == before
+    with pytest.raises(ZeroDivisionError):
+        storage.staged_apart(spark, "kept", lambda: 1 / 0)
+    assert spark.conf.get(kept) == before
+
+
+def test_slices_hold_every_row_once(spark):
+    table = spark.createDataFrame([("a",), ("a",), ("b",), (None,), ("",), ("c",)], "item string")
+    parts = storage.staged_slices(spark, "slices", 4, lambda n: storage.sliced(table, "item", n, 4).withColumn("n", F.lit(n)))
+    assert rows(parts, "item") == rows(table)
+    assert parts.select("item", "n").distinct().count() == 5
+    assert storage.file_bytes(table) == 0 < storage.file_bytes(parts)
