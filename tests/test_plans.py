@@ -13,7 +13,7 @@ from conftest import rows
 from supplyprep.catalog import supply as catalog_supply
 from supplyprep.catalog.tables import Tables
 from supplyprep.context import RunContext
-from supplyprep.plans import netting, rules, supply
+from supplyprep.plans import netting, rules, runs, supply
 from supplyprep.plans.bom import Dimensions, build_bom, correct_source
 from supplyprep.plans.bom_init import build_bom_init, conform_feed
 from supplyprep.plans.common import shape_like
@@ -455,3 +455,21 @@ def test_the_supply_table_is_built_part_by_part(spark, stand_in, monkeypatch):
     assert slices == [2] * 6
     assert "Exchange" not in plan
     assert left == ["stand_in_lines", "supply_goods", "supply_goods", "supply_hub", "supply_placed", "supply_wip", "supply_wip"]
+
+
+def test_a_supply_run_leaves_its_published_tables_only(spark, stand_in, monkeypatch):
+    """Feeds and parts are gone afterwards, the parts already when history and backup are written."""
+    with storage.work_scope(spark, "query"):
+        folder = Path(storage.new_path(spark, "any").removeprefix("file:")).parent
+        parts, copied = [], runs.rolling_backup
+        monkeypatch.setattr(
+            runs, "rolling_backup", lambda *a: parts.extend(folder.rglob("supply_wip-*")) or copied(*a)
+        )
+        found = catalog_supply.q_run_supply(stand_in.t)
+        left = [path.name.split("-")[0] for path in folder.iterdir()]
+        (run,) = folder.iterdir()
+        tables = {path.name for path in run.iterdir()}
+        assert found.count() > 100
+    assert parts == []
+    assert left == ["run"]
+    assert tables == {"supply", "supply_history", "supply_backup"}
